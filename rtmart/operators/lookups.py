@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rtmart.functions.sizing import broadcast_if_small
+
 
 def existing(rows: DataFrame, keys: DataFrame, row_key: str, key: str) -> DataFrame:
     """Rows whose key exists in ``keys``."""
@@ -30,3 +32,11 @@ def scalar_lookup(
     last = rows.groupBy(F.col(row_key).alias("_k")).agg(ranked["_v"].alias(name))
     joined = keys.join(last, F.col(key) == F.col("_k"), "left").drop("_k")
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("long")))
+
+
+def narrowed(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of a large table that a small batch's ``keys`` ask for.
+
+    With few keys this is one scan of the table without a shuffle; with many it is a shuffled semi join.
+    """
+    return rows.join(broadcast_if_small(keys.select(*on).distinct()), on, "left_semi")

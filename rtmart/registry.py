@@ -31,6 +31,7 @@ SEEN_UNTIL = "2024-01-15 12:00:00"
 SERVER_TS = 1_700_000_000_000
 HOURLY = A.Rule(window_s=3600, slide_s=300)
 DEFAULT_RULE = A.Rule()
+DAY_MS = 24 * 3_600_000
 STREAM_TIMEOUT = 3600
 
 _QUERIES: dict[str, Query] = {}
@@ -143,7 +144,7 @@ def gmv_stream(spark, sf_dir):
     folder = run_folder(spark, "gmv")
     _publish(V.order_info(spark, sf_dir), S.TOPIC_ORDER_INFO, "create_time", f"{folder}/topics")
     records = topics.file_stream(spark, f"{folder}/topics", S.TOPIC_ORDER_INFO)
-    table = jobs.order_table(f"{folder}/table")
+    table = jobs.order_table(f"{folder}/table", by="create_month")
     jobs.finish(jobs.start_gmv(records, table, f"{folder}/checkpoint", availableNow=True), STREAM_TIMEOUT)
     return table.latest(spark).select("id", "consignee_tel", "total_amount", "create_date", "create_hour")
 
@@ -230,10 +231,11 @@ def sale_detail_stream(spark, sf_dir):
         topics.file_stream(spark, f"{folder}/topics", S.TOPIC_ORDER_INFO),
         topics.file_stream(spark, f"{folder}/topics", S.TOPIC_ORDER_DETAIL),
     )
-    table = jobs.sale_table(f"{folder}/table")
-    query = jobs.start_sale_detail(
-        pairs, lambda s: V.user_info(s, sf_dir), table, f"{folder}/checkpoint", _asof(), availableNow=True
-    )
+    table = jobs.sale_table(f"{folder}/table", by="dt_month")
+    def users(session, ids):
+        return lookups.narrowed(V.user_info(session, sf_dir), ids, ["id"])
+
+    query = jobs.start_sale_detail(pairs, users, table, f"{folder}/checkpoint", _asof(), availableNow=True)
     jobs.finish(query, STREAM_TIMEOUT)
     return table.latest(spark).select(*S.SALE_DETAIL.fieldNames())
 
@@ -325,7 +327,7 @@ def coupon_alerts_per_minute(spark, sf_dir):
 @_query
 def coupon_alert_stream(spark, sf_dir):
     folder = run_folder(spark, "alerts")
-    tables = jobs.AlertTables(f"{folder}/tables")
+    tables = jobs.AlertTables(f"{folder}/tables", grain_ms=DAY_MS)
     logs = V.with_log_day(V.as_event_log(V.table_stream(spark, sf_dir, "events")))
     jobs.finish(jobs.start_alerts(logs, tables, f"{folder}/checkpoint", HOURLY, availableNow=True), STREAM_TIMEOUT)
     docs = jobs.current_documents(spark, tables)

@@ -9,6 +9,8 @@ effectively-once. Each ``start_*`` takes the trigger as keyword: ``processingTim
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date as Date
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +22,7 @@ from rtmart.functions.columns import doc_id
 from rtmart.functions.json_text import decode_json, rejected_json
 from rtmart.operators import alerts as A
 from rtmart.operators import dedup as D
-from rtmart.operators import ingest, latest, orders, sale_detail
+from rtmart.operators import ingest, latest, lookups, orders, sale_detail
 from rtmart.sources.star_tables import with_log_day
 from rtmart.streaming.keyed_table import BATCH, KeyedTable
 
@@ -86,20 +88,26 @@ def dau_table(path: str) -> KeyedTable:
     return KeyedTable(path, fields, key=("mid", "logDate"), partition="logDate", order=())
 
 
+def days_between(low: str, high: str) -> list[str]:
+    first, last = Date.fromisoformat(low), Date.fromisoformat(high)
+    return [(first + timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
+
+
 def dau_batch(table: KeyedTable) -> Callable[[DataFrame, int], None]:
     """First start per device and day in the batch, less what earlier batches hold.
 
-    The table is also the record of seen devices. Only its key columns are read, only for the days between the
-    batch's first and last, and only from earlier batches, so running a batch again gives the same rows.
+    The table is also the record of seen devices. Of it only the key columns are read, only for the days of the
+    batch and only from earlier batches, so running a batch again gives the same rows. It is narrowed to the
+    batch's devices before the anti join, which keeps a large record of the day out of the shuffle.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         with _Held(D.first_start(batch)) as firsts:
             days = firsts.agg(F.min("logDate").alias("low"), F.max("logDate").alias("high")).first()
             if days["low"] is None:
                 return
-            seen = table.batches(spark, before=batch_id).where(F.col("logDate").between(days["low"], days["high"]))
+            earlier = table.batches(batch.sparkSession, batch_id, days_between(days["low"], days["high"]))
+            seen = lookups.narrowed(earlier.select(*D.DEVICE_DAY), firsts, D.DEVICE_DAY)
             table.write(D.unseen(firsts, seen), batch_id, unique=True)
 
     return handle
@@ -128,16 +136,17 @@ def dau_bounded(starts: DataFrame, lateness: str = "1 day") -> DataFrame:
 # --- orders -----------------------------------------------------------------------------------------------------
 
 
-def order_table(path: str) -> KeyedTable:
-    fields = T.StructType(
-        [*S.ORDER_INFO.fields, T.StructField("create_hour", T.StringType()), T.StructField("create_date", T.StringType())]
-    )
-    return KeyedTable(path, fields, key=("id",), partition="create_date", order=("create_time",))
+def order_table(path: str, by: str = "create_date") -> KeyedTable:
+    """Order facts by day, or by ``create_month`` where days hold few orders."""
+    extra = ["create_date", "create_hour", *([by] if by != "create_date" else [])]
+    fields = T.StructType([*S.ORDER_INFO.fields, *[T.StructField(c, T.StringType()) for c in extra]])
+    return KeyedTable(path, fields, key=("id",), partition=by, order=("create_time",))
 
 
 def start_gmv(records: DataFrame, table: KeyedTable, checkpoint: str, **trigger) -> StreamingQuery:
     table.create(records.sparkSession)
     facts = orders.gmv_orders(decode_json(records, S.ORDER_INFO, required=("id", "create_time")))
+    facts = facts.withColumn("create_month", F.substring("create_date", 1, 7))
     return run_batches(facts, checkpoint, lambda rows, n: table.write(rows, n), "gmv", **trigger)
 
 
@@ -160,17 +169,35 @@ def start_users(records: DataFrame, table: KeyedTable, checkpoint: str, **trigge
     return run_batches(user_records(records), checkpoint, lambda rows, n: table.write(rows, n), "users", **trigger)
 
 
-def current_users(spark: SparkSession, table: KeyedTable) -> DataFrame:
+def newest_users(rows: DataFrame) -> DataFrame:
     """One row per user: the newest by record time, whichever batch brought it."""
-    newest = latest.latest_per_key(table.batches(spark), ["id"], ["ts", "offset", BATCH])
-    return newest.select(*S.USER_INFO.fieldNames())
+    return latest.latest_per_key(rows, ["id"], ["ts", "offset"]).select(*S.USER_INFO.fieldNames())
+
+
+def current_users(spark: SparkSession, table: KeyedTable) -> DataFrame:
+    return newest_users(table.batches(spark).drop(BATCH))
+
+
+Dimension = Callable[[SparkSession, DataFrame], DataFrame]  # (session, ids) -> users with those ids
+
+
+def cached_then_stored(table: KeyedTable, stored: Callable[[SparkSession], DataFrame]) -> Dimension:
+    """Users from the user table, and those missing there from a second source such as a relational table."""
+
+    def users(spark: SparkSession, ids: DataFrame) -> DataFrame:
+        cached = newest_users(lookups.narrowed(table.batches(spark).drop(BATCH), ids, ["id"]))
+        return sale_detail.user_dimension(cached, lookups.narrowed(stored(spark), ids, ["id"]))
+
+    return users
 
 
 # --- sale detail ------------------------------------------------------------------------------------------------
 
 
-def sale_table(path: str) -> KeyedTable:
-    return KeyedTable(path, S.SALE_DETAIL, key=("order_id", "order_detail_id"), partition="dt")
+def sale_table(path: str, by: str = "dt") -> KeyedTable:
+    """Sale rows by day, or by ``dt_month`` where days hold few sales."""
+    fields = T.StructType([*S.SALE_DETAIL.fields, *([T.StructField(by, T.StringType())] if by != "dt" else [])])
+    return KeyedTable(path, fields, key=("order_id", "order_detail_id"), partition=by)
 
 
 def order_line_stream(
@@ -201,19 +228,20 @@ def order_line_stream(
 
 
 def start_sale_detail(
-    pairs: DataFrame, users: Callable[[SparkSession], DataFrame], table: KeyedTable, checkpoint: str,
-    asof: Column | None = None, **trigger,
+    pairs: DataFrame, users: Dimension, table: KeyedTable, checkpoint: str, asof: Column | None = None, **trigger,
 ) -> StreamingQuery:
     """Enrich joined pairs with the users of the moment and keep them by (order, line).
 
-    ``users`` is called per batch, so each batch sees the current dimension.
+    ``users`` is asked per batch for the batch's own ids, so the dimension is current and is not shuffled whole.
     """
     table.create(pairs.sparkSession)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         today = F.current_timestamp() if asof is None else asof
-        rows = sale_detail.with_user(batch, users(batch.sparkSession), today)
-        table.write(rows, batch_id)
+        with _Held(batch) as rows:
+            ids = rows.select(F.col("user_id").alias("id")).distinct()
+            full = sale_detail.with_user(rows, users(batch.sparkSession, ids), today)
+            table.write(full.withColumn("dt_month", F.substring("dt", 1, 7)), batch_id)
 
     return run_batches(pairs, checkpoint, handle, "sale_detail", **trigger)
 
@@ -226,23 +254,27 @@ def sale_documents(sales: DataFrame) -> DataFrame:
 # --- coupon alerts ----------------------------------------------------------------------------------------------
 
 
+HOUR_MS = 3_600_000
+
+
 class AlertTables:
-    """Slots, judged windows and alert documents of one alert job."""
+    """Slots, judged windows and alert documents of one alert job, in partitions of ``grain_ms``."""
 
-    def __init__(self, path: str):
-        slot = T.StructType.fromDDL("mid string, slot bigint, evid string, uid string, itemid string, n bigint, hour bigint")
+    def __init__(self, path: str, grain_ms: int = HOUR_MS):
+        self.grain_ms = grain_ms
+        slot = T.StructType.fromDDL("mid string, slot bigint, evid string, uid string, itemid string, n bigint, bucket bigint")
         fact = T.StructType.fromDDL(
             "mid string, n_uids bigint, n_items bigint, n_events bigint, clicked boolean, "
-            "window_start bigint, hour bigint"
+            "window_start bigint, bucket bigint"
         )
         doc = T.StructType.fromDDL(
             "mid string, window_start bigint, part int, uids array<string>, item_ids array<string>, "
-            "event_runs array<struct<evid:string,n:bigint>>, hour bigint"
+            "event_runs array<struct<evid:string,n:bigint>>, bucket bigint"
         )
         key = ("mid", "window_start")
-        self.slots = KeyedTable(f"{path}/slots", slot, ("mid", "slot", "evid", "uid", "itemid"), "hour")
-        self.facts = KeyedTable(f"{path}/facts", fact, key, "hour")
-        self.documents = KeyedTable(f"{path}/documents", doc, (*key, "part"), "hour")
+        self.slots = KeyedTable(f"{path}/slots", slot, ("mid", "slot", "evid", "uid", "itemid"), "bucket")
+        self.facts = KeyedTable(f"{path}/facts", fact, key, "bucket")
+        self.documents = KeyedTable(f"{path}/documents", doc, (*key, "part"), "bucket")
 
     def create(self, spark: SparkSession) -> "AlertTables":
         for table in (self.slots, self.facts, self.documents):
@@ -250,10 +282,6 @@ class AlertTables:
         return self
 
 
-def _hour(ms: Column) -> Column:
-    return (ms / 3_600_000).cast("long")
-
-
 def alert_batch(tables: AlertTables, rule: A.Rule) -> Callable[[DataFrame, int], None]:
     """Count the batch's slots, then judge again every window that a slot of the batch belongs to.
 
@@ -261,28 +289,30 @@ def alert_batch(tables: AlertTables, rule: A.Rule) -> Callable[[DataFrame, int],
     a late click is written again as clicked and so stops being one: the result does not depend on arrival order.
     """
 
+    grain = tables.grain_ms
+
+    def bucketed(rows: DataFrame, ms: str) -> DataFrame:
+        return rows.withColumn("bucket", F.floor(F.col(ms) / grain))
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        counted = A.slots(batch, rule).withColumn("hour", _hour(F.col("slot")))
-        tables.slots.write(counted, batch_id, unique=True)
-        mine = tables.slots.batches(spark).where(F.col(BATCH) == batch_id)
-        span = mine.agg(F.min("slot").alias("low"), F.max("slot").alias("high")).first()
-        if span["low"] is None:
-            return
+        with _Held(bucketed(A.slots(batch, rule), "slot")) as counted:
+            span = counted.agg(F.min("slot").alias("low"), F.max("slot").alias("high")).first()
+            if span["low"] is None:
+                return
+            tables.slots.write(counted, batch_id, unique=True)
         low, high = span["low"] - rule.window, span["high"] + rule.window
-        near = tables.slots.batches(spark, before=batch_id + 1).where(
-            F.col("hour").between(low // 3_600_000, high // 3_600_000) & F.col("slot").between(low, high)
-        )
+        near = tables.slots.batches(spark, batch_id + 1, range(low // grain, high // grain + 1))
+        near = near.where(F.col("slot").between(low, high))
         with _Held(A.merge_slots(near)) as slot_rows:
-            # Only windows that hold a slot of this batch are complete within [low, high].
+            # Windows that start after low and not after the last slot of the batch lie whole within [low, high].
             judged = A.facts(slot_rows, rule).where(
                 (F.col("window_start") > low) & (F.col("window_start") <= span["high"])
             )
             with _Held(judged) as window_facts:
-                hour = _hour(F.col("window_start"))
-                tables.facts.write(window_facts.withColumn("hour", hour), batch_id, unique=True)
+                tables.facts.write(bucketed(window_facts, "window_start"), batch_id, unique=True)
                 docs = A.documents(A.alerts(window_facts), slot_rows, rule)
-                tables.documents.write(docs.withColumn("hour", hour), batch_id, unique=True)
+                tables.documents.write(bucketed(docs, "window_start"), batch_id, unique=True)
 
     return handle
 
@@ -300,12 +330,12 @@ def event_logs(records: DataFrame) -> DataFrame:
 def current_alerts(spark: SparkSession, tables: AlertTables) -> DataFrame:
     """Alerting windows by their last judgement, with ``batch``."""
     judged = latest.latest_per_key(tables.facts.batches(spark), ["mid", "window_start"], [BATCH])
-    return A.alerts(judged).drop("hour")
+    return A.alerts(judged).drop("bucket")
 
 
 def current_documents(spark: SparkSession, tables: AlertTables) -> DataFrame:
     """Documents of the current alerts: those written together with the last judgement."""
-    docs = tables.documents.batches(spark).drop("hour")
+    docs = tables.documents.batches(spark).drop("bucket")
     return docs.join(current_alerts(spark, tables), ["mid", "window_start", BATCH]).drop(BATCH)
 
 
