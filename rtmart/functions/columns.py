@@ -87,5 +87,11 @@ def doc_id(*parts: Column) -> Column:
     return F.concat_ws("-", *parts)
 
 
+def daily_index(prefix: str, day: Column | None = None) -> Column:
+    """Name of a document's daily index: by ``day``, or by the day of writing when none is given."""
+    written = F.date_format(F.current_timestamp(), "yyyy-MM-dd")
+    return doc_id(F.lit(prefix), written if day is None else day)
+
+
 def all_null(cols: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, [c.isNull() for c in cols])

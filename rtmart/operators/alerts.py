@@ -101,26 +101,30 @@ def _ceil_to(ms: Column, step: int) -> Column:
 
 
 def _members(windows: DataFrame, slot_rows: DataFrame, rule: Rule) -> DataFrame:
-    """Slot rows of the given windows. Joined on (device, slot), so a hot device is spread over its slots."""
+    """Slot rows of the given windows, beside the windows' columns. Joined on (device, slot), so a hot device is
+    spread over its slots."""
     covering = F.sequence(
         F.col("window_start"), F.col("window_start") + (rule.window - rule.slot), F.lit(rule.slot).cast("long")
     )
-    per_slot = windows.select(*WINDOW_KEY, F.explode(covering).alias("slot"))
+    per_slot = windows.select("*", F.explode(covering).alias("slot"))
     return per_slot.join(slot_rows, ["mid", "slot"])
 
 
 def facts(slot_rows: DataFrame, rule: Rule) -> DataFrame:
     """Candidate windows with ``n_uids, n_items, n_events, clicked``; clicked ones are not alerts."""
-    found = candidates(slot_rows, rule)
-    inside = _members(found, slot_rows, rule)
+    inside = _members(candidates(slot_rows, rule), slot_rows, rule)
     is_coupon = F.col("evid") == COUPON
     per_item = inside.groupBy(*WINDOW_KEY, F.when(is_coupon, F.struct("itemid")).alias("item")).agg(
-        F.sum("n").alias("n"), F.max(F.col("evid").eqNullSafe(F.lit(CLICK))).alias("clicked")
+        F.max("n_uids").alias("n_uids"),
+        F.sum("n").alias("n"),
+        F.max(F.col("evid").eqNullSafe(F.lit(CLICK))).alias("clicked"),
     )
-    sums = per_item.groupBy(*WINDOW_KEY).agg(
-        F.count("item").alias("n_items"), F.sum("n").alias("n_events"), F.max("clicked").alias("clicked")
+    return per_item.groupBy(*WINDOW_KEY).agg(
+        F.max("n_uids").alias("n_uids"),
+        F.count("item").alias("n_items"),
+        F.sum("n").alias("n_events"),
+        F.max("clicked").alias("clicked"),
     )
-    return found.join(sums, WINDOW_KEY)
 
 
 def alerts(window_facts: DataFrame) -> DataFrame:
@@ -153,7 +157,7 @@ def documents(windows: DataFrame, slot_rows: DataFrame, rule: Rule) -> DataFrame
         *WINDOW_KEY,
         F.greatest(F.ceil(F.greatest("n_uids", "n_items") / F.lit(rule.max_set)), F.lit(1)).cast("int").alias("parts"),
     )
-    inside = _members(parts, slot_rows, rule)
+    inside = _members(parts.select(*WINDOW_KEY), slot_rows, rule)
     coupon = inside.where(F.col("evid") == COUPON)
     kinds = F.explode(
         F.array(

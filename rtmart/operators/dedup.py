@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rtmart.functions.columns import log_hour
+from rtmart.functions.sizing import broadcast_if_small
 
 DEVICE_DAY = ["mid", "logDate"]
 
@@ -32,10 +33,11 @@ def seen_devices(starts: DataFrame) -> DataFrame:
     return starts.select(*DEVICE_DAY).distinct()
 
 
-def unseen(starts: DataFrame, seen: DataFrame) -> DataFrame:
+def unseen(starts: DataFrame, seen: DataFrame, measure: bool = False) -> DataFrame:
     """Starts of devices not yet recorded for that day.
 
-    No broadcast hint: the adaptive planner broadcasts the seen side when its measured size allows it and
-    shuffles otherwise. Call it after :func:`first_start`; the batch is then already spread by the same key.
+    With ``measure`` the seen side is counted first and broadcast when it is small. Without, the adaptive planner
+    decides by the size it meets. Call it after :func:`first_start`: the batch is then already spread by this key.
     """
-    return starts.join(seen.select(*DEVICE_DAY), DEVICE_DAY, "left_anti")
+    keys = seen.select(*DEVICE_DAY)
+    return starts.join(broadcast_if_small(keys) if measure else keys, DEVICE_DAY, "left_anti")

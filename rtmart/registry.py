@@ -63,7 +63,7 @@ def _gmv(spark, sf_dir, days=None) -> DataFrame:
 
 def _sales(spark, sf_dir, days=None) -> DataFrame:
     placed = orders.sale_orders(V.order_info(spark, sf_dir, days))
-    rows = sale_detail.sale_rows(placed, V.order_detail(spark, sf_dir))
+    rows = sale_detail.sale_rows(placed, V.order_detail(spark, sf_dir, days))
     return sale_detail.with_user(rows, V.user_info(spark, sf_dir), _asof())
 
 

@@ -123,8 +123,12 @@ def _line_id(*cols: str) -> Column:
     return F.concat_ws("-", *[_text(c) for c in cols])
 
 
-def order_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_detail(spark: SparkSession, sf_dir: str, days: Days | None = None) -> DataFrame:
+    """Order lines, all or those of the days' orders; the latter are picked before the join with the products."""
     line = table(spark, sf_dir, "lineitem")
+    if days is not None:
+        placed = in_days(table(spark, sf_dir, "orders"), "o_orderdate", days).select("o_orderkey")
+        line = line.join(placed, line.l_orderkey == placed.o_orderkey, "left_semi")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     return line.join(part, line.l_partkey == part.p_partkey, "left").select(
         _line_id("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),

@@ -22,7 +22,7 @@ from rtmart.functions.columns import doc_id
 from rtmart.functions.json_text import decode_json, rejected_json
 from rtmart.operators import alerts as A
 from rtmart.operators import dedup as D
-from rtmart.operators import ingest, latest, lookups, orders, sale_detail
+from rtmart.operators import latest, lookups, orders, sale_detail
 from rtmart.sources.star_tables import with_log_day
 from rtmart.streaming.keyed_table import BATCH, KeyedTable
 
@@ -108,7 +108,7 @@ def dau_batch(table: KeyedTable) -> Callable[[DataFrame, int], None]:
                 return
             earlier = table.batches(batch.sparkSession, batch_id, days_between(days["low"], days["high"]))
             seen = lookups.narrowed(earlier.select(*D.DEVICE_DAY), firsts, D.DEVICE_DAY)
-            table.write(D.unseen(firsts, seen), batch_id, unique=True)
+            table.write(D.unseen(firsts, seen), batch_id)
 
     return handle
 
@@ -300,7 +300,7 @@ def alert_batch(tables: AlertTables, rule: A.Rule) -> Callable[[DataFrame, int],
             span = counted.agg(F.min("slot").alias("low"), F.max("slot").alias("high")).first()
             if span["low"] is None:
                 return
-            tables.slots.write(counted, batch_id, unique=True)
+            tables.slots.write(counted, batch_id)
         low, high = span["low"] - rule.window, span["high"] + rule.window
         near = tables.slots.batches(spark, batch_id + 1, range(low // grain, high // grain + 1))
         near = near.where(F.col("slot").between(low, high))
@@ -310,9 +310,9 @@ def alert_batch(tables: AlertTables, rule: A.Rule) -> Callable[[DataFrame, int],
                 (F.col("window_start") > low) & (F.col("window_start") <= span["high"])
             )
             with _Held(judged) as window_facts:
-                tables.facts.write(bucketed(window_facts, "window_start"), batch_id, unique=True)
+                tables.facts.write(bucketed(window_facts, "window_start"), batch_id)
                 docs = A.documents(A.alerts(window_facts), slot_rows, rule)
-                tables.documents.write(bucketed(docs, "window_start"), batch_id, unique=True)
+                tables.documents.write(bucketed(docs, "window_start"), batch_id)
 
     return handle
 
@@ -339,12 +339,8 @@ def current_documents(spark: SparkSession, tables: AlertTables) -> DataFrame:
     return docs.join(current_alerts(spark, tables), ["mid", "window_start", BATCH]).drop(BATCH)
 
 
-# --- ingestion --------------------------------------------------------------------------------------------------
-
-
-def route_log_stream(lines: DataFrame, server_ts: Column | None = None) -> DataFrame:
-    return ingest.route_logs(lines, server_ts)
-
-
-def route_change_stream(changes: DataFrame) -> DataFrame:
-    return ingest.route_changes(changes)
+def minute_documents(spark: SparkSession, tables: AlertTables, rule: A.Rule = A.Rule()) -> DataFrame:
+    """The documents of the last alert per device and minute, with ``index_day`` and ``doc_id``."""
+    last = A.last_per_minute(current_alerts(spark, tables).drop(BATCH), rule)
+    docs = current_documents(spark, tables).select("mid", "window_start", "part", "uids", "item_ids", "event_runs")
+    return last.select("mid", "window_start", "index_day", "doc_id").join(docs, ["mid", "window_start"])

@@ -25,7 +25,9 @@ def test_across_midnight_are_two_days(spark):
 def test_unseen_looks_at_the_same_day_only(spark):
     df = starts(spark, [("m", "1", "a", NIGHT), ("m", "1", "a", NIGHT + 120_000), ("n", "1", "a", NIGHT)])
     seen = spark.createDataFrame([("m", "2024-01-01")], "mid string, logDate string")
-    assert keys(dedup.unseen(df, seen)) == [("m", "2024-01-02", "1"), ("n", "2024-01-01", "1")]
+    want = [("m", "2024-01-02", "1"), ("n", "2024-01-01", "1")]
+    assert keys(dedup.unseen(df, seen)) == want
+    assert keys(dedup.unseen(df, seen, measure=True)) == want
 
 
 def test_active_devices_agree_with_first_start(spark, sf_dir):

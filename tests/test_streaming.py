@@ -54,7 +54,8 @@ def test_keyed_table(spark, tmp_path):
     assert as_set(table.latest(spark), "k", "v") == want
     table.write(rows(("a", "d1", 0), ("c", "d3", 5)), 1)  # the same batch again
     assert as_set(table.latest(spark), "k", "v") == want
-    assert as_set(table.batches(spark, before=1), "k", "v") == {("a", 2), ("b", 1)}
+    assert as_set(table.batches(spark, before=1), "k", "v") == {("a", 1), ("a", 2), ("b", 1)}
+    assert as_set(table.latest(spark, before=1), "k", "v") == {("a", 2), ("b", 1)}
     assert as_set(table.latest(spark, partitions=["d1", "d9"]), "k", "v") == {("a", 0)}
     assert table.batches(spark, partitions=["d9"]).count() == 0
     table.create(spark)
@@ -65,6 +66,15 @@ def test_keyed_table(spark, tmp_path):
     assert as_set(table.latest(spark), "k", "v") == want
 
 
+def test_rows_without_a_key_are_all_kept(spark, tmp_path):
+    schema = "k string, v int"
+    table = KeyedTable(str(tmp_path / "t"), spark.createDataFrame([], schema).schema, ("k",), auto_id=True).create(spark)
+    table.write(spark.createDataFrame([(None, 1), (None, 1), ("a", 1)], schema), 0)
+    table.write(spark.createDataFrame([(None, 1), ("a", 2)], schema), 1)
+    table.write(spark.createDataFrame([], schema), 2)
+    assert sorted(r.v for r in table.latest(spark).collect()) == [1, 1, 1, 2]
+
+
 def test_named_partitions_are_the_only_ones_listed(spark, tmp_path):
     table, rows = small_table(spark, tmp_path / "t")
     table.write(rows(*[(str(i), f"d{i}", i) for i in range(20)]), 0)
@@ -227,6 +237,9 @@ def test_alert_stream_equals_rule_whatever_the_order(spark, tmp_path, in_order):
     docs = jobs.current_documents(spark, tables).withColumn("events", A.flat_events("event_runs")).collect()
     got = {(r.mid, r.window_start): (set(r.uids), set(r.item_ids), sorted(r.events)) for r in docs}
     assert len(got) == len(docs) and got == brute(rows, rule) and got
+    minutes = jobs.minute_documents(spark, tables, rule).collect()
+    assert {(r.mid, r.window_start) for r in minutes} == set(got)  # windows end on the minute: one each
+    assert len({(r.index_day, r.doc_id) for r in minutes}) == len(got)
 
 
 # --- ingestion --------------------------------------------------------------------------------------------------
