@@ -238,7 +238,7 @@ def oracle_sql() -> dict[str, str]:
                 FROM sales s LEFT JOIN user_latest l ON l.id = s.user_id""",
         ),
         "sale_detail_stream": _with(
-            sales, f"SELECT {SALE_FIELDS} FROM sales WHERE l_linenumber * 30 - 90 <= 100"
+            sales, f"SELECT DISTINCT {SALE_FIELDS} FROM sales WHERE l_linenumber * 30 - 90 <= 100"
         ),
         "sale_search_page": _with(
             hits, f"SELECT {SALE_FIELDS} FROM hits ORDER BY order_id, order_detail_id LIMIT 4 OFFSET 1"
