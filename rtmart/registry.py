@@ -235,7 +235,10 @@ def sale_detail_stream(spark, sf_dir):
     def users(session, ids):
         return lookups.narrowed(V.user_info(session, sf_dir), ids, ["id"])
 
-    query = jobs.start_sale_detail(pairs, users, table, f"{folder}/checkpoint", _asof(), availableNow=True)
+    query = jobs.start_sale_detail(
+        pairs, users, table, f"{folder}/checkpoint", _asof(),
+        state_partitions=spark.sparkContext.defaultParallelism, availableNow=True,
+    )
     jobs.finish(query, STREAM_TIMEOUT)
     return table.latest(spark).select(*S.SALE_DETAIL.fieldNames())
 

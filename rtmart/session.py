@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -42,3 +44,18 @@ def run_folder(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="rtmart-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/rtmart/{name}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str | None) -> Iterator[None]:
+    """Change one session setting for the length of a block; ``None`` changes nothing."""
+    old = spark.conf.get(key, None)
+    if value is not None:
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if value is not None and old is not None:
+            spark.conf.set(key, old)
+        elif value is not None:
+            spark.conf.unset(key)

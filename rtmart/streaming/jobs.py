@@ -23,6 +23,7 @@ from rtmart.functions.json_text import decode_json, rejected_json
 from rtmart.operators import alerts as A
 from rtmart.operators import dedup as D
 from rtmart.operators import latest, lookups, orders, sale_detail
+from rtmart.session import setting
 from rtmart.sources.star_tables import with_log_day
 from rtmart.streaming.keyed_table import BATCH, KeyedTable
 
@@ -32,14 +33,22 @@ ORDER_TTL = "100 seconds"
 
 
 def run_batches(
-    stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None], name: str | None = None, **trigger
+    stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None], name: str | None = None,
+    state_partitions: int | None = None, **trigger,
 ) -> StreamingQuery:
-    """Start a query that hands each micro-batch to ``handle``; row counts are in its progress reports."""
+    """Start a query that hands each micro-batch to ``handle``; row counts are in its progress reports.
+
+    A query keeps the number of state partitions it first started with. ``state_partitions`` sets it apart from
+    the session's shuffle width; take about the cores the job may use.
+    """
     counted = stream.observe(name or "rows", F.count(F.lit(1)).alias("rows"))
     writer = counted.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
-    return writer.trigger(**(trigger or {"processingTime": INTERVAL})).start()
+    writer = writer.trigger(**(trigger or {"processingTime": INTERVAL}))
+    width = None if state_partitions is None else str(state_partitions)
+    with setting(stream.sparkSession, "spark.sql.shuffle.partitions", width):
+        return writer.start()
 
 
 def finish(query: StreamingQuery, timeout: float | None = None) -> None:

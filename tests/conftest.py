@@ -14,7 +14,7 @@ TESTDATA = os.environ.get("TESTDATA_DIR", "/root/testdata")
 def spark():
     session = build_session(
         "tests", "local[8]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
+        **{"spark.sql.shuffle.partitions": "2", "spark.ui.enabled": "false",
            "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"},
     )
     session.sparkContext.setLogLevel("ERROR")
