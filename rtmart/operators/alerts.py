@@ -1,12 +1,14 @@
 """Coupon-abuse alerts: many accounts take a coupon on one device within a window and no item is clicked.
 
-The sliding window is worked out from *slots*, short tumbling counts per (device, account, item, event). Slots
-merge across batches and shrink a hot device before anything is spread over windows:
-
-1. ``slots``      – map-side combined counts per slot.
-2. ``candidates`` – windows with enough distinct coupon accounts. Only coupon slots are spread over windows, and
-   only in stretches of two window lengths that hold enough accounts at all.
-3. ``facts``      – candidates with fixed-width figures, among them whether an item was clicked.
+1. ``slots``      – short tumbling counts per (device, account, item, event), combined map-side. They merge across
+   batches and shrink a hot device before anything else happens.
+2. ``candidates`` – windows with enough distinct coupon accounts, and whether an item was clicked in them. Time is
+   cut into tiles of one window length. A window touches two tiles, so an account is in the window exactly when its
+   last coupon in the first tile is not before the window, or its first coupon in the second tile is not after it.
+   Two numbers per account and pair of tiles therefore tell all its windows, as at most two ranges of window starts;
+   a running sum over the ends of these ranges counts the accounts of every window. No event is copied into the
+   (length / slide) windows it belongs to. Clicks are counted along in the same way.
+3. ``facts``      – item and event counts of alerting windows.
 4. ``documents``  – the account and item sets of alerting windows. Sets above ``max_set`` members are dealt out
    over several parts by hash, so no task gathers a set of unknown size and nothing is cut off.
 """
@@ -16,7 +18,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from math import gcd
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Event names and the rule's parameters.
@@ -65,39 +67,76 @@ def merge_slots(parts: DataFrame) -> DataFrame:
     return parts.groupBy("mid", "slot", "evid", "uid", "itemid").agg(F.sum("n").alias("n"))
 
 
+def _ceil_to(ms: Column, step: int) -> Column:
+    return _floor_to(ms + (step - 1), step)
+
+
+def _window_ranges(rule: Rule) -> Column:
+    """Window starts of a pair of tiles that hold a row, as ``(pos, d)`` steps of a running count.
+
+    ``before`` is the last slot in the first tile, ``after`` the first slot in the second; either may be missing.
+    """
+    low, high = _first_start(rule), _last_start(rule)
+    until = _floor_to(F.col("before"), rule.slide)
+    since = _floor_to(F.col("after") - rule.window, rule.slide) + rule.slide
+    step = lambda pos, d: F.struct(pos.alias("pos"), F.lit(d).cast("long").alias("d"))
+    early = F.when(until >= low, F.array(step(low, 1), step(until + rule.slide, -1)))
+    late = F.when(since <= high, F.array(step(since, 1)))
+    none = F.array().cast("array<struct<pos:bigint,d:bigint>>")
+    apart = F.concat(F.coalesce(early, none), F.coalesce(late, none))
+    whole = (until >= low) & (since <= high) & (until + rule.slide >= since)
+    steps = F.when(whole, F.array(step(low, 1))).otherwise(apart)
+    return F.filter(steps, lambda s: s["pos"] <= high)
+
+
+def _first_start(rule: Rule) -> Column:
+    return _ceil_to(F.col("pair") * rule.window, rule.slide)
+
+
+def _last_start(rule: Rule) -> Column:
+    return _floor_to((F.col("pair") + 1) * rule.window - 1, rule.slide)
+
+
 def candidates(slot_rows: DataFrame, rule: Rule) -> DataFrame:
-    """``mid, window_start, n_uids`` of windows with enough coupon accounts. A missing account counts as one."""
-    coupon = slot_rows.where(F.col("evid") == COUPON).select("mid", "uid", "slot")
-    # Stretch k covers [k*window, (k+2)*window) and owns the window starts in its first half.
-    own = (_floor_to(F.col("slot"), rule.window) / rule.window).cast("long")
-    stretched = coupon.select("mid", "uid", "slot", F.explode(F.array(own, own - 1)).alias("stretch"))
-    busy = (
-        stretched.groupBy("mid", "stretch", "uid")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("mid", "stretch")
-        .agg(F.count("one").alias("n"))
-        .where(F.col("n") >= rule.min_accounts)
-        .select("mid", "stretch")
+    """``mid, window_start, n_uids, clicked`` of windows with enough coupon accounts.
+
+    A missing account counts as one. Each shuffle has the time in its key; what is grouped by device and pair of
+    tiles alone is the steps, of which there are no more than windows in a tile.
+    """
+    is_click = F.col("evid") == CLICK
+    tile = F.floor(F.col("slot") / rule.window)
+    halves = F.explode(
+        F.array(
+            F.struct(tile.alias("pair"), F.col("slot").alias("before"), F.lit(None).cast("long").alias("after")),
+            F.struct((tile - 1).alias("pair"), F.lit(None).cast("long").alias("before"), F.col("slot").alias("after")),
+        )
     )
-    dense = stretched.join(busy, ["mid", "stretch"], "left_semi")
-    first = F.greatest(
-        _floor_to(F.col("slot") - rule.window, rule.slide) + rule.slide, _ceil_to(F.col("stretch") * rule.window, rule.slide)
+    placed = slot_rows.where(F.col("evid").isin(COUPON, CLICK)).select(
+        "mid", is_click.alias("click"), F.when(~is_click, F.col("uid")).alias("uid"), halves.alias("h")
     )
-    last = F.least(
-        _floor_to(F.col("slot"), rule.slide), _floor_to((F.col("stretch") + 1) * rule.window - 1, rule.slide)
+    ends = placed.select("mid", "click", "uid", "h.*").groupBy("mid", "pair", "click", "uid").agg(
+        F.max("before").alias("before"), F.min("after").alias("after")
     )
-    spread = dense.select(
-        "mid",
-        "uid",
-        F.explode(F.when(first <= last, F.sequence(first, last, F.lit(rule.slide).cast("long")))).alias("window_start"),
+    deltas = ends.select("mid", "pair", "click", F.explode(_window_ranges(rule)).alias("s"))
+    steps = deltas.groupBy("mid", "pair", F.col("s.pos").alias("pos")).agg(
+        F.sum(F.when(~F.col("click"), F.col("s.d")).otherwise(0)).alias("uids"),
+        F.sum(F.when(F.col("click"), F.col("s.d")).otherwise(0)).alias("clicks"),
     )
-    accounts = spread.groupBy("mid", "window_start", "uid").agg(F.lit(1).alias("one"))
-    counted = accounts.groupBy(*WINDOW_KEY).agg(F.count("one").alias("n_uids"))
-    return counted.where(F.col("n_uids") >= rule.min_accounts)
+    order = Window.partitionBy("mid", "pair").orderBy("pos")
+    running = order.rowsBetween(Window.unboundedPreceding, 0)
+    counted = steps.select(
+        "mid",
+        "pos",
+        F.sum("uids").over(running).alias("n_uids"),
+        (F.sum("clicks").over(running) > 0).alias("clicked"),
+        F.coalesce(F.lead("pos").over(order), _last_start(rule) + rule.slide).alias("next"),
+    ).where(F.col("n_uids") >= rule.min_accounts)
+    starts = F.sequence(F.col("pos"), F.col("next") - rule.slide, F.lit(rule.slide).cast("long"))
+    return counted.select("mid", F.explode(starts).alias("window_start"), "n_uids", "clicked")
 
 
-def _ceil_to(ms: Column, step: int) -> Column:
-    return _floor_to(ms + (step - 1), step)
+def alerts(windows: DataFrame) -> DataFrame:
+    return windows.where(~F.col("clicked"))
 
 
 def _members(windows: DataFrame, slot_rows: DataFrame, rule: Rule) -> DataFrame:
@@ -110,27 +149,18 @@ def _members(windows: DataFrame, slot_rows: DataFrame, rule: Rule) -> DataFrame:
     return per_slot.join(slot_rows, ["mid", "slot"])
 
 
-def facts(slot_rows: DataFrame, rule: Rule) -> DataFrame:
-    """Candidate windows with ``n_uids, n_items, n_events, clicked``; clicked ones are not alerts."""
-    inside = _members(candidates(slot_rows, rule), slot_rows, rule)
-    is_coupon = F.col("evid") == COUPON
-    per_item = inside.groupBy(*WINDOW_KEY, F.when(is_coupon, F.struct("itemid")).alias("item")).agg(
-        F.max("n_uids").alias("n_uids"),
-        F.sum("n").alias("n"),
-        F.max(F.col("evid").eqNullSafe(F.lit(CLICK))).alias("clicked"),
+def facts(windows: DataFrame, slot_rows: DataFrame, rule: Rule) -> DataFrame:
+    """The windows with ``n_uids, n_items, n_events``."""
+    inside = _members(windows.select(*WINDOW_KEY, "n_uids"), slot_rows, rule)
+    item = F.when(F.col("evid") == COUPON, F.struct("itemid"))
+    per_item = inside.groupBy(*WINDOW_KEY, item.alias("item")).agg(
+        F.max("n_uids").alias("n_uids"), F.sum("n").alias("n")
     )
     return per_item.groupBy(*WINDOW_KEY).agg(
-        F.max("n_uids").alias("n_uids"),
-        F.count("item").alias("n_items"),
-        F.sum("n").alias("n_events"),
-        F.max("clicked").alias("clicked"),
+        F.max("n_uids").alias("n_uids"), F.count("item").alias("n_items"), F.sum("n").alias("n_events")
     )
 
 
-def alerts(window_facts: DataFrame) -> DataFrame:
-    return window_facts.where(~F.col("clicked"))
-
-
 def last_per_minute(window_facts: DataFrame, rule: Rule) -> DataFrame:
     """One alert per device and minute of the window's end: the last one. Adds ``index_day`` and ``doc_id``."""
     end = F.timestamp_millis(F.col("window_start") + rule.window)

@@ -315,12 +315,14 @@ def alert_batch(tables: AlertTables, rule: A.Rule) -> Callable[[DataFrame, int],
         near = near.where(F.col("slot").between(low, high))
         with _Held(A.merge_slots(near)) as slot_rows:
             # Windows that start after low and not after the last slot of the batch lie whole within [low, high].
-            judged = A.facts(slot_rows, rule).where(
+            judged = A.candidates(slot_rows, rule).where(
                 (F.col("window_start") > low) & (F.col("window_start") <= span["high"])
             )
-            with _Held(judged) as window_facts:
-                tables.facts.write(bucketed(window_facts, "window_start"), batch_id)
-                docs = A.documents(A.alerts(window_facts), slot_rows, rule)
+            with _Held(judged) as windows, _Held(A.facts(A.alerts(windows), slot_rows, rule)) as figures:
+                clicked = windows.where("clicked")
+                rows = figures.withColumn("clicked", F.lit(False)).unionByName(clicked, allowMissingColumns=True)
+                tables.facts.write(bucketed(rows, "window_start"), batch_id)
+                docs = A.documents(figures, slot_rows, rule)
                 tables.documents.write(bucketed(docs, "window_start"), batch_id)
 
     return handle

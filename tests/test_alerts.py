@@ -28,13 +28,14 @@ def brute(rows, rule):
             coupon = [r for r in inside if r[3] == "coupon"]
             uids = {r[1] for r in coupon}
             if len(uids) >= rule.min_accounts and not any(r[3] == "clickItem" for r in inside):
+                assert w % rule.slide == 0
                 out[(mid, w)] = (uids, {r[2] for r in coupon}, sorted(str(r[3]) for r in inside))
     return out
 
 
 def found(spark, rows, rule):
     slot_rows = A.slots(events(spark, rows), rule).persist()
-    facts = A.alerts(A.facts(slot_rows, rule)).persist()
+    facts = A.facts(A.alerts(A.candidates(slot_rows, rule)), slot_rows, rule).persist()
     docs = A.documents(facts, slot_rows, rule).withColumn("events", A.flat_events("event_runs"))
     out = {}
     for r in docs.collect():
@@ -72,7 +73,7 @@ def test_missing_account_counts_as_one(spark):
     assert got == brute(rows, RULE) and next(iter(got.values()))[0] == {"1", "2", None}
 
 
-@pytest.mark.parametrize("window_s, slide_s", [(300, 5), (300, 300), (60, 25), (30, 45), (3600, 300)])
+@pytest.mark.parametrize("window_s, slide_s", [(300, 5), (300, 300), (60, 25), (30, 45), (3600, 300), (70, 30)])
 def test_against_brute_force(spark, window_s, slide_s):
     rng = random.Random(window_s * 1000 + slide_s)
     kinds = ["coupon", "coupon", "addCart", "addFavor", None]
@@ -90,14 +91,15 @@ def test_outsized_sets_are_dealt_out_whole(spark):
     rows = [("m", str(i), str(i % 7), "coupon", T0 + i) for i in range(200)]
     rule = A.Rule(max_set=10)
     slot_rows = A.slots(events(spark, rows), rule)
-    docs = A.documents(A.facts(slot_rows, rule), slot_rows, rule)
+    docs = A.documents(A.facts(A.candidates(slot_rows, rule), slot_rows, rule), slot_rows, rule)
     assert docs.selectExpr("max(size(uids))").first()[0] < 60 and docs.select("part").distinct().count() > 10
     assert found(spark, rows, rule) == brute(rows, rule)
 
 
 def test_last_window_per_minute(spark):
     rows = coupons(("1", 0), ("2", 1000), ("3", 2000))
-    facts = A.alerts(A.facts(A.slots(events(spark, rows), RULE), RULE))
+    slot_rows = A.slots(events(spark, rows), RULE)
+    facts = A.facts(A.alerts(A.candidates(slot_rows, RULE)), slot_rows, RULE)
     got = A.last_per_minute(facts, RULE).orderBy("window_start").collect()
     assert [r.doc_id for r in got] == [f"m-00:0{i}" for i in range(6)]
     assert [r.window_start - T0 for r in got] == [-245_000 + 60_000 * i for i in range(5)] + [0]
