@@ -1,7 +1,6 @@
 """Coupon-abuse alerts: many accounts take a coupon on one device within a window and no item is clicked.
 
-1. ``slots``      – short tumbling counts per (device, account, item, event), combined map-side. They merge across
-   batches and shrink a hot device before anything else happens.
+1. ``cut`` / ``slots`` – events with the start of their slot, one by one or merged per (device, account, item, event).
 2. ``candidates`` – windows with enough distinct coupon accounts, and whether an item was clicked in them. Time is
    cut into tiles of one window length. A window touches two tiles, so an account is in the window exactly when its
    last coupon in the first tile is not before the window, or its first coupon in the second tile is not after it.
@@ -56,37 +55,43 @@ def _floor_to(ms: Column, step: int) -> Column:
     return ms - F.pmod(ms, F.lit(step))
 
 
-def slots(events: DataFrame, rule: Rule) -> DataFrame:
-    """``mid, slot, evid, uid, itemid, n``; slot is the start of the slot in epoch milliseconds."""
-    cut = events.select("mid", _floor_to(F.col("ts"), rule.slot).alias("slot"), "evid", "uid", "itemid")
-    return cut.groupBy("mid", "slot", "evid", "uid", "itemid").agg(F.count(F.lit(1)).alias("n"))
+def cut(events: DataFrame, rule: Rule) -> DataFrame:
+    """``mid, slot, evid, uid, itemid, n`` with one row per event; slot is the slot's start in epoch milliseconds.
+
+    Everything below takes these rows as well as the merged ones of :func:`slots`. Cutting alone needs no shuffle,
+    so it is the form for one pass over stored events.
+    """
+    slot = _floor_to(F.col("ts"), rule.slot)
+    return events.select("mid", slot.alias("slot"), "evid", "uid", "itemid", F.lit(1).cast("long").alias("n"))
 
 
-def merge_slots(parts: DataFrame) -> DataFrame:
-    """Add up slots that were counted in several batches."""
-    return parts.groupBy("mid", "slot", "evid", "uid", "itemid").agg(F.sum("n").alias("n"))
+def slots(events: DataFrame, rule: Rule) -> DataFrame:
+    """Events merged per slot: the form to store. Parts counted in several batches may simply lie side by side."""
+    return cut(events, rule).groupBy("mid", "slot", "evid", "uid", "itemid").agg(F.sum("n").alias("n"))
 
 
 def _ceil_to(ms: Column, step: int) -> Column:
     return _floor_to(ms + (step - 1), step)
 
 
-def _window_ranges(rule: Rule) -> Column:
-    """Window starts of a pair of tiles that hold a row, as ``(pos, d)`` steps of a running count.
+def _range_steps(ends: DataFrame, rule: Rule) -> DataFrame:
+    """Window starts of a pair of tiles that hold a row, as steps ``pos, d`` of a running count.
 
     ``before`` is the last slot in the first tile, ``after`` the first slot in the second; either may be missing.
+    Windows start up to ``before`` or later than a window length before ``after``; ranges that meet become one.
     """
     low, high = _first_start(rule), _last_start(rule)
     until = _floor_to(F.col("before"), rule.slide)
     since = _floor_to(F.col("after") - rule.window, rule.slide) + rule.slide
-    step = lambda pos, d: F.struct(pos.alias("pos"), F.lit(d).cast("long").alias("d"))
-    early = F.when(until >= low, F.array(step(low, 1), step(until + rule.slide, -1)))
-    late = F.when(since <= high, F.array(step(since, 1)))
-    none = F.array().cast("array<struct<pos:bigint,d:bigint>>")
-    apart = F.concat(F.coalesce(early, none), F.coalesce(late, none))
-    whole = (until >= low) & (since <= high) & (until + rule.slide >= since)
-    steps = F.when(whole, F.array(step(low, 1))).otherwise(apart)
-    return F.filter(steps, lambda s: s["pos"] <= high)
+    early, late = F.coalesce(until >= low, F.lit(False)), F.coalesce(since <= high, F.lit(False))
+    meet = early & late & (until + rule.slide >= since)
+    steps = F.stack(
+        F.lit(3),
+        F.when(early, low), F.lit(1),
+        F.when(early & ~meet, until + rule.slide), F.lit(-1),
+        F.when(late & ~meet, since), F.lit(1),
+    ).alias("pos", "d")
+    return ends.select("mid", "pair", "click", steps).where(F.col("pos") <= _last_start(rule))
 
 
 def _first_start(rule: Rule) -> Column:
@@ -104,23 +109,17 @@ def candidates(slot_rows: DataFrame, rule: Rule) -> DataFrame:
     tiles alone is the steps, of which there are no more than windows in a tile.
     """
     is_click = F.col("evid") == CLICK
-    tile = F.floor(F.col("slot") / rule.window)
-    halves = F.explode(
-        F.array(
-            F.struct(tile.alias("pair"), F.col("slot").alias("before"), F.lit(None).cast("long").alias("after")),
-            F.struct((tile - 1).alias("pair"), F.lit(None).cast("long").alias("before"), F.col("slot").alias("after")),
-        )
-    )
+    tile, slot, none = F.floor(F.col("slot") / rule.window), F.col("slot"), F.lit(None).cast("long")
+    halves = F.stack(F.lit(2), tile, slot, none, tile - 1, none, slot).alias("pair", "before", "after")
     placed = slot_rows.where(F.col("evid").isin(COUPON, CLICK)).select(
-        "mid", is_click.alias("click"), F.when(~is_click, F.col("uid")).alias("uid"), halves.alias("h")
+        "mid", is_click.alias("click"), F.when(~is_click, F.col("uid")).alias("uid"), halves
     )
-    ends = placed.select("mid", "click", "uid", "h.*").groupBy("mid", "pair", "click", "uid").agg(
+    ends = placed.groupBy("mid", "pair", "click", "uid").agg(
         F.max("before").alias("before"), F.min("after").alias("after")
     )
-    deltas = ends.select("mid", "pair", "click", F.explode(_window_ranges(rule)).alias("s"))
-    steps = deltas.groupBy("mid", "pair", F.col("s.pos").alias("pos")).agg(
-        F.sum(F.when(~F.col("click"), F.col("s.d")).otherwise(0)).alias("uids"),
-        F.sum(F.when(F.col("click"), F.col("s.d")).otherwise(0)).alias("clicks"),
+    steps = _range_steps(ends, rule).groupBy("mid", "pair", "pos").agg(
+        F.sum(F.when(~F.col("click"), F.col("d")).otherwise(0)).alias("uids"),
+        F.sum(F.when(F.col("click"), F.col("d")).otherwise(0)).alias("clicks"),
     )
     order = Window.partitionBy("mid", "pair").orderBy("pos")
     running = order.rowsBetween(Window.unboundedPreceding, 0)

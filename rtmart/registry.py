@@ -300,7 +300,7 @@ def _listed(docs: DataFrame) -> DataFrame:
 
 
 def _window_facts(spark, sf_dir, rule):
-    slot_rows = A.slots(V.event_log(spark, sf_dir), rule)
+    slot_rows = A.cut(V.event_log(spark, sf_dir), rule)
     return slot_rows, A.facts(A.alerts(A.candidates(slot_rows, rule)), slot_rows, rule)
 
 

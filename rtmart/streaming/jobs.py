@@ -312,8 +312,7 @@ def alert_batch(tables: AlertTables, rule: A.Rule) -> Callable[[DataFrame, int],
             tables.slots.write(counted, batch_id)
         low, high = span["low"] - rule.window, span["high"] + rule.window
         near = tables.slots.batches(spark, batch_id + 1, range(low // grain, high // grain + 1))
-        near = near.where(F.col("slot").between(low, high))
-        with _Held(A.merge_slots(near)) as slot_rows:
+        with _Held(near.where(F.col("slot").between(low, high)).drop(BATCH, "bucket")) as slot_rows:
             # Windows that start after low and not after the last slot of the batch lie whole within [low, high].
             judged = A.candidates(slot_rows, rule).where(
                 (F.col("window_start") > low) & (F.col("window_start") <= span["high"])

@@ -33,8 +33,8 @@ def brute(rows, rule):
     return out
 
 
-def found(spark, rows, rule):
-    slot_rows = A.slots(events(spark, rows), rule).persist()
+def found(spark, rows, rule, merged=False):
+    slot_rows = (A.slots if merged else A.cut)(events(spark, rows), rule).persist()
     facts = A.facts(A.alerts(A.candidates(slot_rows, rule)), slot_rows, rule).persist()
     docs = A.documents(facts, slot_rows, rule).withColumn("events", A.flat_events("event_runs"))
     out = {}
@@ -85,6 +85,8 @@ def test_against_brute_force(spark, window_s, slide_s):
     rule = A.Rule(window_s, slide_s)
     got = found(spark, rows, rule)
     assert got == brute(rows, rule) and got
+    if window_s == 3600:
+        assert found(spark, rows, rule, merged=True) == got
 
 
 def test_outsized_sets_are_dealt_out_whole(spark):
