@@ -1,0 +1,64 @@
+import hashlib
+import random
+
+import pytest
+
+from rtmart.llm import suffix_dedup
+
+
+def brute(docs, length):
+    """docs: {doc_id: bytes} -> {doc_id: (n_removed, n_spans, kept)}"""
+    seen, out = {}, {}
+    for doc in sorted(docs):
+        text = docs[doc]
+        gone = bytearray(len(text))
+        for i in range(len(text) - length + 1):
+            if seen.setdefault(text[i : i + length], (doc, i)) != (doc, i):
+                gone[i : i + length] = b"\x01" * length
+        spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        out[doc] = (sum(gone), spans, bytes(b for b, g in zip(text, gone) if not g))
+    return out
+
+
+def corpus(seed, n=60):
+    rng = random.Random(seed)
+    passages = ["".join(rng.choice("abcdé ") for _ in range(rng.randint(20, 300))) for _ in range(8)]
+    docs = {}
+    for i in rng.sample(range(1000), n):
+        parts = []
+        for _ in range(rng.randint(0, 6)):
+            p = rng.choice(passages)
+            if rng.random() < 0.5:
+                cut = rng.randint(0, len(p))
+                p = p[:cut] + rng.choice("xyz") + p[cut:]
+            parts.append(p if rng.random() < 0.7 else "".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 200))))
+        docs[i] = "".join(parts)
+    docs[2000], docs[2001] = "a" * 700, "b" * 99 + "a" * 300
+    docs[2002] = docs[2003] = passages[0] * 3
+    docs[2004] = ""
+    return docs
+
+
+@pytest.mark.parametrize("length, bucket_rows", [(100, 20_000), (100, 3), (40, 20_000), (12, 50)])
+def test_against_brute_force(spark, length, bucket_rows):
+    docs = corpus(length + bucket_rows)
+    rows = [(k, v, "x") for k, v in docs.items()] + [(2005, None, "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, key string").repartition(5)
+    got = {r.doc_id: (r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.dedup(frame, length, bucket_rows).collect()}
+    expected = brute({k: (v or "").encode() for k, v, _ in rows}, length)
+    assert got == expected
+
+
+def test_digest_and_odd_rows(spark):
+    text = "0123456789" * 30
+    rows = [(1, text), (1, text), (None, text), (5, text + "tail"), (7, "é" * 50)]
+    out = suffix_dedup.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by = {}
+    for r in out:
+        by.setdefault(r.doc_id, []).append(r)
+    assert len(by[1]) == 2 and {r.n_removed for r in by[1]} == {290}
+    assert by[None][0].n_removed == 0 and by[5][0].n_removed == 300
+    assert by[5][0].kept_sha256 == hashlib.sha256(b"tail").hexdigest()
+    assert by[7][0].n_bytes == 100 and by[7][0].n_spans == 0
+    empty = suffix_dedup.digest(spark.createDataFrame([], "doc_id long, text string"))
+    assert empty.collect() == []
