@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rtmart.llm import suffix_dedup
+from rtmart.llm import simhash_dedup, substring_dedup, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,14 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(_read(spark, sf_dir, "documents"))
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.digest(_read(spark, sf_dir, "documents"))
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and name[2].isdigit()}
 
