@@ -26,17 +26,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rtmart.llm import repeats as R
 from rtmart.llm import shared as S
 
 WORDS = 13
 GRAM = 5  # words of an anchor
 SHARD_ROWS = 20_000
-_AT_SCHEMA = "key long, kind byte, doc_id long, at long"
-_TEXT_SCHEMA = "key long, doc_id long, first long, last long, anchor int, body binary"
-_RANGE_SCHEMA = "key long, key2 long, doc_id long, first long, last long"
 
 
 class WaveletMatrix:
@@ -123,54 +122,25 @@ def _anchor_rows(words: int):
             at, first, last = S.anchors(joined, width, np.concatenate(label))
             who = np.searchsorted(base, first, side="right") - 1
             key, doc = joined[at].astype(np.int64), ids[who].astype(np.int64)
-            place = ((at - base[who]) << 14) | ((at - first) << 7) | (at - last)
-            kind = S.combine(key)
-            spread = S.mix((doc ^ place).astype(np.uint64)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.where(kind == S.KNOWN, spread, key)), pa.array(kind), pa.array(doc), pa.array(place)],
-                ["key", "kind", "doc_id", "at"],
-            )
+            yield R.anchor_batch(key, doc, at - base[who], at, first, last)
 
     return run
 
 
-def _surroundings(words: int):
+def _windows(words: int):
     gram = min(GRAM, words)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            rows = sorted((i for i, a in enumerate(batch.column(2)) if a.is_valid), key=lambda i: ids[i])
-            seen: dict[tuple[bytes, int], int] = {}
-            out: list[tuple] = []
-            for i in rows:
-                body, doc = batch.column(1)[i].as_buffer().to_pybytes().split(), int(ids[i])
-                ats = np.unique(np.asarray(batch.column(2)[i].values))
-                anchor = ats >> 14
-                first, last = anchor - ((ats >> 7) & 127), anchor - (ats & 127)
-                for a, lo, hi in zip(anchor.tolist(), first.tolist(), last.tolist()):
-                    if hi + words > len(body):
-                        continue  # the id's texts differ
-                    text = b" ".join(body[lo : hi + words])
-                    if seen.setdefault((text, a - lo), doc) == doc:
-                        key = xxhash.xxh64_intdigest(b" ".join(body[a : a + gram])) - (1 << 63)
-                        out.append((key, doc, lo, hi, a - lo, text))
-                    else:
-                        out.append((xxhash.xxh64_intdigest(b"%d.%d" % (doc, lo)) - (1 << 63), doc, lo, hi, 0, None))
-                if len(out) >= 10_000:
-                    yield _text_batch(out)
-                    out = []
-            if out:
-                yield _text_batch(out)
+    def of(body: bytes):
+        parts = body.split()
 
-    return run
+        def cut(anchor: int, first: int, last: int):
+            if last + words <= len(parts):
+                key = xxhash.xxh64_intdigest(b" ".join(parts[anchor : anchor + gram])) - (1 << 63)
+                return key, b" ".join(parts[first : last + words])
 
+        return cut
 
-def _text_batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int64()] * 4 + [pa.int32(), pa.binary()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(zip(*rows), types)], ["key", "doc_id", "first", "last", "anchor", "body"]
-    )
+    return of
 
 
 def repeated_windows(doc: np.ndarray, first: np.ndarray, bodies: list[bytes], words: int):
@@ -208,112 +178,31 @@ def _hashed(doc, first, bodies: list[bytes], words: int):
     return [np.array(x, np.int64) for x in zip(*keys)]
 
 
-def _range_batch(key, key2, doc, first, last) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.asarray(x, np.int64)) for x in (key, key2, doc, first, last)],
-        ["key", "key2", "doc_id", "first", "last"],
-    )
-
-
-def _settled(doc, first, last) -> pa.RecordBatch:
-    spread = S.mix(np.asarray(doc, np.int64).astype(np.uint64) ^ np.asarray(first, np.int64).astype(np.uint64)).astype(np.int64)
-    return _range_batch(spread, spread, doc, first, last)
+def _same_document(owner: tuple[int, int], own: tuple[int, int]) -> bool:
+    return owner[0] == own[0]
 
 
-def _search_shards(words: int, shard_rows: int):
-    def flush(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        if rows:
-            _, doc, first = (np.array(x, np.int64) for x in list(zip(*rows))[:3])
-            flags, owner, where = repeated_windows(doc, first, [r[3] for r in rows], words)
-            at = np.flatnonzero(flags)
-            yield _settled(doc[owner[at]], where[at], where[at])
-
-    def passed_on(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        for low in range(0, len(rows), 1000):
-            part = rows[low : low + 1000]
-            key, key2, doc, at = _hashed([r[1] for r in part], [r[2] for r in part], [r[3] for r in part], words)
-            yield _range_batch(key, key2, doc, at, np.full(len(at), -1))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready: list[tuple] = []  # rows of finished anchors with several different surroundings
-        here: list[tuple] = []
-        key, seen, spilled = None, {}, False
-        for batch in batches:
-            done: list[tuple[int, int, int]] = []
-            for k, doc, first, last, anchor, body in zip(*[batch.column(i).to_pylist() for i in range(6)]):
-                if body is None:
-                    done.append((doc, first, last))
-                    continue
-                if k != key:
-                    if spilled:
-                        yield from passed_on(here)
-                    elif len(here) > 1:
-                        ready += here
-                        if len(ready) >= shard_rows:
-                            yield from flush(ready)
-                            ready = []
-                    key, seen, here, spilled = k, {}, [], False
-                leader = seen.setdefault((body, anchor), doc)
-                if leader != doc:
-                    done.append((doc, first, last))
-                    continue
-                here.append((k, doc, first, body))
-                if len(here) >= shard_rows:
-                    yield from passed_on(here)
-                    here, seen, spilled = [], {}, True
-            if done:
-                yield _settled(*zip(*done))
-        if spilled:
-            yield from passed_on(here)
-        elif len(here) > 1:
-            ready += here
-        yield from flush(ready)
-
-    return run
-
+def spans(docs: DataFrame, words: int = WORDS, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """(doc_id, body, ranges): the compressed bytes of each document and the starts of its repeated windows as ranges."""
 
-def _later_of_equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Settled ranges as they are; of hashed windows, sorted by hash and document, those past the first document."""
-    held = None
-    for batch in batches:
-        key, key2, doc, first, last = (batch.column(i).to_numpy() for i in range(5))
-        settled = last >= 0
-        out = [(doc[settled], first[settled], last[settled])]
-        rows = [x[~settled] for x in (key, key2, doc, first)]
-        if len(rows[0]):
-            if held is not None:
-                rows = [np.concatenate(([h], x)) for h, x in zip(held, rows)]
-            new = np.concatenate(([True], (np.diff(rows[0]) != 0) | (np.diff(rows[1]) != 0)))
-            leader = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-            other = rows[2] != rows[2][leader]
-            out.append((rows[2][other], rows[3][other], rows[3][other]))
-            held = [x[leader[-1]] for x in rows]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(x), pa.int64()) for x in zip(*out)], ["doc_id", "first", "last"]
-        )
+    def search(_, doc, first, anchor, bodies):
+        flags, owner, where = repeated_windows(doc, first, bodies, words)
+        return R.flag_ranges(flags, owner, doc, where)
 
+    def hashed(doc, first, bodies):
+        return _hashed(doc, first, bodies, words)
 
-def spans(docs: DataFrame, words: int = WORDS, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(doc_id, body, ranges): the bytes of each document and the starts of its repeated windows as ranges."""
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), S.utf8().alias("body"))
-    rows = base.mapInArrow(_anchor_rows(words), _AT_SCHEMA)
-    shared = rows.repartition("key").sortWithinPartitions("key").mapInArrow(S.repeated_keys, "doc_id long, at long")
-    ats = shared.groupBy("doc_id").agg(F.collect_list("at").alias("ats"))
-    texts = base.join(ats, "doc_id", "left").mapInArrow(_surroundings(words), _TEXT_SCHEMA)
-    shards = texts.repartition("key").sortWithinPartitions("key", "doc_id", "first")
-    ranges = shards.mapInArrow(_search_shards(words, shard_rows), _RANGE_SCHEMA)
-    ranges = ranges.repartition("key").sortWithinPartitions("key", "key2", "doc_id", "first")
-    ranges = ranges.mapInArrow(_later_of_equal, "doc_id long, first long, last long")
-    found = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
-    return base.join(found, "doc_id", "left")
+    groups = R.search_groups(search, hashed, _same_document, shard_rows)
+    return R.located(docs, _anchor_rows(words), R.surroundings(_windows(words), _same_document), groups, False)
 
 
 def _cut(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out = []
             for body, found in zip(batch.column(1), batch.column(2)):
-                text = body.as_buffer().to_pybytes().split()
+                text = unpack(body.as_buffer()).split()
                 n = len(text)
                 if found.is_valid:
                     pairs = found.values

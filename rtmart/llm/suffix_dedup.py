@@ -23,14 +23,17 @@ cut alike (ranges found for an id are clipped to each text). Other columns of th
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rtmart.llm import repeats as R
 from rtmart.llm import shared as S
 
 LENGTH = 100
@@ -39,9 +42,6 @@ BUCKET_ROWS = 20_000
 COVER = 13  # a perfect difference cover: every difference modulo 13 is one of two members
 MEMBERS = (0, 1, 3, 9)
 _NEXT = np.array([next(t for t in range(COVER) if (r + t) % COVER in MEMBERS) for r in range(COVER)])
-_AT_SCHEMA = "key long, kind byte, doc_id long, at long"
-_TEXT_SCHEMA = "key long, doc_id long, first long, last long, anchor int, body binary"
-_RANGE_SCHEMA = "key long, key2 long, doc_id long, first long, last long"
 
 
 def _pieces(offsets, keep, length):
@@ -84,60 +84,28 @@ def _anchor_rows(length: int):
                 hashes = S.range_hashes(text, slice(0, len(text) - gram + 1), slice(gram, None))
                 at, first, last = S.anchors(hashes, width, label)
                 who = label[first]
-                place = at - base[who - row] + low
                 keys.append(hashes[at].astype(np.int64))
                 docs.append(ids[who].astype(np.int64))
-                ats.append((place << 14) | ((at - first) << 7) | (at - last))
+                ats.append((at - base[who - row] + low, at, first, last))
             if keys:
-                key, doc, at = (np.concatenate(x) for x in (keys, docs, ats))
-                kind = S.combine(key)
-                spread = S.mix((doc ^ at).astype(np.uint64)).astype(np.int64)
-                key = np.where(kind == S.KNOWN, spread, key)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(kind), pa.array(doc), pa.array(at)], ["key", "kind", "doc_id", "at"])
+                key, doc, *places = (np.concatenate(x) for x in (keys, docs, *zip(*ats)))
+                yield R.anchor_batch(key, doc, *places)
 
     return run
 
 
-def _surroundings(length: int):
-    """Per anchor the text that its windows cover, and ranges settled inside the batch."""
+def _windows(length: int):
     gram = min(GRAM, length)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = sorted(i for i, a in enumerate(batch.column(2)) if a.is_valid)
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            rows.sort(key=lambda i: ids[i])
-            seen: dict[tuple[bytes, int], tuple[int, int]] = {}
-            out: list[tuple] = []
-            for i in rows:
-                body, doc = batch.column(1)[i].as_buffer().to_pybytes(), int(ids[i])
-                ats = np.unique(np.asarray(batch.column(2)[i].values))
-                anchor = ats >> 14
-                first, last = anchor - ((ats >> 7) & 127), anchor - (ats & 127)
-                for a, lo, hi in zip(anchor.tolist(), first.tolist(), last.tolist()):
-                    text = body[lo : hi + length]
-                    if len(text) < length:
-                        continue  # the id's texts differ
-                    at = seen.setdefault((text, a - lo), (doc, lo))
-                    if at == (doc, lo):
-                        key = xxhash.xxh64_intdigest(text[a - lo : a - lo + gram])
-                        out.append((key - (1 << 63), doc, lo, hi, a - lo, text))
-                    else:
-                        out.append((xxhash.xxh64_intdigest(b"%d.%d" % (doc, lo)) - (1 << 63), doc, lo, hi, 0, None))
-                if len(out) >= 10_000:
-                    yield _text_batch(out)
-                    out = []
-            if out:
-                yield _text_batch(out)
-
-    return run
+    def of(body: bytes):
+        def cut(anchor: int, first: int, last: int):
+            text = body[first : last + length]
+            if len(text) == last + length - first:
+                return xxhash.xxh64_intdigest(body[anchor : anchor + gram]) - (1 << 63), text
 
+        return cut
 
-def _text_batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int64()] * 4 + [pa.int32(), pa.binary()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(zip(*rows), types)], ["key", "doc_id", "first", "last", "anchor", "body"]
-    )
+    return of
 
 
 def repeated_starts(bucket, doc, first, anchor, bodies: list[bytes], length: int):
@@ -205,125 +173,27 @@ def _hashed(doc, first, bodies: list[bytes], length: int):
     return [np.concatenate(x).astype(np.int64) for x in zip(*keys)]
 
 
-def _range_batch(key, key2, doc, first, last) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.asarray(x, np.int64)) for x in (key, key2, doc, first, last)],
-        ["key", "key2", "doc_id", "first", "last"],
-    )
-
-
-def _settled(doc, first, last) -> pa.RecordBatch:
-    spread = S.mix(np.asarray(doc, np.int64).astype(np.uint64) ^ np.asarray(first, np.int64).astype(np.uint64)).astype(np.int64)
-    return _range_batch(spread, spread, doc, first, last)
-
-
-def _flag_ranges(flags, owner, doc, where):
-    """Neighbouring flagged starts of a row as one range."""
-    at = np.flatnonzero(flags)
-    if not len(at):
-        return at, at, at
-    new = np.concatenate(([True], (np.diff(at) != 1) | (np.diff(owner[at]) != 0)))
-    low = at[new]
-    high = at[np.concatenate((np.flatnonzero(new)[1:], [len(at)])) - 1]
-    return doc[owner[low]], where[low], where[high]
-
-
-def _sort_buckets(length: int, bucket_rows: int):
-    def flush(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        if rows:
-            key, doc, first, anchor = (np.array(x) for x in list(zip(*rows))[:4])
-            bodies = [r[4] for r in rows]
-            bucket = np.concatenate(([0], np.cumsum(key[1:] != key[:-1])))
-            flags, owner, where = repeated_starts(bucket, doc, first, anchor, bodies, length)
-            yield _settled(*_flag_ranges(flags, owner, doc, where))
-
-    def passed_on(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        for low in range(0, len(rows), 1000):
-            part = rows[low : low + 1000]
-            key, key2, doc, at = _hashed([r[1] for r in part], [r[2] for r in part], [r[4] for r in part], length)
-            yield _range_batch(key, key2, doc, at, np.full(len(at), -1))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready: list[tuple] = []  # rows of finished buckets with several different surroundings
-        here: list[tuple] = []  # those of the bucket being read
-        key, seen, spilled = None, {}, False
-        for batch in batches:
-            done: list[tuple[int, int, int]] = []
-            columns = [batch.column(i).to_pylist() for i in range(6)]
-            for k, doc, first, last, anchor, body in zip(*columns):
-                if body is None:
-                    done.append((doc, first, last))
-                    continue
-                if k != key:
-                    if spilled:
-                        yield from passed_on(here)
-                    elif len(here) > 1:
-                        ready += here
-                        if len(ready) >= bucket_rows:
-                            yield from flush(ready)
-                            ready = []
-                    key, seen, here, spilled = k, {}, [], False
-                at = seen.setdefault((body, anchor), (doc, first))
-                if at != (doc, first):
-                    done.append((doc, first, last))
-                    continue
-                here.append((k, doc, first, anchor, body))
-                if len(here) >= bucket_rows:
-                    yield from passed_on(here)
-                    here, seen, spilled = [], {}, True
-            if done:
-                yield _settled(*zip(*done))
-        if spilled:
-            yield from passed_on(here)
-        elif len(here) > 1:
-            ready += here
-        yield from flush(ready)
-
-    return run
-
+def spans(docs: DataFrame, length: int = LENGTH, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """(doc_id, body, ranges): the compressed bytes of each document and the starts of its repeated strings as ranges."""
 
-def _later_of_equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Settled ranges as they are; of hashed starts, sorted by hash and place, all but the first place of a hash."""
-    held = None
-    for batch in batches:
-        key, key2, doc, first, last = (batch.column(i).to_numpy() for i in range(5))
-        settled = last >= 0
-        out = [(doc[settled], first[settled], last[settled])]
-        rows = [x[~settled] for x in (key, key2, doc, first)]
-        if len(rows[0]):
-            if held is not None:
-                rows = [np.concatenate(([h], x)) for h, x in zip(held, rows)]
-            new = np.concatenate(([True], (np.diff(rows[0]) != 0) | (np.diff(rows[1]) != 0)))
-            leader = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-            other = (rows[2] != rows[2][leader]) | (rows[3] != rows[3][leader])
-            out.append((rows[2][other], rows[3][other], rows[3][other]))
-            held = [x[leader[-1]] for x in rows]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(x), pa.int64()) for x in zip(*out)], ["doc_id", "first", "last"]
-        )
+    def search(bucket, doc, first, anchor, bodies):
+        flags, owner, where = repeated_starts(bucket, doc, first, anchor, bodies, length)
+        return R.flag_ranges(flags, owner, doc, where)
 
+    def hashed(doc, first, bodies):
+        return _hashed(doc, first, bodies, length)
 
-def spans(docs: DataFrame, length: int = LENGTH, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(doc_id, body, ranges): the bytes of each document and the starts of its repeated strings as ranges."""
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), S.utf8().alias("body"))
-    rows = base.mapInArrow(_anchor_rows(length), _AT_SCHEMA)
-    shared = rows.repartition("key").sortWithinPartitions("key").mapInArrow(S.repeated_keys, "doc_id long, at long")
-    ats = shared.groupBy("doc_id").agg(F.collect_list("at").alias("ats"))
-    texts = base.join(ats, "doc_id", "left").mapInArrow(_surroundings(length), _TEXT_SCHEMA)
-    buckets = texts.repartition("key").sortWithinPartitions("key", "doc_id", "first")
-    ranges = buckets.mapInArrow(_sort_buckets(length, bucket_rows), _RANGE_SCHEMA)
-    ranges = ranges.repartition("key").sortWithinPartitions("key", "key2", "doc_id", "first")
-    ranges = ranges.mapInArrow(_later_of_equal, "doc_id long, first long, last long")
-    found = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
-    return base.join(found, "doc_id", "left")
+    texts = R.surroundings(_windows(length), operator.eq)
+    return R.located(docs, _anchor_rows(length), texts, R.search_groups(search, hashed, operator.eq, bucket_rows), True)
 
 
 def _cut(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out = []
             for body, found in zip(batch.column(1), batch.column(2)):
-                text = body.as_buffer().to_pybytes()
+                text = unpack(body.as_buffer())
                 start = end = np.zeros(0, np.int64)
                 if found.is_valid:
                     pairs = found.values
