@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rtmart.llm import bpe, line_dedup, packing, quality_rules, simhash_dedup, substring_dedup, suffix_dedup
+from rtmart.llm import (
+    bpe,
+    line_dedup,
+    packing,
+    quality_rules,
+    secret_scan,
+    simhash_dedup,
+    substring_dedup,
+    suffix_dedup,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +44,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(_read(spark, sf_dir, "documents"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(_read(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(_read(spark, sf_dir, "documents"))
 
