@@ -15,6 +15,7 @@ from rtmart.llm import (
     simhash_dedup,
     substring_dedup,
     suffix_dedup,
+    toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +29,10 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(_read(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.digest(_read(spark, sf_dir, "documents"))
 
