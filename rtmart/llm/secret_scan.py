@@ -102,11 +102,12 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ..
 
 
 def report(docs: DataFrame, ledger: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with ``found``: the findings of their text in order of start, then of rule; null if none."""
+    """The rows of ``docs`` with ``found``: the findings of their text in order of start, then of rule; null if none. A column
+    of that name is replaced."""
     found = ledger.where(F.array_size("found") > 0).groupBy("blob").agg(F.flatten(F.collect_list("found")).alias("_found"))
     order = F.transform("_found", lambda s: F.struct(s["start"], s["rule"], s["end"], s["kind"]))
     found = found.select(F.col("blob").alias("_blob"), F.sort_array(F.array_distinct(order)).alias("found"))
-    return docs.join(found, blob_of() == F.col("_blob"), "left").drop("_blob")
+    return docs.drop("found").join(found, blob_of() == F.col("_blob"), "left").drop("_blob")
 
 
 def _joined(found: Column) -> Column:
@@ -130,24 +131,22 @@ def _ordered() -> str:
     return "array<struct<start:int,rule:int,end:int,kind:string>>"
 
 
-def redact(docs: DataFrame, mask: str = MASK) -> DataFrame:
-    """``docs`` with every span of the text, overlapping ones together, replaced by ``mask``."""
-    rows = report(docs, scan(docs))
-    text = F.col("text")
-    # Runs of overlapping spans: a span opens one where it starts after the furthest end before it.
-    state = "struct<until:int,text:string>"
-    merged = F.aggregate(
-        "found",
-        F.struct(F.lit(0).alias("until"), F.lit("").alias("text")).cast(state),
-        lambda acc, s: F.struct(
-            F.greatest(acc["until"], s["end"]).alias("until"),
-            F.when(
-                (s["start"] >= acc["until"]),
-                F.concat(acc["text"], F.substring(text, acc["until"] + 1, s["start"] - acc["until"]), F.lit(mask)),
-            )
-            .otherwise(acc["text"])
-            .alias("text"),
-        ).cast(state),
-        lambda acc: F.concat(acc["text"], F.substring(text, acc["until"] + 1, F.char_length(text))),
-    )
-    return rows.withColumn("text", F.when(F.col("found").isNull(), text).otherwise(merged)).select(*docs.columns)
+def _masked(text: Column, rule: Rule, mask: str) -> Column:
+    """The text with the rule's matches replaced, put together from the parts between them in one go."""
+    whole = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
+    hidden = F.transform(whole, lambda _: F.lit(mask))
+    if rule.group:
+        checked = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
+        hidden = F.zip_with(whole, checked, lambda w, c: F.when(F.char_length(c) >= rule.least, mask).otherwise(w))
+    parts = F.zip_with(F.split(text, rule.pattern, -1), hidden, lambda gap, m: F.concat(gap, F.coalesce(m, F.lit(""))))
+    return F.when(text.rlike(rule.pattern), F.array_join(parts, "")).otherwise(text)
+
+
+def redact(docs: DataFrame, mask: str = MASK, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``docs`` with the findings of every text that has any replaced by ``mask``, rule by rule. A text without findings and a
+    null text stay as they are."""
+    hits = report(docs.select("text", F.struct(*docs.columns).alias("_all")), scan(docs, rules=rules))
+    rows = hits.select("_all.*", F.col("found").alias("_hits"))
+    for rule in rules:
+        rows = rows.withColumn("text", F.when(F.col("_hits").isNull(), F.col("text")).otherwise(_masked(F.col("text"), rule, mask)))
+    return rows.select(*docs.columns)
