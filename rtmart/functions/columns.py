@@ -11,13 +11,21 @@ from pyspark.sql import functions as F
 YEAR_MS = 365 * 24 * 60 * 60 * 1000
 
 
+# Epoch milliseconds from 0001 to 9999; beyond, a number is no time.
+_MIN_MS, _MAX_MS = -62_135_596_800_000, 253_402_300_799_999
+
+
+def _time(ts_ms: Column) -> Column:
+    return F.timestamp_millis(F.when(ts_ms.between(_MIN_MS, _MAX_MS), ts_ms))
+
+
 def log_date(ts_ms: Column) -> Column:
-    """``yyyy-MM-dd`` of an epoch-millisecond column in the session time zone."""
-    return F.date_format(F.timestamp_millis(ts_ms), "yyyy-MM-dd")
+    """``yyyy-MM-dd`` of an epoch-millisecond column in the session time zone; NULL for a number that is no time."""
+    return F.date_format(_time(ts_ms), "yyyy-MM-dd")
 
 
 def log_hour(ts_ms: Column) -> Column:
-    return F.date_format(F.timestamp_millis(ts_ms), "HH")
+    return F.date_format(_time(ts_ms), "HH")
 
 
 def create_date(create_time: Column) -> Column:

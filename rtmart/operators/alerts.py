@@ -8,8 +8,8 @@
    a running sum over the ends of these ranges counts the accounts of every window. No event is copied into the
    (length / slide) windows it belongs to. Clicks are counted along in the same way.
 3. ``facts``      – item and event counts of alerting windows.
-4. ``documents``  – the account and item sets of alerting windows. Sets above ``max_set`` members are dealt out
-   over several parts by hash, so no task gathers a set of unknown size and nothing is cut off.
+4. ``members``    – what an alert's document lists, a row per account, item and (slot, event), for alerts of any size; no
+   task gathers a set of unknown size. ``documents`` makes arrays of them for the alerts that somebody asks to see.
 """
 
 from __future__ import annotations
@@ -35,7 +35,6 @@ class Rule:
     window_s: int = WINDOW_SECONDS
     slide_s: int = SLIDE_SECONDS
     min_accounts: int = MIN_ACCOUNTS
-    max_set: int = 10_000
 
     @property
     def window(self) -> int:
@@ -138,7 +137,7 @@ def alerts(windows: DataFrame) -> DataFrame:
     return windows.where(~F.col("clicked"))
 
 
-def _members(windows: DataFrame, slot_rows: DataFrame, rule: Rule) -> DataFrame:
+def _inside(windows: DataFrame, slot_rows: DataFrame, rule: Rule) -> DataFrame:
     """Slot rows of the given windows, beside the windows' columns. Joined on (device, slot), so a hot device is
     spread over its slots."""
     covering = F.sequence(
@@ -150,7 +149,7 @@ def _members(windows: DataFrame, slot_rows: DataFrame, rule: Rule) -> DataFrame:
 
 def facts(windows: DataFrame, slot_rows: DataFrame, rule: Rule) -> DataFrame:
     """The windows with ``n_uids, n_items, n_events``."""
-    inside = _members(windows.select(*WINDOW_KEY, "n_uids"), slot_rows, rule)
+    inside = _inside(windows.select(*WINDOW_KEY, "n_uids"), slot_rows, rule)
     item = F.when(F.col("evid") == COUPON, F.struct("itemid"))
     per_item = inside.groupBy(*WINDOW_KEY, item.alias("item")).agg(
         F.max("n_uids").alias("n_uids"), F.sum("n").alias("n")
@@ -176,55 +175,46 @@ def last_per_minute(window_facts: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
-def documents(windows: DataFrame, slot_rows: DataFrame, rule: Rule) -> DataFrame:
-    """Alert documents: ``mid, window_start, part, uids, item_ids, event_runs``.
+MEMBER = ["kind", "slot", "member"]
 
-    ``part`` is 0 for all but outsized sets. ``event_runs`` lists (evid, n) in slot order; it is bounded by the
-    slots of a window and the kinds of event, and :func:`flat_events` writes it out. It sits in part 0.
-    """
-    parts = windows.select(
-        *WINDOW_KEY,
-        F.greatest(F.ceil(F.greatest("n_uids", "n_items") / F.lit(rule.max_set)), F.lit(1)).cast("int").alias("parts"),
-    )
-    inside = _members(parts.select(*WINDOW_KEY), slot_rows, rule)
-    coupon = inside.where(F.col("evid") == COUPON)
-    kinds = F.explode(
+
+def members(windows: DataFrame, slot_rows: DataFrame, rule: Rule) -> DataFrame:
+    """``mid, window_start, kind, slot, member, n``: the accounts (``uid``) and items (``item``) that took coupons in the
+    windows, and their events (``event``) by slot, each with its number of events. One expansion gives all three."""
+    inside = _inside(windows.select(*WINDOW_KEY), slot_rows, rule)
+    coupon, nowhere = F.col("evid") == COUPON, F.lit(None).cast("long")
+
+    def row(kind: str, slot: Column, member: str) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), slot.alias("slot"), F.col(member).alias("member"))
+
+    listed = F.array_compact(
         F.array(
-            F.struct(F.lit("uid").alias("kind"), F.col("uid").alias("member")),
-            F.struct(F.lit("item").alias("kind"), F.col("itemid").alias("member")),
-        )
-    )
-    members = coupon.select(*WINDOW_KEY, kinds.alias("m")).select(*WINDOW_KEY, "m.kind", "m.member").distinct()
-    runs = inside.groupBy(*WINDOW_KEY, "slot", "evid").agg(F.sum("n").alias("n"))
-    rows = (
-        members.join(parts, WINDOW_KEY)
-        .select(
-            *WINDOW_KEY,
-            F.pmod(F.xxhash64("member"), F.col("parts")).cast("int").alias("part"),
-            "kind",
-            "member",
-            F.lit(None).cast("struct<slot:bigint,evid:string,n:bigint>").alias("run"),
-        )
-        .unionByName(
-            runs.select(
-                *WINDOW_KEY,
-                F.lit(0).alias("part"),
-                F.lit("run").alias("kind"),
-                F.lit(None).cast("string").alias("member"),
-                F.struct("slot", "evid", "n").alias("run"),
-            )
+            row("event", F.col("slot"), "evid"),
+            F.when(coupon, row("uid", nowhere, "uid")),
+            F.when(coupon, row("item", nowhere, "itemid")),
         )
     )
-    # A missing account is a member too; the one-field struct keeps collect_list from skipping it.
+    rows = inside.select(*WINDOW_KEY, "n", F.explode(listed).alias("m")).select(*WINDOW_KEY, "m.*", "n")
+    return rows.groupBy(*WINDOW_KEY, *MEMBER).agg(F.sum("n").alias("n"))
+
+
+def documents(rows: DataFrame, rule: Rule) -> DataFrame:
+    """``mid, window_start, ts, uids, item_ids, event_runs`` of the windows whose :func:`members` are given.
+
+    It gathers a window's members, so give it the page of alerts that is to be shown. ``ts`` is the window's end;
+    ``event_runs`` lists (evid, n) in slot order, and :func:`flat_events` writes it out.
+    """
     kind = F.col("kind")
-    member = F.struct("member")
-    gathered = rows.groupBy(*WINDOW_KEY, "part").agg(
+    # A missing account is a member too; the one-field struct keeps collect_list from skipping it.
+    member, run = F.struct("member"), F.struct("slot", F.col("member").alias("evid"), "n")
+    gathered = rows.groupBy(*WINDOW_KEY).agg(
         F.sort_array(F.collect_list(F.when(kind == "uid", member)))["member"].alias("uids"),
         F.sort_array(F.collect_list(F.when(kind == "item", member)))["member"].alias("item_ids"),
-        F.sort_array(F.collect_list("run")).alias("runs"),
+        F.sort_array(F.collect_list(F.when(kind == "event", run))).alias("runs"),
     )
     in_order = F.transform("runs", lambda r: F.struct(r["evid"].alias("evid"), r["n"].alias("n")))
-    return gathered.select(*WINDOW_KEY, "part", "uids", "item_ids", in_order.alias("event_runs"))
+    end = (F.col("window_start") + rule.window).alias("ts")
+    return gathered.select(*WINDOW_KEY, end, "uids", "item_ids", in_order.alias("event_runs"))
 
 
 def flat_events(event_runs: Column) -> Column:

@@ -34,7 +34,7 @@ def route_changes(changes: DataFrame) -> DataFrame:
 def _log_fields(lines: DataFrame) -> DataFrame:
     """Lines that are JSON objects, with their fields. Exploding the one-element list keeps it parsed once."""
     found = F.filter(F.array(J.json_fields(F.col("value"))), lambda m: m.isNotNull())
-    return lines.select("*", F.explode(found).alias("_fields"))
+    return lines.select("*", F.explode(found).alias("_parsed")).withColumn("_fields", J.last_wins(F.col("_parsed"))).drop("_parsed")
 
 
 def route_logs(lines: DataFrame, server_ts: Column | None = None) -> DataFrame:

@@ -47,26 +47,18 @@ def terms(rows: DataFrame, column: str, size: int, weight: str | None = None) ->
 def shares(prof: DataFrame) -> DataFrame:
     """One row: total, gender shares and age-band shares in percent.
 
-    Whoever is not ``F`` counts as male. The middle band is the remainder, so ages that are unknown or outside
-    the age buckets fall into it. Without hits the shares are those of zero counts: 0 and 100.
+    Whoever is not ``F`` counts as male. The middle band is the remainder, so ages that are unknown fall into it.
+    Without hits the shares are those of zero counts: 0 and 100. Every value counts, however many there are; bucket
+    limits belong to :func:`terms` alone.
     """
-    ages = terms(prof, "user_age", AGE_BUCKETS, weight="n")
-    genders = terms(prof, "user_gender", GENDER_BUCKETS, weight="n")
     zero = F.lit(0).cast("long")
-    # Three small frames of counts, added up in one aggregate.
-    parts = (
-        prof.select(F.col("n").alias("total"), zero.alias("f"), zero.alias("young"), zero.alias("old"))
-        .unionAll(genders.select(zero, F.when(F.col("user_gender") == "F", F.col("count")).otherwise(zero), zero, zero))
-        .unionAll(
-            ages.select(
-                zero,
-                zero,
-                F.when(F.col("user_age") < 20, F.col("count")).otherwise(zero),
-                F.when(F.col("user_age") >= 30, F.col("count")).otherwise(zero),
-            )
-        )
-    )
-    sums = parts.agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in parts.columns])
+    picked = {
+        "total": F.lit(True),
+        "f": F.col("user_gender") == "F",
+        "young": F.col("user_age") < 20,
+        "old": F.col("user_age") >= 30,
+    }
+    sums = prof.agg(*[F.coalesce(F.sum(F.when(c, F.col("n"))), zero).alias(k) for k, c in picked.items()])
     rated = sums.select(
         "total",
         percent(F.col("f"), F.col("total")).alias("female"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from rtmart import schemas as S
 from rtmart.registry import (
-    ASOF, DAU_DATE, DEFAULT_RULE, GMV_DATE, HOURLY, KEYWORD, SEEN_UNTIL, SERVER_TS,
+    ASOF, DAU_DATE, DEFAULT_RULE, GMV_DATE, HOURLY, KEYWORD, MINUTES, SEEN_UNTIL, SERVER_TS,
 )
 
 DAU_YESTERDAY, GMV_YESTERDAY = "2024-01-01", "1996-09-16"
@@ -13,7 +13,7 @@ VIEWS = {
     "startup_log": """
         SELECT 'mid_' || user_id AS mid, CAST(user_id AS VARCHAR) AS uid, 'mart' AS appid,
                'area_' || (user_id % 10) AS area,
-               CASE WHEN user_id % 10 < 3 THEN 'ios' ELSE 'andriod' END AS os,
+               CASE WHEN user_id % 10 < 3 THEN 'ios' ELSE 'android' END AS os,
                CASE WHEN user_id % 10 < 3 THEN 'appstore' ELSE 'ch_' || (user_id % 7) END AS ch,
                'startup' AS type, '1.' || (user_id % 4) AS vs, epoch_us(ts) // 1000 AS ts,
                strftime(ts, '%Y-%m-%d') AS "logDate", strftime(ts, '%H') AS "logHour"
@@ -136,18 +136,22 @@ def _windows(rule) -> str:
                AND count(*) FILTER (WHERE evid = 'clickItem') = 0)"""
 
 
-DOCUMENTS = """, sets AS (
-            SELECT mid, window_start,
-                   string_agg(DISTINCT uid, ',' ORDER BY uid) FILTER (WHERE evid = 'coupon') AS uids,
-                   string_agg(DISTINCT itemid, ',' ORDER BY itemid) FILTER (WHERE evid = 'coupon') AS item_ids
-            FROM w SEMI JOIN facts USING (mid, window_start) GROUP BY ALL),
-        runs AS (
-            SELECT mid, window_start, string_agg(evid || 'x' || n, ',' ORDER BY slot, evid) AS event_runs
-            FROM (SELECT mid, window_start, slot, evid, count(*) AS n
-                  FROM w SEMI JOIN facts USING (mid, window_start) GROUP BY ALL)
-            GROUP BY ALL)
-        SELECT mid, window_start, CAST(0 AS INTEGER) AS part, uids, item_ids, event_runs
-        FROM sets JOIN runs USING (mid, window_start)"""
+DOCUMENTS = """, listed AS (
+            SELECT mid, window_start, 'uid' AS kind, NULL::BIGINT AS slot, uid AS member, count(*) AS n
+            FROM w SEMI JOIN facts USING (mid, window_start) WHERE evid = 'coupon' GROUP BY ALL
+            UNION ALL
+            SELECT mid, window_start, 'item', NULL, itemid, count(*)
+            FROM w SEMI JOIN facts USING (mid, window_start) WHERE evid = 'coupon' GROUP BY ALL
+            UNION ALL
+            SELECT mid, window_start, 'event', slot, evid, count(*)
+            FROM w SEMI JOIN facts USING (mid, window_start) GROUP BY ALL)"""
+
+LAST_PER_MINUTE = f""", ended AS (SELECT *, make_timestamp((window_start + {MINUTES.window}) * 1000) AS ended FROM facts),
+        last AS (
+            SELECT mid, strftime(ended, '%Y-%m-%d') AS index_day, mid || '-' || strftime(ended, '%H:%M') AS doc_id,
+                   window_start, n_uids, n_items, n_events
+            FROM ended
+            QUALIFY row_number() OVER (PARTITION BY mid, date_trunc('minute', ended) ORDER BY window_start DESC) = 1)"""
 
 JSON_ROW = "{" + ", ".join(f"'{f}': {f}" for f in SALE_FIELDS.split(", ")) + "}"
 
@@ -245,6 +249,13 @@ def oracle_sql() -> dict[str, str]:
         ),
         "sale_search_total": _with(hits, "SELECT count(*) AS total FROM hits"),
         "sale_search_document": _with(hits, SEARCH_DOCUMENT),
+        "sale_search_stored": _with(hits, SEARCH_DOCUMENT),
+        "gmv_stored": _with(order, f"SELECT {MONEY} AS sum_amount FROM order_info WHERE create_date = '{GMV_DATE}'"),
+        "damaged_logs": _with(
+            start,
+            """SELECT mid, count(*) AS n, 'read' AS outcome FROM startup_log WHERE ts % 7 >= 3 GROUP BY mid
+               UNION ALL SELECT '', count(*), 'rejected' FROM startup_log WHERE ts % 7 < 3""",
+        ),
         "terms_gender": _with(
             sales, "SELECT user_gender, count(*) AS count FROM sales GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"
         ),
@@ -255,17 +266,14 @@ def oracle_sql() -> dict[str, str]:
         "age_share": _with(sales, f"SELECT total, under_20, from_20_to_30, from_30 FROM ({_rates('sales')})"),
         "coupon_alerts": _with("event_log", _windows(HOURLY) + " SELECT * FROM facts"),
         "coupon_alerts_5min": _with("event_log", _windows(DEFAULT_RULE) + " SELECT * FROM facts"),
-        "coupon_alert_documents": _with("event_log", _windows(HOURLY) + DOCUMENTS),
-        "coupon_alerts_per_minute": _with(
+        "coupon_alert_documents": _with("event_log", _windows(HOURLY) + DOCUMENTS + " SELECT * FROM listed"),
+        "coupon_alerts_per_minute": _with("event_log", _windows(MINUTES) + LAST_PER_MINUTE + " SELECT * FROM last"),
+        "coupon_minute_documents": _with(
             "event_log",
-            _windows(HOURLY)
-            + f""", ended AS (SELECT *, make_timestamp((window_start + {HOURLY.window}) * 1000) AS ended FROM facts)
-            SELECT mid, strftime(ended, '%Y-%m-%d') AS index_day, mid || '-' || strftime(ended, '%H:%M') AS doc_id,
-                   window_start, n_uids, n_items, n_events
-            FROM ended
-            QUALIFY row_number() OVER (PARTITION BY mid, date_trunc('minute', ended) ORDER BY window_start DESC) = 1""",
+            _windows(MINUTES) + DOCUMENTS + LAST_PER_MINUTE
+            + " SELECT l.*, t.index_day, t.doc_id FROM listed l JOIN last t USING (mid, window_start)",
         ),
-        "coupon_alert_stream": _with("event_log", _windows(HOURLY) + DOCUMENTS),
+        "coupon_alert_stream": _with("event_log", _windows(HOURLY) + DOCUMENTS + " SELECT * FROM listed"),
         "user_latest": _with("user_info user_latest", "SELECT * FROM user_latest"),
         "user_stream": _with(
             "user_info user_latest", "SELECT id, login_name, user_level, birthday, gender FROM user_latest"

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date as Date
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rtmart import schemas as S
-from rtmart.functions.json_text import to_json_line
+from rtmart.functions.json_text import rejected_json, to_json_line
 from rtmart.operators import alerts as A
 from rtmart.operators import dedup, ingest, latest, lookups, orders, sale_detail, search
 from rtmart.plans import province, realtime, sale_search
@@ -21,18 +23,16 @@ from rtmart.streaming.keyed_table import KeyedTable
 Query = Callable[[SparkSession, str], DataFrame]
 
 DAU_DATE = "2024-01-02"
-DAU_DAYS = ("2024-01-01", "2024-01-03")
 GMV_DATE = "1996-09-17"
-GMV_DAYS = ("1996-09-16", "1996-09-18")
-SEARCH_DAYS = ("1996-09-17", "1996-09-18")
 KEYWORD = "ring"
 ASOF = "2024-01-31"
 SEEN_UNTIL = "2024-01-15 12:00:00"
 SERVER_TS = 1_700_000_000_000
 HOURLY = A.Rule(window_s=3600, slide_s=300)
 DEFAULT_RULE = A.Rule()
+MINUTES = A.Rule(window_s=600, slide_s=30)
 DAY_MS = 24 * 3_600_000
-STREAM_TIMEOUT = 3600
+FILES = 4  # a published topic is worked off a file per micro-batch
 
 _QUERIES: dict[str, Query] = {}
 
@@ -49,6 +49,16 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+def _scan(first: str, last: str | None = None) -> tuple[str, str]:
+    """The days from ``first`` to ``last`` as the range that a scan takes."""
+    return first, (Date.fromisoformat(last or first) + timedelta(days=1)).isoformat()
+
+
+DAU_DAYS = _scan(realtime.day_before(DAU_DATE), DAU_DATE)
+GMV_DAYS = _scan(realtime.day_before(GMV_DATE), GMV_DATE)
+SEARCH_DAYS = _scan(GMV_DATE)
+
+
 def _asof():
     return F.lit(ASOF).cast("timestamp")
 
@@ -82,9 +92,11 @@ def dau_first_start(spark, sf_dir):
 @_query
 def dau_stream_dedup(spark, sf_dir):
     folder = run_folder(spark, "dau")
+    starts = V.as_startup_log(V.table(spark, sf_dir, "events"))
+    _publish(starts, S.TOPIC_START, "_sent", f"{folder}/topics", F.timestamp_millis("ts"))
     table = jobs.dau_table(f"{folder}/table")
-    starts = V.with_log_day(V.as_startup_log(V.table_stream(spark, sf_dir, "events")))
-    jobs.finish(jobs.start_dau(starts, table, f"{folder}/checkpoint", availableNow=True), STREAM_TIMEOUT)
+    records = topics.file_stream(spark, f"{folder}/topics", S.TOPIC_START, 1)
+    jobs.finish(jobs.start_dau(jobs.startup_logs(records), table, f"{folder}/checkpoint", availableNow=True))
     return table.batches(spark).select("mid", "logDate")
 
 
@@ -126,26 +138,25 @@ def gmv_hours(spark, sf_dir):
     return realtime.gmv_hours(_gmv(spark, sf_dir, GMV_DAYS), GMV_DATE)
 
 
-def _publish(frame: DataFrame, topic: str, ts: str, path: str) -> None:
-    """Write a frame's rows as JSON records of a topic."""
+def _publish(frame: DataFrame, topic: str, ts: str, path: str, sent=None) -> None:
+    """Write a frame's rows as JSON records of a topic, dealt over several files whatever their time: read a file per
+    micro-batch, keys repeat over batches and records come out of order."""
     body = frame.drop("_ts")
-    topics.write_file_topics(
-        frame.select(
-            to_json_line(body).alias("value"),
-            F.to_timestamp(F.col(ts)).alias("timestamp"),
-            F.lit(topic).alias("topic"),
-        ),
-        path,
+    records = frame.select(
+        to_json_line(body).alias("value"),
+        (F.to_timestamp(F.col(ts)) if sent is None else sent).alias("timestamp"),
+        F.lit(topic).alias("topic"),
     )
+    topics.write_file_topics(records.repartition(FILES), path)
 
 
 @_query
 def gmv_stream(spark, sf_dir):
     folder = run_folder(spark, "gmv")
     _publish(V.order_info(spark, sf_dir), S.TOPIC_ORDER_INFO, "create_time", f"{folder}/topics")
-    records = topics.file_stream(spark, f"{folder}/topics", S.TOPIC_ORDER_INFO)
+    records = topics.file_stream(spark, f"{folder}/topics", S.TOPIC_ORDER_INFO, 1)
     table = jobs.order_table(f"{folder}/table", by="create_month")
-    jobs.finish(jobs.start_gmv(records, table, f"{folder}/checkpoint", availableNow=True), STREAM_TIMEOUT)
+    jobs.finish(jobs.start_gmv(records, table, f"{folder}/checkpoint", availableNow=True))
     return table.latest(spark).select("id", "consignee_tel", "total_amount", "create_date", "create_hour")
 
 
@@ -239,7 +250,7 @@ def sale_detail_stream(spark, sf_dir):
         pairs, users, table, f"{folder}/checkpoint", _asof(),
         state_partitions=spark.sparkContext.defaultParallelism, availableNow=True,
     )
-    jobs.finish(query, STREAM_TIMEOUT)
+    jobs.finish(query)
     return table.latest(spark).select(*S.SALE_DETAIL.fieldNames())
 
 
@@ -262,6 +273,44 @@ def sale_search_document(spark, sf_dir):
     return sale_search.sale_detail_json(answer)
 
 
+@_query
+def sale_search_stored(spark, sf_dir):
+    """The same answer from a stored sale table, of which only the day's part is read."""
+    folder = run_folder(spark, "stored-sales")
+    table = jobs.sale_table(f"{folder}/table", by="dt_month").create(spark)
+    table.write(_sales(spark, sf_dir).withColumn("dt_month", F.substring("dt", 1, 7)), 0)
+    month = F.col("dt_month") == GMV_DATE[:7]
+    answer = sale_search.sale_detail(table.latest(spark).where(month), GMV_DATE, 1, 10, KEYWORD)
+    return sale_search.sale_detail_json(answer)
+
+
+@_query
+def gmv_stored(spark, sf_dir):
+    """The day's order value from a stored order table, of which only the day's part is read."""
+    folder = run_folder(spark, "stored-orders")
+    table = jobs.order_table(f"{folder}/table", by="create_month").create(spark)
+    table.write(_gmv(spark, sf_dir).withColumn("create_month", F.substring("create_date", 1, 7)), 0)
+    return realtime.gmv_total(table.latest(spark).where(F.col("create_month") == GMV_DATE[:7]), GMV_DATE)
+
+
+@_query
+def damaged_logs(spark, sf_dir):
+    """Start lines of which some are cut off, repeat a key or carry a time in other units: what is read and what is rejected."""
+    starts = V.as_startup_log(V.table(spark, sf_dir, "events"))
+    line, kind = to_json_line(starts), F.col("ts") % 7
+    damaged = (
+        F.when(kind == 0, F.substring(line, 1, 20))
+        .when(kind == 1, F.regexp_replace(line, r'"ts":(\d+)', r'"ts":$1000000'))
+        .when(kind == 2, F.regexp_replace(line, r'"ts":(\d+)', r'"ts":$1000'))
+        .when(kind == 3, F.concat(F.lit('{"mid":"other",'), F.substring(line, 2, 1 << 30)))
+        .otherwise(line)
+    )
+    lines = starts.select(damaged.alias("value"))
+    good = jobs.startup_logs(lines).groupBy("mid").agg(F.count(F.lit(1)).alias("n")).withColumn("outcome", F.lit("read"))
+    bad = rejected_json(lines, S.STARTUP_LOG, required=jobs.STARTUP_REQUIRED, within=jobs.READABLE)
+    return good.unionByName(bad.agg(F.count(F.lit(1)).alias("n")).select(F.lit("").alias("mid"), "n", F.lit("rejected").alias("outcome")))
+
+
 @_query
 def terms_gender(spark, sf_dir):
     return search.terms(_sales(spark, sf_dir), "user_gender", search.GENDER_BUCKETS)
@@ -287,18 +336,6 @@ def age_share(spark, sf_dir):
 # --- coupon alerts ----------------------------------------------------------------------------------------------
 
 
-def _listed(docs: DataFrame) -> DataFrame:
-    """Sets and runs as text."""
-    runs = F.transform("event_runs", lambda r: F.concat_ws("x", r["evid"], r["n"].cast("string")))
-    return docs.withColumns(
-        {
-            "uids": F.array_join("uids", ","),
-            "item_ids": F.array_join("item_ids", ","),
-            "event_runs": F.array_join(runs, ","),
-        }
-    )
-
-
 def _window_facts(spark, sf_dir, rule):
     slot_rows = A.cut(V.event_log(spark, sf_dir), rule)
     return slot_rows, A.facts(A.alerts(A.candidates(slot_rows, rule)), slot_rows, rule)
@@ -319,12 +356,22 @@ def coupon_alerts_5min(spark, sf_dir):
 @_query
 def coupon_alert_documents(spark, sf_dir):
     slot_rows, found = _window_facts(spark, sf_dir, HOURLY)
-    return _listed(A.documents(found, slot_rows, HOURLY))
+    return A.members(found, slot_rows, HOURLY)
 
 
 @_query
 def coupon_alerts_per_minute(spark, sf_dir):
-    return A.last_per_minute(_window_facts(spark, sf_dir, HOURLY)[1], HOURLY)
+    """Ten-minute windows every half minute, so that several alerts fall into one minute and the last one stays."""
+    return A.last_per_minute(_window_facts(spark, sf_dir, MINUTES)[1], MINUTES)
+
+
+@_query
+def coupon_minute_documents(spark, sf_dir):
+    """What the documents of the last alert per device and minute list."""
+    slot_rows, found = _window_facts(spark, sf_dir, MINUTES)
+    last = A.last_per_minute(found, MINUTES)
+    named = last.select("mid", "window_start", "index_day", "doc_id")
+    return A.members(last, slot_rows, MINUTES).join(named, A.WINDOW_KEY)
 
 
 @_query
@@ -332,9 +379,8 @@ def coupon_alert_stream(spark, sf_dir):
     folder = run_folder(spark, "alerts")
     tables = jobs.AlertTables(f"{folder}/tables", grain_ms=DAY_MS)
     logs = V.with_log_day(V.as_event_log(V.table_stream(spark, sf_dir, "events")))
-    jobs.finish(jobs.start_alerts(logs, tables, f"{folder}/checkpoint", HOURLY, availableNow=True), STREAM_TIMEOUT)
-    docs = jobs.current_documents(spark, tables)
-    return _listed(docs).select("mid", "window_start", "part", "uids", "item_ids", "event_runs")
+    jobs.finish(jobs.start_alerts(logs, tables, f"{folder}/checkpoint", HOURLY, availableNow=True))
+    return jobs.current_documents(spark, tables).select(*A.WINDOW_KEY, *A.MEMBER, "n")
 
 
 # --- users and lookups ------------------------------------------------------------------------------------------
@@ -355,12 +401,12 @@ def user_stream(spark, sf_dir):
             F.timestamp_millis("ts").alias("timestamp"),
             "offset",
             F.lit(S.TOPIC_USER_INFO).alias("topic"),
-        ),
+        ).repartition(FILES),
         f"{folder}/topics",
     )
     table = jobs.user_table(f"{folder}/table")
-    records = topics.file_stream(spark, f"{folder}/topics", S.TOPIC_USER_INFO)
-    jobs.finish(jobs.start_users(records, table, f"{folder}/checkpoint", availableNow=True), STREAM_TIMEOUT)
+    records = topics.file_stream(spark, f"{folder}/topics", S.TOPIC_USER_INFO, 1)
+    jobs.finish(jobs.start_users(records, table, f"{folder}/checkpoint", availableNow=True))
     return jobs.current_users(spark, table)
 
 

@@ -15,6 +15,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # State of stream joins lies beside the heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -37,15 +40,24 @@ def build_session(app: str = "rtmart", master: str | None = None, **conf: str) -
 def run_folder(spark: SparkSession, name: str) -> str:
     """A new folder for one run, under the shared folder named in ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests on one machine) a local folder is used instead.
+    Tables and checkpoints lie there, so without that setting only a session whose executors are this process may go on,
+    with a local folder. ``remove_folder`` takes a finished run's folder away.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="rtmart-")
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/rtmart/{name}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, folder: str) -> bool:
+    """Delete a folder made by :func:`run_folder`, with the file system that its path names."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextlib.contextmanager
 def setting(spark: SparkSession, key: str, value: str | None) -> Iterator[None]:
     """Change one session setting for the length of a block; ``None`` changes nothing."""

@@ -48,7 +48,7 @@ def as_startup_log(events: DataFrame) -> DataFrame:
         _text("user_id").alias("uid"),
         F.lit("mart").alias("appid"),
         F.concat(F.lit("area_"), (user % 10).cast("string")).alias("area"),
-        F.when(ios, "ios").otherwise("andriod").alias("os"),
+        F.when(ios, "ios").otherwise("android").alias("os"),
         F.when(ios, "appstore").otherwise(F.concat(F.lit("ch_"), (user % 7).cast("string"))).alias("ch"),
         F.lit("startup").alias("type"),
         F.concat(F.lit("1."), (user % 4).cast("string")).alias("vs"),
@@ -69,7 +69,7 @@ def as_event_log(events: DataFrame) -> DataFrame:
         _text("user_id").alias("uid"),
         F.lit("mart").alias("appid"),
         F.concat(F.lit("area_"), (user % 10).cast("string")).alias("area"),
-        F.when(user % 10 < 3, "ios").otherwise("andriod").alias("os"),
+        F.when(user % 10 < 3, "ios").otherwise("android").alias("os"),
         F.lit("event").alias("type"),
         F.when(kind == "purchase", "coupon")
         .when(kind == "click", "clickItem")

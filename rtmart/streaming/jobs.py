@@ -9,8 +9,6 @@ effectively-once. Each ``start_*`` takes the trigger as keyword: ``processingTim
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date as Date
-from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,10 +71,12 @@ class _Held:
         self.rows.unpersist()
 
 
-def start_rejects(records: DataFrame, record: T.StructType, path: str, checkpoint: str, required=(), **trigger):
+def start_rejects(
+    records: DataFrame, record: T.StructType, path: str, checkpoint: str, required=(), within=None, **trigger
+):
     """Keep the lines a job cannot use."""
     return (
-        rejected_json(records, record, required=required)
+        rejected_json(records, record, required=required, within=within)
         .writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
@@ -88,6 +88,7 @@ def start_rejects(records: DataFrame, record: T.StructType, path: str, checkpoin
 # --- active devices ---------------------------------------------------------------------------------------------
 
 STARTUP_REQUIRED = ("mid", "ts")
+READABLE = {"ts": (0, 253_402_300_799_999)}  # epoch milliseconds up to the year 9999; other units are not guessed
 
 
 def dau_table(path: str) -> KeyedTable:
@@ -97,11 +98,6 @@ def dau_table(path: str) -> KeyedTable:
     return KeyedTable(path, fields, key=("mid", "logDate"), partition="logDate", order=())
 
 
-def days_between(low: str, high: str) -> list[str]:
-    first, last = Date.fromisoformat(low), Date.fromisoformat(high)
-    return [(first + timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
-
-
 def dau_batch(table: KeyedTable) -> Callable[[DataFrame, int], None]:
     """First start per device and day in the batch, less what earlier batches hold.
 
@@ -115,7 +111,7 @@ def dau_batch(table: KeyedTable) -> Callable[[DataFrame, int], None]:
             days = firsts.agg(F.min("logDate").alias("low"), F.max("logDate").alias("high")).first()
             if days["low"] is None:
                 return
-            earlier = table.batches(batch.sparkSession, batch_id, days_between(days["low"], days["high"]))
+            earlier = table.batches(batch.sparkSession, batch_id, (days["low"], days["high"]))
             seen = lookups.narrowed(earlier.select(*D.DEVICE_DAY), firsts, D.DEVICE_DAY)
             table.write(D.unseen(firsts, seen), batch_id)
 
@@ -129,7 +125,7 @@ def start_dau(starts: DataFrame, table: KeyedTable, checkpoint: str, **trigger)
 
 
 def startup_logs(records: DataFrame) -> DataFrame:
-    return with_log_day(decode_json(records, S.STARTUP_LOG, required=STARTUP_REQUIRED))
+    return with_log_day(decode_json(records, S.STARTUP_LOG, required=STARTUP_REQUIRED, within=READABLE))
 
 
 def dau_bounded(starts: DataFrame, lateness: str = "1 day") -> DataFrame:
@@ -149,7 +145,7 @@ def order_table(path: str, by: str = "create_date") -> KeyedTable:
     """Order facts by day, or by ``create_month`` where days hold few orders."""
     extra = ["create_date", "create_hour", *([by] if by != "create_date" else [])]
     fields = T.StructType([*S.ORDER_INFO.fields, *[T.StructField(c, T.StringType()) for c in extra]])
-    return KeyedTable(path, fields, key=("id",), partition=by, order=("create_time",))
+    return KeyedTable(path, fields, key=("id",), partition=by, order=("create_time",), steady=tuple(dict.fromkeys(("create_date", by))))
 
 
 def start_gmv(records: DataFrame, table: KeyedTable, checkpoint: str, **trigger) -> StreamingQuery:
@@ -206,7 +202,8 @@ def cached_then_stored(table: KeyedTable, stored: Callable[[SparkSession], DataF
 def sale_table(path: str, by: str = "dt") -> KeyedTable:
     """Sale rows by day, or by ``dt_month`` where days hold few sales."""
     fields = T.StructType([*S.SALE_DETAIL.fields, *([T.StructField(by, T.StringType())] if by != "dt" else [])])
-    return KeyedTable(path, fields, key=("order_id", "order_detail_id"), partition=by)
+    steady = tuple(dict.fromkeys(("dt", by)))
+    return KeyedTable(path, fields, key=("order_id", "order_detail_id"), partition=by, steady=steady)
 
 
 def order_line_stream(
@@ -277,13 +274,12 @@ class AlertTables:
             "window_start bigint, bucket bigint"
         )
         doc = T.StructType.fromDDL(
-            "mid string, window_start bigint, part int, uids array<string>, item_ids array<string>, "
-            "event_runs array<struct<evid:string,n:bigint>>, bucket bigint"
+            "mid string, window_start bigint, kind string, slot bigint, member string, n bigint, bucket bigint"
         )
         key = ("mid", "window_start")
         self.slots = KeyedTable(f"{path}/slots", slot, ("mid", "slot", "evid", "uid", "itemid"), "bucket")
         self.facts = KeyedTable(f"{path}/facts", fact, key, "bucket")
-        self.documents = KeyedTable(f"{path}/documents", doc, (*key, "part"), "bucket")
+        self.documents = KeyedTable(f"{path}/documents", doc, (*key, *A.MEMBER), "bucket")
 
     def create(self, spark: SparkSession) -> "AlertTables":
         for table in (self.slots, self.facts, self.documents):
@@ -311,7 +307,7 @@ def alert_batch(tables: AlertTables, rule: A.Rule) -> Callable[[DataFrame, int],
                 return
             tables.slots.write(counted, batch_id)
         low, high = span["low"] - rule.window, span["high"] + rule.window
-        near = tables.slots.batches(spark, batch_id + 1, range(low // grain, high // grain + 1))
+        near = tables.slots.batches(spark, batch_id + 1, (low // grain, high // grain))
         with _Held(near.where(F.col("slot").between(low, high)).drop(BATCH, "bucket")) as slot_rows:
             # Windows that start after low and not after the last slot of the batch lie whole within [low, high].
             judged = A.candidates(slot_rows, rule).where(
@@ -321,7 +317,7 @@ def alert_batch(tables: AlertTables, rule: A.Rule) -> Callable[[DataFrame, int],
                 clicked = windows.where("clicked")
                 rows = figures.withColumn("clicked", F.lit(False)).unionByName(clicked, allowMissingColumns=True)
                 tables.facts.write(bucketed(rows, "window_start"), batch_id)
-                docs = A.documents(figures, slot_rows, rule)
+                docs = A.members(figures, slot_rows, rule)
                 tables.documents.write(bucketed(docs, "window_start"), batch_id)
 
     return handle
@@ -334,7 +330,7 @@ def start_alerts(events: DataFrame, tables: AlertTables, checkpoint: str, rule:
 
 
 def event_logs(records: DataFrame) -> DataFrame:
-    return with_log_day(decode_json(records, S.EVENT_LOG, required=("mid", "ts")))
+    return with_log_day(decode_json(records, S.EVENT_LOG, required=("mid", "ts"), within=READABLE))
 
 
 def current_alerts(spark: SparkSession, tables: AlertTables) -> DataFrame:
@@ -344,13 +340,13 @@ def current_alerts(spark: SparkSession, tables: AlertTables) -> DataFrame:
 
 
 def current_documents(spark: SparkSession, tables: AlertTables) -> DataFrame:
-    """Documents of the current alerts: those written together with the last judgement."""
+    """The members of the current alerts: those written together with the last judgement."""
     docs = tables.documents.batches(spark).drop("bucket")
     return docs.join(current_alerts(spark, tables), ["mid", "window_start", BATCH]).drop(BATCH)
 
 
 def minute_documents(spark: SparkSession, tables: AlertTables, rule: A.Rule = A.Rule()) -> DataFrame:
-    """The documents of the last alert per device and minute, with ``index_day`` and ``doc_id``."""
+    """The members of the last alert per device and minute, with ``index_day`` and ``doc_id``."""
     last = A.last_per_minute(current_alerts(spark, tables).drop(BATCH), rule)
-    docs = current_documents(spark, tables).select("mid", "window_start", "part", "uids", "item_ids", "event_runs")
+    docs = current_documents(spark, tables).select("mid", "window_start", *A.MEMBER, "n")
     return last.select("mid", "window_start", "index_day", "doc_id").join(docs, ["mid", "window_start"])

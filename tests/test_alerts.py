@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from rtmart.operators import alerts as A
 
@@ -36,7 +37,7 @@ def brute(rows, rule):
 def found(spark, rows, rule, merged=False):
     slot_rows = (A.slots if merged else A.cut)(events(spark, rows), rule).persist()
     facts = A.facts(A.alerts(A.candidates(slot_rows, rule)), slot_rows, rule).persist()
-    docs = A.documents(facts, slot_rows, rule).withColumn("events", A.flat_events("event_runs"))
+    docs = A.documents(A.members(facts, slot_rows, rule), rule).withColumn("events", A.flat_events("event_runs"))
     out = {}
     for r in docs.collect():
         uids, items, evs = out.setdefault((r.mid, r.window_start), (set(), set(), []))
@@ -89,13 +90,13 @@ def test_against_brute_force(spark, window_s, slide_s):
         assert found(spark, rows, rule, merged=True) == got
 
 
-def test_outsized_sets_are_dealt_out_whole(spark):
+def test_members_have_one_layout_for_any_size(spark):
     rows = [("m", str(i), str(i % 7), "coupon", T0 + i) for i in range(200)]
-    rule = A.Rule(max_set=10)
-    slot_rows = A.slots(events(spark, rows), rule)
-    docs = A.documents(A.facts(A.candidates(slot_rows, rule), slot_rows, rule), slot_rows, rule)
-    assert docs.selectExpr("max(size(uids))").first()[0] < 60 and docs.select("part").distinct().count() > 10
-    assert found(spark, rows, rule) == brute(rows, rule)
+    slot_rows = A.slots(events(spark, rows), RULE)
+    listed = A.members(A.facts(A.candidates(slot_rows, RULE), slot_rows, RULE), slot_rows, RULE)
+    per = {(r.window_start, r.kind): (r["count"], r.n) for r in listed.groupBy("window_start", "kind").agg(F.count("*").alias("count"), F.sum("n").alias("n")).collect()}
+    assert {k[1]: v for k, v in per.items()} == {"uid": (200, 200), "item": (7, 200), "event": (1, 200)} and len(per) == 180
+    assert found(spark, rows, RULE) == brute(rows, RULE)
 
 
 def test_last_window_per_minute(spark):

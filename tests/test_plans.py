@@ -137,7 +137,7 @@ def test_hot_device_alert_work_is_spread(spark):
         F.lit("coupon").alias("evid"), (F.col("id") * 1000).alias("ts"))
     slot_rows = alerts.slots(events, alerts.Rule())
     found = alerts.facts(alerts.alerts(alerts.candidates(slot_rows, alerts.Rule())), slot_rows, alerts.Rule())
-    text = plan(alerts.documents(found, slot_rows, alerts.Rule()))
+    text = plan(alerts.members(found, slot_rows, alerts.Rule()))
     keys = [p.split("),")[0].split("),")[0] for p in text.split("hashpartitioning(")[1:]]
     assert keys and all(k.count("#") >= 2 for k in keys)
 

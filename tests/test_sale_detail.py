@@ -85,12 +85,12 @@ def test_shares_without_hits(spark):
     assert r.asDict() == {"total": 0, "male": 100.0, "female": 0.0, "under_20": 0.0, "from_20_to_30": 100.0, "from_30": 0.0}
 
 
-def test_ages_beyond_the_buckets_fall_into_the_middle(spark):
-    # ages 30..129 twice each fill the 100 buckets; 100 single hits at 10 other ages below 20 have no bucket
+def test_every_age_counts(spark):
+    # 110 ages, more than a breakdown by terms would list
     rows = [("1", f"{a}-{k}", "ring", DAY, "F", a) for a in range(30, 130) for k in range(20)]
     rows += [("2", f"{a}-{k}", "ring", DAY, "F", a) for a in range(0, 10) for k in range(10)]
     r = search.shares(search.profile(sales(spark, rows))).first()
-    assert (r.total, r.under_20, r.from_30) == (2100, 0.0, 95.2) and r.from_20_to_30 == 4.8
+    assert (r.total, r.under_20, r.from_30) == (2100, 4.8, 95.2) and r.from_20_to_30 == 0.0
 
 
 def test_terms_ties_and_nulls(spark):

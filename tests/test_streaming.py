@@ -56,8 +56,8 @@ def test_keyed_table(spark, tmp_path):
     assert as_set(table.latest(spark), "k", "v") == want
     assert as_set(table.batches(spark, before=1), "k", "v") == {("a", 1), ("a", 2), ("b", 1)}
     assert as_set(table.latest(spark, before=1), "k", "v") == {("a", 2), ("b", 1)}
-    assert as_set(table.latest(spark, partitions=["d1", "d9"]), "k", "v") == {("a", 0)}
-    assert table.batches(spark, partitions=["d9"]).count() == 0
+    assert as_set(table.latest(spark, between=("d0", "d1")), "k", "v") == {("a", 0)}
+    assert table.batches(spark, between=("d9", "d9")).count() == 0
     table.create(spark)
     copy = table.compact(spark, str(tmp_path / "copy"))
     assert as_set(copy.batches(spark), "k", "v") == want
@@ -75,11 +75,23 @@ def test_rows_without_a_key_are_all_kept(spark, tmp_path):
     assert sorted(r.v for r in table.latest(spark).collect()) == [1, 1, 1, 2]
 
 
-def test_named_partitions_are_the_only_ones_listed(spark, tmp_path):
+def test_bounded_partitions_are_the_only_ones_read(spark, tmp_path):
     table, rows = small_table(spark, tmp_path / "t")
     table.write(rows(*[(str(i), f"d{i}", i) for i in range(20)]), 0)
-    files = table.batches(spark, partitions=["d3", "d4"]).inputFiles()
-    assert files and all("day=d3" in f or "day=d4" in f for f in files)
+    plan = table.batches(spark, between=("d3", "d4"))
+    assert {r.day for r in plan.collect()} == {"d3", "d4"}
+    scan = plan._jdf.queryExecution().executedPlan().toString()
+    assert "d3" in scan.split("PartitionFilters:")[1].split("]")[0]
+
+
+def test_steady_day_reaches_the_scan(spark, tmp_path):
+    schema = spark.createDataFrame([], "k string, day string, v int").schema
+    table = KeyedTable(str(tmp_path / "t"), schema, ("k",), "day", ("v",), steady=("day",)).create(spark)
+    table.write(spark.createDataFrame([("a", "d1", 1), ("b", "d2", 1), ("a", "d1", 2)], schema), 0)
+    found = table.latest(spark).where("day = 'd1'")
+    assert [(r.k, r.v) for r in found.collect()] == [("a", 2)]
+    scan = found._jdf.queryExecution().executedPlan().toString()
+    assert "d1" in scan.split("PartitionFilters:")[1].split("]")[0]
 
 
 # --- active devices ---------------------------------------------------------------------------------------------
@@ -147,6 +159,24 @@ def test_rejects_are_kept(spark, tmp_path):
     assert as_set(spark.read.parquet(str(tmp_path / "bad")), "value") == {("oops",), ('{"uid": "1"}',)}
 
 
+def test_odd_times_do_not_stop_the_job(spark, tmp_path):
+    table = jobs.dau_table(str(tmp_path / "table"))
+    odd = [{"mid": m, "uid": "1", "ts": t, "type": "startup"} for m, t in (("ns", T0 * 10**6), ("us", T0 * 10**3), ("zero", 0), ("text", "x"))]
+    feed_dau(spark, tmp_path, table, [[start("a", "1", 0), *odd, '{"mid":"b","mid":"c","ts":%d}' % T0], [start("a", "1", 5)]])
+    assert as_set(table.batches(spark), "mid", "logDate") == {("a", "2024-01-01"), ("c", "2024-01-01"), ("zero", "1970-01-01")}
+
+
+def test_one_query_runs_several_batches(spark, tmp_path):
+    table = jobs.dau_table(str(tmp_path / "table"))
+    for chunk in range(4):
+        put(spark, tmp_path / "topics", S.TOPIC_START, [(start(m, "1", chunk), 0, chunk) for m in ("same", f"own{chunk}")])
+    logs = jobs.startup_logs(topics.file_stream(spark, str(tmp_path / "topics"), S.TOPIC_START, 1))
+    query = jobs.start_dau(logs, table, str(tmp_path / "checkpoint"), **NOW)
+    jobs.finish(query)
+    assert sum(p["numInputRows"] > 0 for p in query.recentProgress) == 4
+    assert as_set(table.batches(spark), "mid") == {("same",), *[(f"own{i}",) for i in range(4)]}
+
+
 # --- orders, lines, users ---------------------------------------------------------------------------------------
 
 
@@ -234,7 +264,8 @@ def test_alert_stream_equals_rule_whatever_the_order(spark, tmp_path, in_order):
         put(spark, tmp_path / "topics", S.TOPIC_EVENT, records)
         logs = jobs.event_logs(stream(spark, tmp_path / "topics", S.TOPIC_EVENT))
         jobs.finish(jobs.start_alerts(logs, tables, str(tmp_path / "cp"), rule, **NOW), 180)
-    docs = jobs.current_documents(spark, tables).withColumn("events", A.flat_events("event_runs")).collect()
+    docs = A.documents(jobs.current_documents(spark, tables), rule).withColumn("events", A.flat_events("event_runs")).collect()
+    assert all(r.ts == r.window_start + rule.window for r in docs)
     got = {(r.mid, r.window_start): (set(r.uids), set(r.item_ids), sorted(r.events)) for r in docs}
     assert len(got) == len(docs) and got == brute(rows, rule) and got
     minutes = jobs.minute_documents(spark, tables, rule).collect()
