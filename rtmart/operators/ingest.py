@@ -64,5 +64,11 @@ def daily_log_lines(routed: DataFrame) -> DataFrame:
     return routed.select("value", F.date_format(F.timestamp_millis("ts"), "yyyy-MM-dd").alias("day"))
 
 
+def start_daily_log(routed: DataFrame, path: str, checkpoint: str, **trigger):
+    """The rolling log as a stream of text files: a batch that runs again leaves its lines once."""
+    writer = daily_log_lines(routed).writeStream.format("text").partitionBy("day").option("path", path)
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+
+
 def write_daily_log(routed: DataFrame, path: str) -> None:
     daily_log_lines(routed).write.mode("append").partitionBy("day").text(path)

@@ -212,6 +212,14 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'new_mid', '{S.NAME_NEW_MID}', CAST({S.NEW_MID_VALUE} AS DOUBLE)
             UNION ALL SELECT 'gmv', '{S.NAME_GMV}', {MONEY} FROM order_info WHERE create_date = '{GMV_DATE}'""",
         ),
+        "realtime_total_document": _with(
+            f"{dau} order_info",
+            f"""SELECT '[{{"id":"dau","name":"{S.NAME_DAU}","value":' || CAST(count(*) AS DECIMAL(20,2)) ||
+                '}},{{"id":"new_mid","name":"{S.NAME_NEW_MID}","value":' || CAST({S.NEW_MID_VALUE} AS DECIMAL(20,2)) ||
+                '}},{{"id":"gmv","name":"{S.NAME_GMV}","value":' || coalesce(CAST(CAST((SELECT {MONEY} FROM order_info
+                WHERE create_date = '{GMV_DATE}') AS DECIMAL(20,2)) AS VARCHAR), 'null') || '}}]' AS value
+                FROM dau WHERE "logDate" = '{DAU_DATE}'""",
+        ),
         "realtime_hours": _with(
             f"{dau} order_info",
             " UNION ALL ".join(f"SELECT *, '{k}' AS id FROM ({_series(k)})" for k in ("dau", "new_mid", "gmv")),

@@ -56,6 +56,14 @@ def realtime_total(dau: DataFrame, orders: DataFrame, date: str, orders_date: st
     )
 
 
+def realtime_total_json(metrics: DataFrame) -> DataFrame:
+    """The metric rows as one JSON list, active devices, new devices, order value; money and counts with two decimals."""
+    place = F.array_position(F.array(*[F.lit(x) for x in ("dau", "new_mid", "gmv")]), F.col("id"))
+    row = F.struct(place.alias("place"), F.struct("id", "name", F.col("value").cast("decimal(20,2)").alias("value")).alias("metric"))
+    listed = metrics.agg(F.sort_array(F.collect_list(row))["metric"].alias("metrics"))  # three rows
+    return listed.select(F.to_json("metrics", {"ignoreNullFields": "false"}).alias("value"))
+
+
 def realtime_hours(series: str, date: str, dau: DataFrame | None = None, orders: DataFrame | None = None) -> DataFrame:
     """``series, hour, value`` of the day and the day before. ``dau`` and ``new_mid`` share the device series.
 

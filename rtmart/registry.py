@@ -170,6 +170,13 @@ def realtime_total(spark, sf_dir):
     )
 
 
+@_query
+def realtime_total_document(spark, sf_dir):
+    return realtime.realtime_total_json(
+        realtime.realtime_total(_dau(spark, sf_dir, DAU_DAYS), _gmv(spark, sf_dir, GMV_DAYS), DAU_DATE, orders_date=GMV_DATE)
+    )
+
+
 def _hours(spark, sf_dir, series):
     if series == "gmv":
         return realtime.realtime_hours("gmv", GMV_DATE, orders=_gmv(spark, sf_dir, GMV_DAYS))

@@ -32,9 +32,16 @@ def read_users(spark: SparkSession, options: dict[str, str], **split) -> DataFra
     return read_table(spark, options, **split).select(*[c for c in USER_INFO.fieldNames()])
 
 
-def read_single_column(spark: SparkSession, options: dict[str, str], column: str) -> DataFrame:
-    """One column of a table, such as the black list's ids."""
-    return read_table(spark, options).select(column)
+def read_single_column(spark: SparkSession, options: dict[str, str], column: str, **split) -> DataFrame:
+    """One column of a table, such as the black list's ids; ``split`` as in :func:`read_table`."""
+    return read_table(spark, options, **split).select(column)
+
+
+def key_queries(table: str, key: str, ids: list[str], group: int = 500) -> list[str]:
+    """Sub-queries for ``dbtable`` that ask a relational table for some ids only, ``group`` of them each."""
+    quoted = ["'" + str(i).replace("'", "''") + "'" for i in ids]
+    parts = [quoted[i : i + group] for i in range(0, len(quoted), group)]
+    return [f"(SELECT * FROM {table} WHERE {key} IN ({', '.join(p)})) t" for p in parts]
 
 
 def append_rows(df: DataFrame, options: dict[str, str], batch_rows: int = 1000, writers: int | None = None) -> None:

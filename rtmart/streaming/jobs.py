@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rtmart import schemas as S
-from rtmart.functions.columns import doc_id
+from rtmart.functions.columns import daily_index, doc_id
 from rtmart.functions.json_text import decode_json, rejected_json
 from rtmart.operators import alerts as A
 from rtmart.operators import dedup as D
@@ -252,9 +252,12 @@ def start_sale_detail(
     return run_batches(pairs, checkpoint, handle, "sale_detail", **trigger)
 
 
-def sale_documents(sales: DataFrame) -> DataFrame:
-    """Sale rows under their document id."""
-    return sales.withColumn("doc_id", doc_id(F.col("order_id"), F.col("order_detail_id")))
+def sale_documents(sales: DataFrame, index: str = "sale_detail", by_write_date: bool = False) -> DataFrame:
+    """Sale rows under their document id, with the name of their daily index: by the order's day or by the day of writing."""
+    day = None if by_write_date else F.col("dt")
+    return sales.withColumns(
+        {"doc_id": doc_id(F.col("order_id"), F.col("order_detail_id")), "index": daily_index(index, day)}
+    )
 
 
 # --- coupon alerts ----------------------------------------------------------------------------------------------
