@@ -291,17 +291,27 @@ class AlertTables:
 
 
 def alert_batch(tables: AlertTables, rule: A.Rule) -> Callable[[DataFrame, int], None]:
-    """Count the batch's slots, then judge again every window that a slot of the batch belongs to.
+    """Count the batch's slots, then judge again the windows that they belong to.
 
-    Slots of earlier batches are read only for the hours around the batch. A window that was an alert and has got
-    a late click is written again as clicked and so stops being one: the result does not depend on arrival order.
+    Time is cut into tiles of a window's length. A slot lies in windows that start in its tile or the one before, and those
+    reach into the next one: of earlier batches only the batch's own devices in these three tiles are looked at, and only
+    windows of two of them judged, so one late event costs its own device's hour and nobody else's. A window that was an
+    alert and has got a late click is written again as clicked and so stops being one: the result does not depend on
+    arrival order.
     """
 
-    grain = tables.grain_ms
+    grain, window = tables.grain_ms, rule.window
 
     def bucketed(rows: DataFrame, ms: str) -> DataFrame:
         return rows.withColumn("bucket", F.floor(F.col(ms) / grain))
 
+    def tiled(rows: DataFrame, ms: str) -> DataFrame:
+        return rows.withColumn("tile", F.floor(F.col(ms) / window))
+
+    def around(rows: DataFrame, *steps: int) -> DataFrame:
+        near = F.explode(F.array(*[F.col("tile") + step for step in steps]))
+        return tiled(rows, "slot").select("mid", near.alias("tile"))
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         with _Held(bucketed(A.slots(batch, rule), "slot")) as counted:
@@ -309,19 +319,22 @@ def alert_batch(tables: AlertTables, rule: A.Rule) -> Callable[[DataFrame, int],
             if span["low"] is None:
                 return
             tables.slots.write(counted, batch_id)
-        low, high = span["low"] - rule.window, span["high"] + rule.window
-        near = tables.slots.batches(spark, batch_id + 1, (low // grain, high // grain))
-        with _Held(near.where(F.col("slot").between(low, high)).drop(BATCH, "bucket")) as slot_rows:
-            # Windows that start after low and not after the last slot of the batch lie whole within [low, high].
-            judged = A.candidates(slot_rows, rule).where(
-                (F.col("window_start") > low) & (F.col("window_start") <= span["high"])
-            )
-            with _Held(judged) as windows, _Held(A.facts(A.alerts(windows), slot_rows, rule)) as figures:
-                clicked = windows.where("clicked")
-                rows = figures.withColumn("clicked", F.lit(False)).unionByName(clicked, allowMissingColumns=True)
-                tables.facts.write(bucketed(rows, "window_start"), batch_id)
-                docs = A.members(figures, slot_rows, rule)
-                tables.documents.write(bucketed(docs, "window_start"), batch_id)
+            low, high = (span["low"] // window - 1) * window, (span["high"] // window + 2) * window - 1
+            near = tables.slots.batches(spark, batch_id + 1, (low // grain, high // grain))
+            near = near.where(F.col("slot").between(low, high)).drop(BATCH, "bucket")
+            own = lookups.narrowed(tiled(near, "slot"), around(counted, -1, 0, 1), ["mid", "tile"]).drop("tile")
+            with _Held(own) as slot_rows:
+                judged = tiled(A.candidates(slot_rows, rule), "window_start")
+                judged = lookups.narrowed(judged, around(counted, -1, 0), ["mid", "tile"]).drop("tile")
+                write_judged(judged, slot_rows, batch_id)
+
+    def write_judged(judged: DataFrame, slot_rows: DataFrame, batch_id: int) -> None:
+        with _Held(judged) as windows, _Held(A.facts(A.alerts(windows), slot_rows, rule)) as figures:
+            clicked = windows.where("clicked")
+            rows = figures.withColumn("clicked", F.lit(False)).unionByName(clicked, allowMissingColumns=True)
+            tables.facts.write(bucketed(rows, "window_start"), batch_id)
+            docs = A.members(figures, slot_rows, rule)
+            tables.documents.write(bucketed(docs, "window_start"), batch_id)
 
     return handle
 
