@@ -243,19 +243,21 @@ def _publish_order_lines(spark, sf_dir, path):
 
 @_query
 def sale_detail_stream(spark, sf_dir):
+    """Orders and lines from files in no order of time, a file of each per micro-batch, so that most lines meet their order
+    across batches."""
     folder = run_folder(spark, "sale")
     _publish_order_lines(spark, sf_dir, f"{folder}/topics")
-    pairs = jobs.order_line_stream(
-        topics.file_stream(spark, f"{folder}/topics", S.TOPIC_ORDER_INFO),
-        topics.file_stream(spark, f"{folder}/topics", S.TOPIC_ORDER_DETAIL),
+    placed, lines = (
+        topics.file_stream(spark, f"{folder}/topics", t, 1) for t in (S.TOPIC_ORDER_INFO, S.TOPIC_ORDER_DETAIL)
     )
     table = jobs.sale_table(f"{folder}/table", by="dt_month")
+
     def users(session, ids):
         return lookups.narrowed(V.user_info(session, sf_dir), ids, ["id"])
 
-    query = jobs.start_sale_detail(
-        pairs, users, table, f"{folder}/checkpoint", _asof(),
-        state_partitions=spark.sparkContext.defaultParallelism, availableNow=True,
+    waiting = jobs.WaitingTables(f"{folder}/waiting", buckets=4)
+    query = jobs.start_sale_join(
+        placed.unionByName(lines), users, waiting, table, f"{folder}/checkpoint", _asof(), availableNow=True
     )
     jobs.finish(query)
     return table.latest(spark).select(*S.SALE_DETAIL.fieldNames())

@@ -252,6 +252,85 @@ def start_sale_detail(
     return run_batches(pairs, checkpoint, handle, "sale_detail", **trigger)
 
 
+class WaitingTables:
+    """Orders and order lines by a hash of the order's id, each side waiting for the other for as long as the tables are kept."""
+
+    def __init__(self, path: str, buckets: int = 64):
+        self.buckets = buckets
+        order = T.StructType.fromDDL(
+            "_order string, order_status string, create_time string, user_id string, dt string, o_time timestamp, bucket int"
+        )
+        line = T.StructType.fromDDL(
+            "order_detail_id string, order_id string, sku_id string, sku_name string, order_price string, d_time timestamp, bucket int"
+        )
+        self.orders = KeyedTable(f"{path}/orders", order, ("_order",), "bucket", steady=("bucket",))
+        self.lines = KeyedTable(f"{path}/lines", line, ("order_detail_id",), "bucket")
+
+    def create(self, spark: SparkSession) -> "WaitingTables":
+        for table in (self.orders, self.lines):
+            table.create(spark)
+        return self
+
+    def bucket(self, order_id: str) -> Column:
+        return F.pmod(F.xxhash64(order_id), F.lit(self.buckets)).cast("int")
+
+
+def _waiting(table: KeyedTable, spark: SparkSession, before: int, ids: DataFrame, key: str) -> DataFrame:
+    """The last rows of a table for the given order ids: narrowed to them first, ranked afterwards."""
+    rows = lookups.narrowed(table.batches(spark, before), ids, [key])
+    return latest.latest_per_key(rows, list(table.key), [BATCH]).drop(BATCH, "bucket")
+
+
+def sale_batch(
+    waiting: WaitingTables, users: Dimension, table: KeyedTable, order_ttl: str = ORDER_TTL, asof: Column | None = None
+) -> Callable[[DataFrame, int], None]:
+    """Join a batch's orders and lines with each other and with those of earlier batches, whichever came first.
+
+    Nothing is too late for it: no watermark drops a row, and there is no state but the two tables, from which only the
+    batch's own order ids are taken. A line may come up to ``order_ttl`` after its order, by record time, and any time before it.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        today = F.current_timestamp() if asof is None else asof
+        with _Held(batch) as records:
+            of = {t: records.where(F.col("topic") == t) for t in (S.TOPIC_ORDER_INFO, S.TOPIC_ORDER_DETAIL)}
+            o = decode_json(of[S.TOPIC_ORDER_INFO], S.ORDER_INFO, keep=("timestamp",), required=("id", "create_time"))
+            o = orders.sale_orders(o).select(
+                F.col("id").alias("_order"), "order_status", "create_time", "user_id", F.col("create_date").alias("dt"),
+                F.col("timestamp").alias("o_time"), waiting.bucket("id").alias("bucket"),
+            )
+            d = decode_json(of[S.TOPIC_ORDER_DETAIL], S.ORDER_DETAIL, keep=("timestamp",), required=("id", "order_id"))
+            d = d.select(
+                F.col("id").alias("order_detail_id"), "order_id", "sku_id", "sku_name", "order_price",
+                F.col("timestamp").alias("d_time"), waiting.bucket("order_id").alias("bucket"),
+            )
+            waiting.orders.write(o, batch_id)
+            waiting.lines.write(d, batch_id)
+            new = latest.latest_per_key(o.drop("bucket"), ["_order"], ["create_time"])
+            lines = _waiting(waiting.lines, spark, batch_id + 1, o.select(F.col("_order").alias("order_id")), "order_id")
+            ids = d.select(F.col("order_id").alias("_order"))
+            old = _waiting(waiting.orders, spark, batch_id, ids, "_order").join(new, "_order", "left_anti")
+            met = F.expr(f"_order = order_id AND d_time <= o_time + INTERVAL {order_ttl}")
+            pairs = new.join(lines, met).unionByName(old.join(d.drop("bucket"), met))
+            with _Held(sale_detail.sale_columns(pairs)) as rows:
+                asked = rows.select(F.col("user_id").alias("id")).distinct()
+                full = sale_detail.with_user(rows, users(spark, asked), today)
+                table.write(full.withColumn("dt_month", F.substring("dt", 1, 7)), batch_id)
+
+    return handle
+
+
+def start_sale_join(
+    records: DataFrame, users: Dimension, waiting: WaitingTables, table: KeyedTable, checkpoint: str,
+    asof: Column | None = None, **trigger,
+) -> StreamingQuery:
+    """Sale rows from records of both topics, without a bound on how long a line waits for its order."""
+    waiting.create(records.sparkSession)
+    table.create(records.sparkSession)
+    return run_batches(records, checkpoint, sale_batch(waiting, users, table, asof=asof), "sale_join", **trigger)
+
+
 def sale_documents(sales: DataFrame, index: str = "sale_detail", by_write_date: bool = False) -> DataFrame:
     """Sale rows under their document id, with the name of their daily index: by the order's day or by the day of writing."""
     day = None if by_write_date else F.col("dt")

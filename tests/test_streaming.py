@@ -244,6 +244,32 @@ def test_sale_detail(spark, tmp_path):
         ("1-same batch", 33, "2024-01-01"), ("1-100 s late", 33, "2024-01-01"), ("2-hour early", 33, "2024-01-01")}
 
 
+def test_sale_join_across_batches(spark, tmp_path):
+    def order(i):
+        return {"id": i, "user_id": "u", "create_time": "2024-01-01 10:00:00"}
+
+    def line(i, o):
+        return {"id": i, "order_id": o, "sku_id": "s", "order_price": "5"}
+
+    people = spark.createDataFrame([("u", "n", "3", "1990-01-01", "F")], S.USER_INFO)
+    table = jobs.sale_table(str(tmp_path / "table"))
+    waiting = jobs.WaitingTables(str(tmp_path / "waiting"), 4)
+    month = 30 * 86_400
+    feeds = [  # (orders, lines) per batch, with record times
+        ([("1", 1000)], [("early", "2", 0), ("same", "1", 1000)]),
+        ([("2", month)], [("100 s", "1", 1100), ("101 s", "1", 1101)]),
+        ([("1", 1000)], [("early again", "2", 5), ("lone", "9", 0)]),
+    ]
+    for placed, lines in feeds:
+        put(spark, tmp_path / "topics", S.TOPIC_ORDER_INFO, [(order(i), t, 0) for i, t in placed])
+        put(spark, tmp_path / "topics", S.TOPIC_ORDER_DETAIL, [(line(i, o), t, 0) for i, o, t in lines])
+        both = stream(spark, tmp_path / "topics", S.TOPIC_ORDER_INFO).unionByName(stream(spark, tmp_path / "topics", S.TOPIC_ORDER_DETAIL))
+        jobs.finish(jobs.start_sale_join(both, lambda s, ids: people, waiting, table, str(tmp_path / "cp"),
+                                         F.lit("2024-01-31").cast("timestamp"), **NOW))
+    assert as_set(table.latest(spark), "order_detail_id", "order_id", "user_level") == {
+        ("early", "2", "3"), ("same", "1", "3"), ("100 s", "1", "3"), ("early again", "2", "3")}
+
+
 # --- alerts -----------------------------------------------------------------------------------------------------
 
 
