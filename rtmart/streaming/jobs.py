@@ -58,6 +58,21 @@ def finish(query: StreamingQuery, timeout: float | None = None) -> None:
         raise TimeoutError(f"stream {query.name or query.id} was still running after {timeout} s")
 
 
+MERGE_EVERY = 100  # batches between two merges of a table's folders
+
+
+def merging(handle: Callable[[DataFrame, int], None], *tables: KeyedTable, every: int = MERGE_EVERY):
+    """``handle``, and now and then a merge of what earlier batches wrote, so that a partition holds a bounded number of folders."""
+
+    def both(batch: DataFrame, batch_id: int) -> None:
+        handle(batch, batch_id)
+        if batch_id and batch_id % every == 0:
+            for table in tables:
+                table.merge(batch.sparkSession, batch_id - 1)
+
+    return both
+
+
 class _Held:
     """Keep a batch's rows while it is used more than once."""
 
@@ -121,7 +136,7 @@ def dau_batch(table: KeyedTable) -> Callable[[DataFrame, int], None]:
 def start_dau(starts: DataFrame, table: KeyedTable, checkpoint: str, **trigger) -> StreamingQuery:
     """Exact job: never loses a late start. ``starts`` are start logs with ``logDate`` and ``logHour``."""
     table.create(starts.sparkSession)
-    return run_batches(starts, checkpoint, dau_batch(table), "dau", **trigger)
+    return run_batches(starts, checkpoint, merging(dau_batch(table), table), "dau", **trigger)
 
 
 def startup_logs(records: DataFrame) -> DataFrame:
@@ -152,7 +167,7 @@ def start_gmv(records: DataFrame, table: KeyedTable, checkpoint: str, **trigger)
     table.create(records.sparkSession)
     facts = orders.gmv_orders(decode_json(records, S.ORDER_INFO, required=("id", "create_time")))
     facts = facts.withColumn("create_month", F.substring("create_date", 1, 7))
-    return run_batches(facts, checkpoint, lambda rows, n: table.write(rows, n), "gmv", **trigger)
+    return run_batches(facts, checkpoint, merging(table.write, table), "gmv", **trigger)
 
 
 # --- users ------------------------------------------------------------------------------------------------------
@@ -171,7 +186,7 @@ def user_records(records: DataFrame) -> DataFrame:
 def start_users(records: DataFrame, table: KeyedTable, checkpoint: str, **trigger) -> StreamingQuery:
     """Latest user record per id, by record time and offset."""
     table.create(records.sparkSession)
-    return run_batches(user_records(records), checkpoint, lambda rows, n: table.write(rows, n), "users", **trigger)
+    return run_batches(user_records(records), checkpoint, merging(table.write, table), "users", **trigger)
 
 
 def newest_users(rows: DataFrame) -> DataFrame:
@@ -249,7 +264,7 @@ def start_sale_detail(
             full = sale_detail.with_user(rows, users(batch.sparkSession, ids), today)
             table.write(full.withColumn("dt_month", F.substring("dt", 1, 7)), batch_id)
 
-    return run_batches(pairs, checkpoint, handle, "sale_detail", **trigger)
+    return run_batches(pairs, checkpoint, merging(handle, table), "sale_detail", **trigger)
 
 
 class WaitingTables:
@@ -328,7 +343,8 @@ def start_sale_join(
     """Sale rows from records of both topics, without a bound on how long a line waits for its order."""
     waiting.create(records.sparkSession)
     table.create(records.sparkSession)
-    return run_batches(records, checkpoint, sale_batch(waiting, users, table, asof=asof), "sale_join", **trigger)
+    handle = merging(sale_batch(waiting, users, table, asof=asof), waiting.orders, waiting.lines, table)
+    return run_batches(records, checkpoint, handle, "sale_join", **trigger)
 
 
 def sale_documents(sales: DataFrame, index: str = "sale_detail", by_write_date: bool = False) -> DataFrame:

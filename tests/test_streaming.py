@@ -75,6 +75,23 @@ def test_rows_without_a_key_are_all_kept(spark, tmp_path):
     assert sorted(r.v for r in table.latest(spark).collect()) == [1, 1, 1, 2]
 
 
+@pytest.mark.parametrize("partition", [None, "day"])
+def test_merging_bounds_the_folders(spark, tmp_path, partition):
+    schema = spark.createDataFrame([], "k string, day string, v int").schema
+    table = KeyedTable(str(tmp_path / "t"), schema, ("k",), partition, ("v",)).create(spark)
+    handle = jobs.merging(table.write, table, every=30)
+    want = {}
+    for n in range(100):
+        rows = [(f"k{n % 7}", f"d {n % 7 % 2}", n), (f"n{n}", "d 1", n)]
+        frame = spark.createDataFrame(rows, schema).coalesce(1)
+        for _ in range(2 if n in (30, 61) else 1):  # a batch may run again, also right after a merge
+            handle(frame, n)
+        want.update({k: v for k, _, v in rows})
+    assert as_set(table.latest(spark), "k", "v") == set(want.items())
+    assert max(map(len, table._batch_folders(spark).values())) <= 2 * 30 + 12
+    assert as_set(table.latest(spark, before=50), "k") <= as_set(table.latest(spark), "k")
+
+
 def test_bounded_partitions_are_the_only_ones_read(spark, tmp_path):
     table, rows = small_table(spark, tmp_path / "t")
     table.write(rows(*[(str(i), f"d{i}", i) for i in range(20)]), 0)
