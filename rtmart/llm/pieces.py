@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000  # about 120 MB
 CACHE_CHARS = 48
+BLOCK_CHARS = 4 << 20
 
 
 def regular(part: str) -> bool:
@@ -32,24 +33,44 @@ def pieces(text: str) -> list[str]:
 class CachedEncoder:
     """Token ids of texts as little-endian 32-bit bytes; short pieces are encoded once while they stay in the cache.
 
-    ``encode`` turns a list of pieces into a list of such bytes.
+    ``encode`` turns a list of pieces into a list of such bytes. It is called once for all new pieces of a list of texts.
     """
 
     def __init__(self, encode):
         self.encode, self.cache = encode, {}
 
-    def ids(self, text: str) -> bytes:
-        head, *rest = text.split(" ")
-        found = list(map(self.cache.get, rest))
-        if None in found:
-            missing = list({p for p, v in zip(rest, found) if v is None})
-            if not all(map(regular, missing)):
-                return b"".join(self.encode(pieces(text)))
-            new = dict(zip(missing, self.encode([" " + p for p in missing])))
-            found = [new[p] if v is None else v for p, v in zip(rest, found)]
-            if len(self.cache) + len(new) > CACHE_WORDS:
-                self.cache.clear()
-            self.cache.update((p, v) for p, v in new.items() if len(p) <= CACHE_CHARS)
-        if rest and not regular(head):
-            return b"".join(self.encode(pieces(text)))
-        return b"".join(self.encode([head]) + found) if head else b"".join(found)
+    def ids(self, texts: list[str]) -> list[bytes]:
+        parts = [t.split(" ") for t in texts]
+        heads = [p.pop(0) for p in parts]
+        words = set().union(*parts)
+        known = self.cache
+        new = [w for w in words if w not in known and regular(w)]
+        if len(known) + len(new) > CACHE_WORDS:  # keep what these texts use: mostly the frequent words
+            known = self.cache = {w: known[w] for w in words if w in known}
+        fresh = self.encode([" " + w for w in new] + heads)
+        known.update(zip(new, fresh))
+        out = []
+        for text, own, first, head in zip(texts, parts, heads, fresh[len(new) :]):
+            try:
+                rest = b"".join(map(known.__getitem__, own))
+            except KeyError:  # white space beside a space
+                rest = None
+            if rest is None or own and not regular(first):
+                out.append(b"".join(self.encode(pieces(text))))
+            else:
+                out.append(head + rest)
+        for word in new:  # long ones would fill the memory
+            if len(word) > CACHE_CHARS:
+                del known[word]
+        return out
+
+
+def runs(sizes: list[int], most: int) -> list[tuple[int, int]]:
+    """Neighbouring items in groups of about ``most`` in size."""
+    out, low, size = [], 0, 0
+    for i, n in enumerate(sizes):
+        if size and size + n > most:
+            out.append((low, i))
+            low, size = i, 0
+        size += n
+    return [*out, (low, len(sizes))] if sizes else []

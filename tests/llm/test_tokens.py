@@ -29,7 +29,7 @@ def test_pieces_never_cross_a_match(text):
     assert [i for p in parts for i in ENC.encode_ordinary(p)] == ENC.encode_ordinary(text)
     cached = CachedEncoder(lambda ps: [np.array(ENC.encode_ordinary(p), "<u4").tobytes() for p in ps])
     for _ in range(2):
-        assert np.frombuffer(cached.ids(text), "<u4").tolist() == ENC.encode_ordinary(text)
+        assert [np.frombuffer(x, "<u4").tolist() for x in cached.ids([text, "", text])] == [ENC.encode_ordinary(t) for t in (text, "", text)]
 
 
 def docs(spark):
@@ -83,6 +83,14 @@ def test_packing_covers_every_id_once(spark, window, open_windows):
     assert packing.digest(frame.where("false")).collect() == []
 
 
+def test_ranks_of_the_tokenizer_file():
+    ranks = packing.byte_ranks(public_tokenizers.path("byte_bpe_50k.json"))
+    assert ranks == bpe.load_ranks(None)
+    assert packing.byte_ranks(public_tokenizers.path("word_bpe_49k.json")) is None
+    encoder = packing._encoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert len(encoder.encode(["some words"])[0]) % 4 == 0
+
+
 def test_sum_of_squares_choice():
     packer = packing.Packer(10, 0)
     packer.levels[[3, 5]] = 4, 1
