@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from rtmart.llm import shared as S
 
-AT_SCHEMA = "key long, kind byte, doc_id long, at long"
+AT_SCHEMA = "key long, kind byte, doc_id long, at long, ats binary"
 TEXT_SCHEMA = "key long, doc_id long, first long, last long, anchor int, body binary"
 RANGE_SCHEMA = "key long, key2 long, doc_id long, first long, last long"
 
@@ -25,12 +25,25 @@ Batches = Iterator[pa.RecordBatch]
 
 
 def anchor_batch(key, doc, place, at, first, last) -> pa.RecordBatch:
-    """Anchors of one batch; ``place`` is the anchor's place in its document, the others are places in the batch."""
+    """Anchors of one batch; ``place`` is the anchor's place in its document, the others are places in the batch.
+
+    Those that the batch has settled travel as one row per document.
+    """
     kind = S.combine(key)
     packed = (place << 14) | ((at - first) << 7) | (at - last)
-    spread = S.mix((doc ^ packed).astype(np.uint64)).astype(np.int64)
-    columns = [pa.array(np.where(kind == S.KNOWN, spread, key)), pa.array(kind), pa.array(doc), pa.array(packed)]
-    return pa.RecordBatch.from_arrays(columns, ["key", "kind", "doc_id", "at"])
+    alone = np.flatnonzero(kind != S.KNOWN)
+    known = np.flatnonzero(kind == S.KNOWN)
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(doc[known])) + 1, [len(known)])) if len(known) else [0]
+    lists = [packed[known[a:b]].tobytes() for a, b in zip(cuts, cuts[1:])]
+    owner = doc[known[cuts[:-1]]] if len(known) else doc[:0]
+    columns = [
+        pa.array(np.concatenate((key[alone], S.mix(owner.astype(np.uint64)).astype(np.int64)))),
+        pa.array(np.concatenate((kind[alone], np.full(len(lists), S.KNOWN, np.int8)))),
+        pa.array(np.concatenate((doc[alone], owner))),
+        pa.array(np.concatenate((packed[alone], np.zeros(len(lists), np.int64)))),
+        pa.array([None] * len(alone) + lists, pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["key", "kind", "doc_id", "at", "ats"])
 
 
 def _compressed(batches: Batches) -> Batches:
@@ -66,7 +79,10 @@ def surroundings(windows_of: Callable, same: Callable) -> Callable[[Batches], Ba
                         continue  # the id's texts differ
                     key, text = found
                     if same(seen.setdefault((text, a - lo), (doc, lo)), (doc, lo)):
-                        out.append((key, doc, lo, hi, a - lo, text))
+                        if lo == hi and out and out[-1][1:2] + out[-1][3:] == (doc, lo - 1, a - lo, text):
+                            out[-1] = (key, doc, out[-1][2], hi, a - lo, text)  # the same word or byte over and over
+                        else:
+                            out.append((key, doc, lo, hi, a - lo, text))
                     elif done and done[-1][1] + 1 == lo:
                         done[-1][1] = hi
                     else:
@@ -101,33 +117,34 @@ def _settled(doc, first, last) -> pa.RecordBatch:
     return _range_batch(spread, spread, doc, first, last)
 
 
-def flag_ranges(flags, owner, doc, where):
-    """Neighbouring flagged windows of a row as one range."""
+def flag_ranges(flags, owner, doc, where, last):
+    """Neighbouring flagged windows of a row as one range. A row's last window stands for all up to ``last``."""
     at = np.flatnonzero(flags)
     new = np.concatenate(([True], (np.diff(at) != 1) | (np.diff(owner[at]) != 0)))[: len(at)]
     low = at[new]
     high = at[np.concatenate((np.flatnonzero(new)[1:], [len(at)])) - 1] if len(at) else at
-    return doc[owner[low]], where[low], where[high]
+    ends = np.append(owner[1:] != owner[:-1], True)
+    return doc[owner[low]], where[low], np.where(ends[high], last[owner[high]], where[high])
 
 
 def search_groups(search: Callable, hashed: Callable, same: Callable, most: int) -> Callable[[Batches], Batches]:
     """Work through a stream sorted by anchor, document and place, one anchor's group at a time.
 
     Equal surroundings are settled on the way. Groups with several different ones are searched, a few at a time:
-    ``search(bucket, doc, first, anchor, bodies)`` gives ranges. A group with ``most`` different ones is handed on as
-    hashes of its windows, ``hashed(doc, first, bodies)``, so that memory stays bounded.
+    ``search(bucket, doc, first, last, anchor, bodies)`` gives ranges. A group with ``most`` different ones is handed on as
+    hashes of its windows, ``hashed(doc, first, last, bodies)``, so that memory stays bounded.
     """
 
     def flush(rows: list[tuple]) -> Batches:
         if rows:
-            key, doc, first, anchor = (np.array(x, np.int64) for x in list(zip(*rows))[:4])
+            key, doc, first, last, anchor = (np.array(x, np.int64) for x in list(zip(*rows))[:5])
             bucket = np.concatenate(([0], np.cumsum(key[1:] != key[:-1])))
-            yield _settled(*search(bucket, doc, first, anchor, [r[4] for r in rows]))
+            yield _settled(*search(bucket, doc, first, last, anchor, [r[5] for r in rows]))
 
     def passed_on(rows: list[tuple]) -> Batches:
         for low in range(0, len(rows), 1000):
-            _, doc, first, _, bodies = zip(*rows[low : low + 1000])
-            key, key2, doc, at = hashed(doc, first, bodies)
+            _, doc, first, last, _, bodies = zip(*rows[low : low + 1000])
+            key, key2, doc, at = hashed(doc, first, last, bodies)
             yield _range_batch(key, key2, doc, at, np.full(len(at), -1))
 
     def run(batches: Batches) -> Batches:
@@ -152,7 +169,7 @@ def search_groups(search: Callable, hashed: Callable, same: Callable, most: int)
                 if not same(seen.setdefault((body, anchor), (doc, first)), (doc, first)):
                     done.append((doc, first, last))
                     continue
-                here.append((k, doc, first, anchor, body))
+                here.append((k, doc, first, last, anchor, body))
                 if len(here) >= most:
                     yield from passed_on(here)
                     here, seen, spilled = [], {}, True

@@ -136,12 +136,16 @@ def combine(keys: np.ndarray) -> np.ndarray:
 
 
 def repeated_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, at) whose key occurs twice, from a stream sorted by key; holds one row between batches."""
+    """Rows (doc_id, at) whose key occurs twice, from a stream sorted by key; holds one row between batches.
+
+    KNOWN rows bring a list of places."""
     held = None
     for batch in batches:
         key, kind, doc, at = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
         known = kind == KNOWN
-        out_doc, out_at = doc[known], at[known]
+        lists = batch.column(4).filter(pa.array(known)).to_pylist()
+        out_doc = np.repeat(doc[known], [len(x) // 8 for x in lists])
+        out_at = np.frombuffer(b"".join(lists), np.int64)
         key, kind, doc, at = key[~known], kind[~known], doc[~known], at[~known]
         if held is not None:
             key, kind, doc, at = (np.concatenate(([h], x)) for h, x in zip(held, (key, kind, doc, at)))

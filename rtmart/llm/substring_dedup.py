@@ -168,12 +168,14 @@ def repeated_windows(doc: np.ndarray, first: np.ndarray, bodies: list[bytes], wo
     return least < doc[owner], owner, first[owner] + inner
 
 
-def _hashed(doc, first, bodies: list[bytes], words: int):
+def _hashed(doc, first, last, bodies: list[bytes], words: int):
+    """Every window of the rows as a 128-bit hash with its place; one window may stand for several places."""
     keys = []
-    for who, at, body in zip(doc, first, bodies):
+    for who, at, end, body in zip(doc, first, last, bodies):
         parts = body.split(b" ")
-        for i in range(len(parts) - words + 1):
-            digest = xxhash.xxh128_digest(b" ".join(parts[i : i + words]))
+        n = len(parts) - words + 1
+        for i in range(end - at + 1):
+            digest = xxhash.xxh128_digest(b" ".join(parts[min(i, n - 1) : min(i, n - 1) + words]))
             keys.append((*np.frombuffer(digest, np.int64).tolist(), who, at + i))
     return [np.array(x, np.int64) for x in zip(*keys)]
 
@@ -185,12 +187,12 @@ def _same_document(owner: tuple[int, int], own: tuple[int, int]) -> bool:
 def spans(docs: DataFrame, words: int = WORDS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(doc_id, body, ranges): the compressed bytes of each document and the starts of its repeated windows as ranges."""
 
-    def search(_, doc, first, anchor, bodies):
+    def search(_, doc, first, last, __, bodies):
         flags, owner, where = repeated_windows(doc, first, bodies, words)
-        return R.flag_ranges(flags, owner, doc, where)
+        return R.flag_ranges(flags, owner, doc, where, last)
 
-    def hashed(doc, first, bodies):
-        return _hashed(doc, first, bodies, words)
+    def hashed(doc, first, last, bodies):
+        return _hashed(doc, first, last, bodies, words)
 
     groups = R.search_groups(search, hashed, _same_document, shard_rows)
     return R.located(docs, _anchor_rows(words), R.surroundings(_windows(words), _same_document), groups, False)

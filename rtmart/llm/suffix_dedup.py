@@ -176,11 +176,11 @@ def _hashed(doc, first, bodies: list[bytes], length: int):
 def spans(docs: DataFrame, length: int = LENGTH, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(doc_id, body, ranges): the compressed bytes of each document and the starts of its repeated strings as ranges."""
 
-    def search(bucket, doc, first, anchor, bodies):
+    def search(bucket, doc, first, last, anchor, bodies):
         flags, owner, where = repeated_starts(bucket, doc, first, anchor, bodies, length)
-        return R.flag_ranges(flags, owner, doc, where)
+        return R.flag_ranges(flags, owner, doc, where, last)
 
-    def hashed(doc, first, bodies):
+    def hashed(doc, first, _, bodies):
         return _hashed(doc, first, bodies, length)
 
     texts = R.surroundings(_windows(length), operator.eq)
