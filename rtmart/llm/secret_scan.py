@@ -101,13 +101,19 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ..
     return rows.groupBy("blob").agg(F.first("rules").alias("rules"), F.collect_list(found).cast(_FOUND).alias("found"))
 
 
-def report(docs: DataFrame, ledger: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with ``found``: the findings of their text in order of start, then of rule; null if none. A column
-    of that name is replaced."""
+def _with_findings(keyed: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Rows with their blob in ``_own``, and what was found in it. The hash is a column before the join, so that texts which
+    nobody needs afterwards are not shuffled."""
     found = ledger.where(F.array_size("found") > 0).groupBy("blob").agg(F.flatten(F.collect_list("found")).alias("_found"))
     order = F.transform("_found", lambda s: F.struct(s["start"], s["rule"], s["end"], s["kind"]))
     found = found.select(F.col("blob").alias("_blob"), F.sort_array(F.array_distinct(order)).alias("found"))
-    return docs.drop("found").join(found, blob_of() == F.col("_blob"), "left").drop("_blob")
+    return keyed.join(found, F.col("_own") == F.col("_blob"), "left").drop("_own", "_blob")
+
+
+def report(docs: DataFrame, ledger: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with ``found``: the findings of their text in order of start, then of rule; null if none. A column
+    of that name is replaced."""
+    return _with_findings(docs.drop("found").withColumn("_own", blob_of()), ledger)
 
 
 def _joined(found: Column) -> Column:
@@ -145,8 +151,8 @@ def _masked(text: Column, rule: Rule, mask: str) -> Column:
 def redact(docs: DataFrame, mask: str = MASK, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with the findings of every text that has any replaced by ``mask``, rule by rule. A text without findings and a
     null text stay as they are."""
-    hits = report(docs.select("text", F.struct(*docs.columns).alias("_all")), scan(docs, rules=rules))
-    rows = hits.select("_all.*", F.col("found").alias("_hits"))
+    keyed = docs.select(F.struct(*docs.columns).alias("_all"), blob_of().alias("_own"))
+    rows = _with_findings(keyed, scan(docs, rules=rules)).select("_all.*", F.col("found").alias("_hits"))
     for rule in rules:
         rows = rows.withColumn("text", F.when(F.col("_hits").isNull(), F.col("text")).otherwise(_masked(F.col("text"), rule, mask)))
     return rows.select(*docs.columns)
