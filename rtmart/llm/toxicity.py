@@ -42,8 +42,8 @@ TOXIC_FROM = 0.3
 LEAST_WORTH = 2.0  # log of how much more common a term must be in toxic documents
 _WORD = re.compile(r"\w+")
 _QUOTES = re.compile("[\"“”„«»‹›]")
-CACHE_WORDS = 400_000
-STATES = 100_000
+CACHE_WORDS = 150_000
+STATES = 30_000
 
 
 def _terms(text: str) -> set[str]:
@@ -221,7 +221,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (b.slice(low, 500) for b in batches for low in range(0, b.num_rows, 500)):  # few terms at a time
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             counts[int(toxic > 0)].update(_terms(text))
