@@ -3,10 +3,12 @@
 1. *Training rows.* At most ``TRAIN_ROWS`` labelled documents, those of least id hash, equal texts once. The lexicon and the weights of
    the score come from them; they are the only bounded sample here, every document is scored over its whole text.
 2. *Lexicon.* Words and word beginnings that occur in toxic training documents and hardly in others; a greedy cover takes
-   those that explain most toxic documents, each ``COVER`` times. Their number is at most ``LEXICON_TERMS``.
+   those that explain most toxic documents, each ``COVER`` times. Their number is at most ``LEXICON_TERMS``; the whole words
+   under a chosen beginning join them with its weight, so that their misspellings are found too.
 3. *Matching.* The lexicon is a trie. It is intersected with Levenshtein automata (no edit up to 4 characters, one up to 8, two
-   above; beginnings of words only as they are), and the product is made deterministic as texts ask for its states. Terms whose
-   misspellings are common in harmless training documents are matched exactly.
+   above; beginnings of words only as they are), and the product is made deterministic as texts ask for its states. Two
+   neighbouring letters in each other's place count as one edit, and terms of 4 characters may have that or one other letter.
+   Near words that harmless training documents use are no misspellings; only terms near many such words are matched exactly.
 4. *Context.* A hit inside quotation marks, within ``WINDOW`` words of both, counts a quarter; hits near each other strengthen one another.
 5. *Score.* Logistic regression on the sums.
 
@@ -39,6 +41,7 @@ WINDOW = 12
 QUOTED = 0.25
 STEMS = (4, 5, 6, 7, 8)
 TOXIC_FROM = 0.3
+NEIGHBOURS = 4  # words of one harmless row near a term from which on it may be matched exactly only
 LEAST_WORTH = 2.0  # log of how much more common a term must be in toxic documents
 _WORD = re.compile(r"\w+")
 _QUOTES = re.compile("[\"“”„«»‹›]")
@@ -46,6 +49,10 @@ CACHE_WORDS = 150_000
 STATES = 30_000
 
 
+def _dotted(word: str) -> list[str]:
+    return [f"{word[:i]}.{word[i + 1 :]}" for i in range(len(word))]
+
+
 def _terms(text: str) -> set[str]:
     """Words, and beginnings of longer words marked by a star."""
     words = set(_WORD.findall(text.lower()))
@@ -58,6 +65,8 @@ class Matcher:
 
     lexicon: dict[str, float]
     exact_only: frozenset[str] = frozenset()
+    usual: frozenset[str] = frozenset()  # words that are a misspelling of nothing
+    loose: bool = False  # also letters in each other's place, and one other letter in terms of 4 characters
     nodes: list[dict[str, int]] = field(default_factory=lambda: [{}])
     ends: list[tuple[str, int] | None] = field(default_factory=lambda: [None])  # term and its edits
     stems: list[str | None] = field(default_factory=lambda: [None])
@@ -82,8 +91,21 @@ class Matcher:
                 self.stems[at] = term
             else:
                 self.ends[at] = (term, edits)
+        self.lenient = {t for t in self.lexicon if len(t) >= 4 + (not self.loose) and not t.endswith("*")} - self.exact_only
+        self.variants = self._variants() if self.loose else {}
         self._reset()
 
+    def _variants(self) -> dict[str, str]:
+        """What is one loose edit away, with a dot for any letter; longer terms have two edits for it in the automaton."""
+        out: dict[str, str] = {}
+        for term in sorted(self.lenient, reverse=True):
+            if len(term) <= 8:
+                forms = [term[:i] + term[i + 1] + term[i] + term[i + 2 :] for i in range(len(term) - 1)]
+                if len(term) == 4:
+                    forms += _dotted(term)
+                out.update(dict.fromkeys(forms, term))
+        return out
+
     def _reset(self) -> None:
         self.steps: dict[tuple[int, str], int] = {}
         self.states: list[frozenset] = []
@@ -155,11 +177,17 @@ class Matcher:
             at = after
             if not self.states[at]:
                 break
-        self.cache[word] = self.results[at]
-        return self.results[at]
+        best = self.results[at]
+        if self.variants and (best is None or best[1] > 0):
+            forms = [word, *_dotted(word)] if len(word) == 4 else [word]
+            best = min([*([best] if best else []), *[(self.variants[f], 1) for f in forms if f in self.variants]], key=lambda b: b[::-1], default=None)
+        if best and best[1] and word in self.usual:
+            best = None
+        self.cache[word] = best
+        return best
 
-    def hits(self, text: str) -> tuple[int, list[tuple[int, int, str, int]]]:
-        """Number of words, and of each hit its place among the words, in the text, the term and the distance."""
+    def hits(self, text: str) -> tuple[int, list[tuple[int, int, str, int, str]]]:
+        """Number of words, and of each hit its place among the words, in the text, the term, the distance and the word."""
         low = text.lower()
         words = _WORD.findall(low)
         found = [m for w in set(words) if (m := self.match(w))]
@@ -169,17 +197,20 @@ class Matcher:
         for i, m in enumerate(_WORD.finditer(low)):
             hit = self.match(m[0])
             if hit:
-                out.append((i, m.start(), *hit))
+                out.append((i, m.start(), *hit, m[0]))
         return len(words), out
 
 
-def features(matcher: Matcher, text: str) -> tuple[list[float], list[tuple[str, int]]]:
-    """Sums over the hits of a text, and the hits."""
+def features(matcher: Matcher, text: str, misspelled: bool = False) -> tuple[list[float], list[tuple[str, int, str]]]:
+    """Sums over the hits of a text, and the hits: term, distance and word. ``misspelled``: as if every term that is found
+    misspelled too stood there with one edit."""
     n, hits = matcher.hits(text)
+    if misspelled:
+        hits = [(i, at, t, d or int(t in matcher.lenient), w) for i, at, t, d, w in hits]
     exact = near = best = 0.0
     places = [h[0] for h in hits]
     low = text.lower() if hits else ""
-    for i, at, term, distance in hits:
+    for i, at, term, distance, _ in hits:
         weight = matcher.lexicon[term]
         before, after = _QUOTES.findall(low[max(0, at - 8 * WINDOW) : at]), _QUOTES.search(low, at, at + 8 * WINDOW)
         if len(before) % 2 and after:
@@ -191,17 +222,21 @@ def features(matcher: Matcher, text: str) -> tuple[list[float], list[tuple[str,
         else:
             exact += weight
         best = max(best, weight / (1 + distance))
-    kinds = len({t for _, _, t, _ in hits})
+    kinds = len({h[2] for h in hits})
     sums = [np.log1p(exact), np.log1p(near), 10 * np.sqrt((exact + 0.5 * near) / max(n, 20)), best, np.log1p(kinds)]
-    return [float(x) for x in sums], [(t, d) for _, _, t, d in hits]
+    return [float(x) for x in sums], [h[2:] for h in hits]
 
 
 @dataclass(frozen=True)
 class Model:
     lexicon: dict[str, float]
     exact_only: frozenset[str]
+    usual: frozenset[str]
     weights: tuple[float, ...]  # the last one stands alone
 
+    def matcher(self) -> Matcher:
+        return Matcher(self.lexicon, self.exact_only, self.usual, loose=True)
+
 
 # --- training ---------------------------------------------------------------------------------------------------
 
@@ -244,7 +279,7 @@ def cover(owned: list[list[str]], worth: dict[str, float], times: int = COVER, m
         if gain.pop(term) < least:
             continue
         chosen.append(term)
-        # What begins with a chosen stem, and stems that a chosen word begins with, tell nothing new.
+        # What begins with a chosen stem, and stems that a chosen word begins with, tell nothing new (``fit`` puts the words back).
         word = term.rstrip("*")
         for t in [t for t in gain if (t.startswith(word) if term != word else t[-1] == "*" and word.startswith(t[:-1]))]:
             del gain[t]
@@ -262,7 +297,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     sizes = {bool(r["toxic"] > 0): r["count"] for r in sample.groupBy("toxic").count().collect()}
     n_pos, n_neg = sizes.get(True, 0), sizes.get(False, 0)
     rate = (n_pos + 0.5) / (n_pos + n_neg + 1)
-    alone = Model({}, frozenset(), (0.0,) * 5 + (float(np.log(rate / (1 - rate))),))
+    alone = Model({}, frozenset(), frozenset(), (0.0,) * 5 + (float(np.log(rate / (1 - rate))),))
     if not n_pos or not n_neg:
         return alone
     counted = sample.mapInArrow(_count_terms, "term string, pos long, neg long").groupBy("term")
@@ -277,17 +312,38 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     )
     chosen = cover([r["terms"] for r in owned], values)
     lexicon = {t: min(1.0, values[t] / 5) for t in chosen}
+    lexicon = {w: lexicon[stem] for w, stem in _words_under(counted, chosen, n_pos, n_neg).items()} | lexicon
 
-    loose = _table(sample, lexicon, frozenset())
     spelled: dict[str, list[int]] = {}
-    for toxic, _, hits in loose:
-        for term in {t for t, d in hits if d}:
-            spelled.setdefault(term, [0, 0])[toxic] += 1
-    exact_only = frozenset(t for t, (harmless, toxic) in spelled.items() if harmless * n_pos * 4 > (toxic + 0.5) * n_neg)
-    rows_ = _table(sample, lexicon, exact_only)
-    x = np.array([f for _, f, _ in rows_])
-    y = np.array([t for t, _, _ in rows_], float)
-    return Model(lexicon, exact_only, tuple(regression(x, y)))
+    meant: dict[str, str] = {}
+    for toxic, _, near in _table(sample, lexicon):
+        for term, word in near:
+            spelled.setdefault(word, [0, 0])[toxic] += 1
+            meant[word] = term
+    usual = frozenset(w for w, (harmless, toxic) in spelled.items() if harmless * n_pos * 2 > toxic * n_neg)
+    words: dict[str, list[int]] = {}  # of each term the near words of one harmless row, and those that are not usual
+    for word, term in meant.items():
+        if word not in usual or sum(spelled[word]) == 1:
+            words.setdefault(term, [0, 0])[word not in usual] += 1
+    # Words seen once tell how many are still to come.
+    exact_only = frozenset(t for t, (once, toxic) in words.items() if once >= NEIGHBOURS and once * n_pos * 4 > (toxic + 0.5) * n_neg)
+    # A word of one document is new to every other, so the weights come from rows in which it still is a hit.
+    rows_ = _table(sample, lexicon, exact_only, frozenset(w for w in usual if sum(spelled[w]) > 1))
+    # Rows count once as they are and once with misspelled terms, so that these weigh something where the sample has few.
+    x = np.array([f for _, f, _ in rows_]).reshape(2 * len(rows_), -1)
+    y = np.repeat([float(t) for t, _, _ in rows_], 2)
+    return Model(lexicon, exact_only, usual, tuple(regression(x, y)))
+
+
+def _words_under(counted: DataFrame, chosen: list[str], n_pos: int, n_neg: int) -> dict[str, str]:
+    """Whole words of toxic training rows that begin with a chosen stem, not more common in others, and that stem."""
+    stems = {t[:-1] for t in chosen if t.endswith("*")}
+    if not stems:
+        return {}
+    begins = F.array(*[F.substring("term", 1, n) for n in STEMS])
+    words = counted.where((F.col("pos") * n_neg > F.col("neg") * n_pos) & ~F.col("term").endswith("*"))
+    words = words.where(F.arrays_overlap(begins, F.lit(sorted(stems)))).orderBy(F.desc("pos"), "term").limit(CANDIDATES)
+    return {w: next(w[:n] for n in STEMS if w[:n] in stems) + "*" for (w,) in words.select("term").collect()}
 
 
 def _owned_terms(known: frozenset[str]):
@@ -299,19 +355,22 @@ def _owned_terms(known: frozenset[str]):
     return run
 
 
-def _table(sample: DataFrame, lexicon: dict[str, float], exact_only: frozenset[str]) -> list[tuple]:
-    """(toxic, features, hits) of the training rows."""
+def _table(
+    sample: DataFrame, lexicon: dict[str, float], exact_only: frozenset[str] = frozenset(), usual: frozenset[str] = frozenset()
+) -> list[tuple]:
+    """(toxic, features as written and misspelled, terms and words of near hits) of the training rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(lexicon, exact_only)
+        matcher = Matcher(lexicon, exact_only, usual, loose=True)
         for batch in batches:
-            found = [features(matcher, t) for t in batch.column(0).to_pylist()]
-            hits = [[f"{d}{t}" for t, d in sorted(set(h))] for _, h in found]
-            columns = [batch.column(1).cast(pa.int32()), pa.array([f for f, _ in found], pa.list_(pa.float64())), pa.array(hits, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns, ["toxic", "features", "hits"])
+            texts = batch.column(0).to_pylist()
+            found, twins = ([features(matcher, t, misspelled) for t in texts] for misspelled in (False, True))
+            near = [sorted({f"{t} {w}" for t, d, w in h if d}) for _, h in found]
+            columns = [batch.column(1).cast(pa.int32()), pa.array([f + g for (f, _), (g, _) in zip(found, twins)], pa.list_(pa.float64())), pa.array(near, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, ["toxic", "features", "near"])
 
-    rows = sample.mapInArrow(run, "toxic int, features array<double>, hits array<string>").collect()
-    return [(int(r["toxic"] > 0), r["features"], [(h[1:], int(h[0])) for h in r["hits"]]) for r in rows]
+    rows = sample.mapInArrow(run, "toxic int, features array<double>, near array<string>").collect()
+    return [(int(r["toxic"] > 0), r["features"], [tuple(h.split(" ")) for h in r["near"]]) for r in rows]
 
 
 def regression(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 60) -> list[float]:
@@ -340,7 +399,7 @@ def regression(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int =
 
 def _scores(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher, weights = Matcher(model.lexicon, model.exact_only), np.array(model.weights)
+        matcher, weights = model.matcher(), np.array(model.weights)
         for batch in batches:
             x = np.array([features(matcher, t.as_py() or "")[0] for t in batch.column(1)]).reshape(-1, len(weights) - 1)
             score = 1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30)))
@@ -365,7 +424,7 @@ def reject(docs: DataFrame, labels: DataFrame, toxic_from: float = TOXIC_FROM) -
     model = fit(docs, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher, weights = Matcher(model.lexicon, model.exact_only), np.array(model.weights)
+        matcher, weights = model.matcher(), np.array(model.weights)
         for batch in batches:
             at = batch.schema.get_field_index("text")
             x = np.array([features(matcher, t.as_py() or "")[0] for t in batch.column(at)]).reshape(-1, len(weights) - 1)

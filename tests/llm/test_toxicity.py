@@ -77,3 +77,25 @@ def test_odd_rows(spark):
     none = tx.digest(docs, labels.where("false")).collect()
     assert len(none) == len(rows) and len({r.score for r in none}) == 1
     assert tx.digest(docs.where("false"), labels).collect() == []
+
+
+def test_misspelled_inflections_and_short_terms(spark):
+    """Stems, short terms and single harmless near words leave the misspellings of the terms to be found."""
+    bad = ["you idiot over there", "what an idiot again", "total idiots they are", "such idiots all round", "pure scum he is", "scum of the town", "a moron said it", "one more moron here"]
+    good = ["a walk over there", "what a day again", "kind people they are", "a slum of the town", "an oxymoron and a boron atom", "one more person here"]
+    rows = [(i, f"{(bad if i % 2 else good)[i // 2 % (8 if i % 2 else 6)]} n{i}", i % 2) for i in range(240)]
+    rows.append((1001, "idiotic remark", 1))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = tx.fit(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"))
+    matcher = model.matcher()
+    for word in ("idi0t", "idoit", "id1ots", "idoits", "scvm", "sucm", "mor0n", "mroon"):
+        assert matcher.match(word) and matcher.match(word)[1] == 1, word
+    assert not {"slum", "boron", "person"} & {w for w in ("slum", "boron", "person") if matcher.match(w)}
+    rows = spark.createDataFrame([(1, "you idi0t over there"), (2, "that scvm he is"), (3, "a slum of the town")], "doc_id long, text string")
+    scores = {r.doc_id: r.score for r in tx.score(rows, model).collect()}
+    assert scores[1] >= tx.TOXIC_FROM and scores[2] >= tx.TOXIC_FROM > scores[3]
+
+
+def test_words_under_a_stem_stay_in_the_lexicon(spark):
+    counted = spark.createDataFrame([("idiot", 9, 0), ("idiots", 1, 0), ("idio*", 10, 0), ("idiom", 0, 7), ("other", 5, 0)], "term string, pos long, neg long")
+    assert tx._words_under(counted, ["idio*", "other"], 10, 10) == {"idiot": "idio*", "idiots": "idio*"}
