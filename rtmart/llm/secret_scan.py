@@ -38,6 +38,18 @@ class Rule:
         return f"{self.kind}@{self.version}"
 
 
+# A key reaches to its END line. Where that is missing, it takes what base64 follows: long runs, short ones that fill their
+# line or end in padding. Line ends may be written as escapes. Possessive throughout, so that long keys need no stack.
+_PEM_HEAD = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+_PEM_END = r"(?:[^-]++|-(?!----))*+-----END [A-Z ]{0,40}PRIVATE KEY-----"
+_PEM_GAP = r"""(?:[\s"',+>|]|\\[rn])++"""
+_PEM_FIELD = rf"""{_PEM_GAP}(?:Proc-Type|DEK-Info|Key-Info|Comment|Version):(?:[^\r\n\\]|\\(?![rn]))*+"""
+_PEM_RUN = (
+    r"""(?:[A-Za-z0-9+/]{16,}+={0,2}|[A-Za-z0-9+/]{1,15}+={1,2}"""
+    r"""|(?<=(?:[\r\n]|\\[rn])[\t\x20"'>|]{0,16})[A-Za-z0-9+/]{1,15}+(?=[\t\x20"',]*+(?:[\r\n]|\\[rn]|\z)))"""
+)
+_PEM = rf"{_PEM_HEAD}(?:{_PEM_END}|(?:{_PEM_FIELD})*+(?:{_PEM_GAP}{_PEM_RUN})*+)"
+
 RULES = (
     Rule(
         "assign",
@@ -47,7 +59,7 @@ RULES = (
     # A run that is too short has no longer match inside, so the least length can stand in the pattern.
     Rule("access", r"AKIA[A-Z0-9]{12,}", base=True),
     Rule("hex", r"[0-9a-f]{32,}", base=True),
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("private_key", _PEM, version=2),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("url_login", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,64}:[^\s/:@]{1,64}@"),
 )

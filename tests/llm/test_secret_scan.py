@@ -63,3 +63,22 @@ def test_redact(spark):
     assert ss.redact(frame).columns == frame.columns
     out = {r.doc_id: r.text for r in ss.redact(frame).collect()}
     assert out == {1: "é [secret] end", 2: "no", 3: None, 4: "key [secret]!", 5: "[secret][secret]"}
+
+
+def test_private_key_with_its_body(spark):
+    rng = random.Random(7)
+    lines = ["".join(rng.choices("ABCDEFGHJKLMNPQRSTUVWXYZ0123456789+/", k=64)) for _ in range(24)] + ["QWERTY12=="]
+    head, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    fields = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n"
+    bodies = ["\n" + "\n".join(lines) + "\n", "\r\n  " + "\r\n  ".join(lines) + "\r\n", "\\n" + "\\n".join(lines) + "\\n", " " + " ".join(lines) + " ",
+              "\n" + fields + "\n".join(lines) + "\n", "\n" + "\n".join(lines[:-1] + ["ABC"]) + "\n", "\n" + "\n".join(lines * 400) + "\n"]
+    texts = [f"see {head}{b}{e}{after}" for b in bodies for e, after in ((end, " and more-text"), ("", "and more text"))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r.text for r in ss.redact(frame).collect()}
+    for i, text in enumerate(texts):
+        rest = "and more text" if i % 2 else "and more-text"
+        assert out[i].replace("\\n", " ").split() == ["see", "[secret]", *rest.split()], (i, out[i][:200])
+    found = {r.doc_id: r.spans for r in ss.digest(frame).collect()}
+    assert f"private_key:4:{texts[0].index(end) + len(end)}" in found[0].split(",")
+    two = spark.createDataFrame([(1, f"{head}\n{lines[0]}\nthen words\n{head}\n{lines[1]}\n{end}")], "doc_id long, text string")
+    assert ss.redact(two).first().text == "[secret]\nthen words\n[secret]"
