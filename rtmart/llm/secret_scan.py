@@ -149,22 +149,38 @@ def _ordered() -> str:
     return "array<struct<start:int,rule:int,end:int,kind:string>>"
 
 
-def _masked(text: Column, rule: Rule, mask: str) -> Column:
-    """The text with the rule's matches replaced, put together from the parts between them in one go."""
-    whole = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
-    hidden = F.transform(whole, lambda _: F.lit(mask))
-    if rule.group:
-        checked = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
-        hidden = F.zip_with(whole, checked, lambda w, c: F.when(F.char_length(c) >= rule.least, mask).otherwise(w))
-    parts = F.zip_with(F.split(text, rule.pattern, -1), hidden, lambda gap, m: F.concat(gap, F.coalesce(m, F.lit(""))))
-    return F.when(text.rlike(rule.pattern), F.array_join(parts, "")).otherwise(text)
+def _cuts(ledger: DataFrame) -> DataFrame:
+    """(blob, cuts): the places of a text that findings cover, overlapping ones as one, in order."""
+    spans = ledger.select("blob", F.explode("found").alias("s")).select("blob", "s.start", "s.end")
+    by_place = Window.partitionBy("blob").orderBy("start", "end")
+    before = F.max("end").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.withColumn("apart", F.coalesce(F.col("start") >= before, F.lit(True)).cast("int"))
+    spans = spans.withColumn("place", F.sum("apart").over(by_place.rowsBetween(Window.unboundedPreceding, 0)))
+    places = spans.groupBy("blob", "place").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return places.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts"))
+
+
+def _cut(text: Column, cuts: Column, mask: str) -> Column:
+    """The text with ``cuts`` replaced. Four bytes a character, so that a part is taken without counting from the beginning;
+    the mark before each part is the one that decoding drops."""
+    starts = F.array_append(F.transform(cuts, lambda c: c["start"]), F.char_length(text))
+    ends = F.array_prepend(F.transform(cuts, lambda c: c["end"]), F.lit(0))
+    mark = F.unhex(F.lit("0000FEFF"))
+
+    def whole(wide: Column) -> Column:
+        def part(low: Column, high: Column) -> Column:
+            return F.decode(F.concat(mark, F.substring(wide, low * 4 + 1, (high - low) * 4)), "UTF-32")
+
+        return F.array_join(F.zip_with(ends, starts, part), mask)
+
+    return F.element_at(F.transform(F.array(F.encode(text, "UTF-32")), whole), 1)  # encoded once
 
 
 def redact(docs: DataFrame, mask: str = MASK, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``docs`` with the findings of every text that has any replaced by ``mask``, rule by rule. A text without findings and a
-    null text stay as they are."""
+    """``docs`` with the findings of every text that has any replaced by ``mask``, overlapping ones by one. A text without
+    findings and a null text stay as they are."""
     keyed = docs.select(F.struct(*docs.columns).alias("_all"), blob_of().alias("_own"))
-    rows = _with_findings(keyed, scan(docs, rules=rules)).select("_all.*", F.col("found").alias("_hits"))
-    for rule in rules:
-        rows = rows.withColumn("text", F.when(F.col("_hits").isNull(), F.col("text")).otherwise(_masked(F.col("text"), rule, mask)))
-    return rows.select(*docs.columns)
+    cuts = _cuts(scan(docs, rules=rules)).select(F.col("blob").alias("_blob"), F.col("cuts").alias("_cuts"))
+    rows = keyed.join(cuts, F.col("_own") == F.col("_blob"), "left").select("_all.*", "_cuts")
+    text = F.when(F.col("_cuts").isNull(), F.col("text")).otherwise(_cut(F.col("text"), F.col("_cuts"), mask))
+    return rows.withColumn("text", text).select(*docs.columns)
