@@ -61,7 +61,7 @@ RULES = (
     Rule("hex", r"[0-9a-f]{32,}", base=True),
     Rule("private_key", _PEM, version=2),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("url_login", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,64}:[^\s/:@]{1,64}@"),
+    Rule("url_login", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]*+:[^\s/:@]++@", version=2),
 )
 
 

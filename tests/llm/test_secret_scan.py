@@ -89,3 +89,9 @@ def test_redact_cuts_overlapping_spans_once(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     out = {r.doc_id: r.text for r in ss.redact(frame).collect()}
     assert out == {1: "a [secret] b", 2: "﻿é😀 [secret]﻿😀 [secret]", 3: "😀" * 3 + "[secret] " * 300}
+
+
+def test_url_login_of_any_length_and_without_user(spark):
+    rows = [(1, "redis://:pw12@host"), (2, "https://" + "u" * 300 + ":" + "p" * 5000 + "@host/x"), (3, "http://host:80/a@b")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in ss.redact(frame).collect()} == {1: "[secret]host", 2: "[secret]host/x", 3: rows[2][1]}
