@@ -20,6 +20,7 @@ from rtmart.llm import shared as S
 AT_SCHEMA = "key long, kind byte, doc_id long, at long, ats binary"
 TEXT_SCHEMA = "key long, doc_id long, first long, last long, anchor int, body binary"
 RANGE_SCHEMA = "key long, key2 long, doc_id long, first long, last long"
+MOST_OFFSET = 127  # from a window's beginning to its anchor: 7 bits of a packed anchor
 
 Batches = Iterator[pa.RecordBatch]
 

@@ -186,6 +186,8 @@ def _same_document(owner: tuple[int, int], own: tuple[int, int]) -> bool:
 
 def spans(docs: DataFrame, words: int = WORDS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(doc_id, body, ranges): the compressed bytes of each document and the starts of its repeated windows as ranges."""
+    if words - GRAM > R.MOST_OFFSET:
+        raise ValueError(f"words must be at most {GRAM + R.MOST_OFFSET}")
 
     def search(_, doc, first, last, __, bodies):
         flags, owner, where = repeated_windows(doc, first, bodies, words)

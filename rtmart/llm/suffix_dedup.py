@@ -175,6 +175,8 @@ def _hashed(doc, first, bodies: list[bytes], length: int):
 
 def spans(docs: DataFrame, length: int = LENGTH, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(doc_id, body, ranges): the compressed bytes of each document and the starts of its repeated strings as ranges."""
+    if length - GRAM > R.MOST_OFFSET:
+        raise ValueError(f"length must be at most {GRAM + R.MOST_OFFSET}")
 
     def search(bucket, doc, first, last, anchor, bodies):
         flags, owner, where = repeated_starts(bucket, doc, first, anchor, bodies, length)

@@ -67,3 +67,8 @@ def test_odd_rows(spark):
     out = sorted((r.doc_id or 0, r.n_removed) for r in sd.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert out == [(0, 0), (1, 0), (1, 0), (4, 30)]
     assert sd.digest(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_widths_beyond_the_packed_offsets_are_refused():
+    with pytest.raises(ValueError, match="at most 132"):
+        sd.dedup(None, words=133)

@@ -62,3 +62,8 @@ def test_digest_and_odd_rows(spark):
     assert by[7][0].n_bytes == 100 and by[7][0].n_spans == 0
     empty = suffix_dedup.digest(spark.createDataFrame([], "doc_id long, text string"))
     assert empty.collect() == []
+
+
+def test_lengths_beyond_the_packed_offsets_are_refused():
+    with pytest.raises(ValueError, match="at most 159"):
+        suffix_dedup.dedup(None, length=160)
