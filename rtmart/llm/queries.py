@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rtmart.llm import (
     ann,
     bpe,
+    fim,
     line_dedup,
     packing,
     quality_rules,
@@ -17,6 +18,7 @@ from rtmart.llm import (
     substring_dedup,
     suffix_dedup,
     toxicity,
+    turns,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,9 +68,17 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(_read(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digest(_read(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.digest(_read(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": line_dedup.ORACLE}
+    return {"op5_line_dedup": line_dedup.ORACLE, "op11_fill_in_middle": fim.ORACLE}

@@ -1,0 +1,125 @@
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+
+from rtmart.llm import turns
+
+GRAMMAR = re.compile(r"(s?(ua)+)?")
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def slow_damage(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = (" " if x is None else x for x in (role, text))
+        hit = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if hit == 1:
+            text = ""
+        if hit == 2:
+            text = re.sub(r"[.!?]", "", text)
+        if hit == 4:
+            role = "user"
+        out += [(conv, turn, role, text)] * (0 if hit == 0 else 2 if hit == 3 else 1)
+    return out
+
+
+def slow_faults(rows):
+    seen, out = set(), []
+    for _, _, role, text in rows:
+        bare = text.strip(" \t\n\x0b\x0c\r")
+        out.append("blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else "")
+        seen.add((role, text))
+    return out
+
+
+def slow_repair(rows, faults):
+    """Least (cost, audit) over all edit sequences, by the whole role string: no tables, no merging but of equal role strings."""
+    ways = {"": (0, "", ())}  # role string -> way
+
+    def add(found, roles, cost, audit, lines):
+        # Any prefix of a sound role string; longer ones than needed are never cheapest.
+        if GRAMMAR.fullmatch(roles) or GRAMMAR.fullmatch(roles + "a") or roles == "s":
+            if roles not in found or (cost, audit) < found[roles][:2]:
+                found[roles] = (cost, audit, lines)
+
+    def grown(found):
+        for _ in range(2):
+            for roles, (cost, audit, lines) in list(found.items()):
+                for r in "ua":
+                    add(found, roles + r, cost + 2, audit + "I", (*lines, f"{turns.NAMES[r]}:"))
+        return found
+
+    ways = grown(ways)
+    for (_, _, role, text), fault in zip(rows, faults):
+        found = {}
+        for roles, (cost, audit, lines) in ways.items():
+            add(found, roles, cost + 3, audit + "D", lines)
+            if fault not in ("blank", "duplicate"):
+                more = fault == "truncated"
+                if role[:1] in ("s", "u", "a"):
+                    add(found, roles + role[0], cost + more, audit + "K", (*lines, f"{role}:{text}"))
+                for r in "ua":
+                    add(found, roles + r, cost + 2 + more, audit + "R", (*lines, f"{turns.NAMES[r]}:{text}"))
+        ways = grown(found)
+    return min(w for roles, w in ways.items() if GRAMMAR.fullmatch(roles))
+
+
+def slow_digest(rows):
+    out = {conv: None for conv, *_ in rows}
+    kept = slow_damage(rows)
+    for conv in out:
+        own = sorted((r for r in kept if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+        faults = slow_faults(own)
+        numbers = [r[1] for r in own if r[1] is not None]
+        gaps = max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0
+        illegal = sum(a[2][:1] + b[2][:1] not in ("su", "ua", "au") for a, b in zip(own, own[1:]))
+        cost, audit, lines = slow_repair(own, faults)
+        counts = [faults.count(f) for f in ("blank", "duplicate", "truncated")]
+        out[conv] = (gaps, *counts, illegal, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest())
+    return out
+
+
+def some_rows(seed, convs, most=9):
+    rng = random.Random(seed)
+    rows = []
+    for conv in range(convs):
+        turn = 0
+        for _ in range(rng.randrange(1, most)):
+            turn += rng.choice([0, 1, 1, 1, 2])
+            role = rng.choice(["user", "assistant", "user", "assistant", "system", "tool", None, "", "unknown"])
+            text = rng.choice(["yes.", "no.", "cut", "\t \n", None, "ü?", "two\nlines.", "é", "?! and so"])
+            rows.append((conv, rng.choice([turn] * 12 + [None]), role, text))
+    return rows + rows[:3] + [(None, 1, "user", "lost."), (None, None, "assistant", "so it is.")]
+
+
+@pytest.mark.parametrize("size", [(turns.ROWS, turns.BYTES), (3, 1 << 20), (100, 8), (1, 1)])
+def test_against_all_edit_sequences(spark, size):
+    rows = some_rows(size[0], 60)
+    frame = spark.createDataFrame([(*r, 1, "x") for r in rows], f"{SCHEMA}, copies long, seen string")
+    got = {r.conv_id: tuple(r)[1:] for r in turns.digest(frame, *size).collect()}
+    assert got == slow_digest(rows)
+    assert sum(r[5] > 0 for r in got.values()) > 30
+
+
+def test_whole_table(spark, sf_dir):
+    frame = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    rows = [tuple(r) for r in frame.select("conv_id", "turn", "role", "text").collect()]
+    assert {r.conv_id: tuple(r)[1:] for r in turns.digest(frame).collect()} == slow_digest(rows)
+
+
+def test_one_conversation_of_many_equal_and_long_turns(spark):
+    rows = [(7, 5, "user", "again.")] * 300 + [(7, i, "user" if i % 2 else "assistant", "word " * 50 + f"{i}.") for i in range(150)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    small, large = (turns.digest(frame, *size).collect() for size in ((40, 1 << 20), (10_000, 1 << 24)))
+    assert small == large and {small[0].conv_id: tuple(small[0])[1:]} == slow_digest(rows)
+
+
+def test_empty_and_all_dropped(spark):
+    frame = spark.createDataFrame([], SCHEMA)
+    assert turns.digest(frame).collect() == []
+    gone = next(i for i in range(1000) if zlib.crc32(f"{i}:0".encode()) % 20 == 0)
+    got = turns.digest(spark.createDataFrame([(gone, 0, "user", "hello.")], SCHEMA)).collect()
+    assert [tuple(r) for r in got] == [(gone, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())]
