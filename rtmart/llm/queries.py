@@ -14,6 +14,7 @@ from rtmart.llm import (
     packing,
     quality_rules,
     secret_scan,
+    set_join,
     simhash_dedup,
     substring_dedup,
     suffix_dedup,
@@ -76,6 +77,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.digest(_read(spark, sf_dir, "conversations"))
 
 
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.digest(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and name[2].isdigit()}
 
