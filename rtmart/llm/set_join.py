@@ -9,7 +9,9 @@
    of one position, ordered by size. For a set, a block is skipped when no size in it can reach the overlap, and of the others
    only the range of sizes that can is read. Parities that differ in more places than two linked sets may differ rule a posting out.
 4. *Stars.* The first set of a list leads all that may link with it; pairs of which both have the same leader are left to that
-   leader's star, so a list of copies sends one row a set. A set goes with its shingles to its leaders only.
+   leader's star, so a list of copies sends one row a set. Stars of large sets, for which 256 parities tell little, are led anew by
+   parities in number with the sets' sizes. Sets go with their shingles to their leaders only: first each to one of its leaders, then
+   to the stars that still hold sets which nothing connects.
 5. *Derived answers.* In a star only the leader is intersected with the others. Every other set is kept as its difference from the
    leader: with x the leader, ``|y & z| = |x| - |x-y| - |x-z| + |(x-y) & (x-z)| + |(y-x) & (z-x)|``, so the answers of y follow from
    those of x and the small differences, and bounds from their sizes skip most of them. Sets that are reached are not compared again.
@@ -44,6 +46,7 @@ FLUSH = 1 << 22  # shingles that a task counts at a time
 LIST_ROWS = 1 << 20  # postings of a list in one task
 TOKENS = 1 << 21  # shingles of a star in one task
 BITS = 256
+LARGE = 2 * BITS  # sets of more shingles are sketched anew
 BLOCK = 1 << 22  # bytes of text worked on at once
 _TAIL = np.uint64((1 << 56) - 1)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -180,6 +183,28 @@ def parities(found: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.packbits(odd.reshape(n, BITS), axis=1, bitorder="little").view("<u8")
 
 
+def sketch_bits(sizes: np.ndarray) -> np.ndarray:
+    """Parities that a set of a large star is sketched with: a power of two, half its shingles or more."""
+    return np.maximum(BITS, 1 << np.ceil(np.log2(np.maximum(sizes, 2) / 2)).astype(np.int64))
+
+
+def _sketched(words: int):
+    """(name, size, sketch) of every set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, bodies in _blocks(batches, 0):
+            found, starts = shingle_sets(bodies, words)
+            names, sizes = set_names(found, starts), np.diff(starts)
+            some, out = np.flatnonzero(sizes), []
+            for i, bits in zip(some, sketch_bits(sizes[some])):
+                kinds = (S.mix(found[starts[i] : starts[i + 1]]) % np.uint64(bits)).astype(np.int64)
+                out.append(np.packbits(np.bincount(kinds, minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes())
+            columns = [pa.array(names[some], pa.int64()), pa.array(sizes[some], pa.int64()), pa.array(out, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["name", "size", "sketch"])
+
+    return run
+
+
 def prefix_sizes(sizes: np.ndarray, percent: int) -> np.ndarray:
     return np.where(sizes > 0, sizes + 1 - -(-percent * sizes // 100), 0)
 
@@ -294,7 +319,7 @@ def cover(p: Postings, low: int, high: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _pairs(percent: int):
-    """(leader, follower, size of the follower) from postings sorted by list and set; holds one list at a time."""
+    """(leader, follower, their sizes) from postings sorted by list and set; holds one list at a time."""
 
     def work(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         key, deal, name = columns[:3]
@@ -321,8 +346,8 @@ def _pairs(percent: int):
                     followers.append(near)
         leader, follower = np.concatenate(leaders), np.concatenate(followers)
         if len(leader):
-            columns = [p.name[leader], p.name[follower], p.size[follower]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["u", "v", "size"])
+            columns = [p.name[leader], p.name[follower], p.size[leader], p.size[follower]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["u", "v", "u_size", "size"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, held_rows, last = [], 0, None
@@ -347,6 +372,80 @@ def _pairs(percent: int):
     return run
 
 
+class Sketches:
+    """Sizes and parities of the sets of one star; sketches of different width are compared at the smaller one."""
+
+    def __init__(self, sizes: list[int], sketches: list[bytes], percent: int):
+        self.size, self.percent = np.array(sizes, np.int64), percent
+        self.bits = np.array([8 * len(x) for x in sketches])
+        self.row = np.zeros(len(sizes), np.int64)
+        self.rows: dict[tuple[int, int], np.ndarray] = {}
+        for bits in np.unique(self.bits):
+            of = np.flatnonzero(self.bits == bits)
+            self.row[of] = np.arange(len(of))
+            self.rows[bits, bits] = np.frombuffer(b"".join(sketches[i] for i in of), "<u8").reshape(len(of), -1)
+
+    def _folded(self, bits: int, to: int) -> np.ndarray:
+        if (bits, to) not in self.rows:
+            own = self.rows[bits, bits]
+            self.rows[bits, to] = np.bitwise_xor.reduce(own.reshape(len(own), bits // to, to // 64), axis=1)
+        return self.rows[bits, to]
+
+    def may_link(self, x: int, others: np.ndarray) -> np.ndarray:
+        least = needed(self.size[x], self.size[others], self.percent)
+        ok = np.minimum(self.size[x], self.size[others]) >= least
+        room = self.size[x] + self.size[others] - 2 * least
+        for bits in np.unique(self.bits[others]):
+            of, to = np.flatnonzero(self.bits[others] == bits), min(bits, self.bits[x])
+            differ = self._folded(bits, to)[self.row[others[of]]] ^ self._folded(self.bits[x], to)[self.row[x]]
+            ok[of] &= np.bitwise_count(differ).sum(axis=1, dtype=np.int64) <= room[of]
+        return ok
+
+    def cover(self) -> Iterator[tuple[int, np.ndarray]]:
+        """As :func:`cover`, for the members of a star."""
+        n = len(self.size)
+        leader = np.full(n, -1)
+        for x in range(n - 1):
+            near = np.arange(x + 1, n)
+            if leader[x] >= 0:
+                near = near[leader[near] != leader[x]]
+            near = near[self.may_link(x, near)] if len(near) else near
+            if len(near):
+                yield x, near
+                leader[near[leader[near] < 0]] = x
+
+
+_PAIR = ["u", "v", "u_size", "size"]
+
+
+def _led_anew(percent: int):
+    """Pairs as those of ``_pairs``, from rows (u, v, size, sketch) sorted by star, its leader first; holds one star."""
+
+    def work(names: list[int], sizes: list[int], sketches: list[bytes]) -> Iterator[pa.RecordBatch]:
+        star = Sketches(sizes, sketches, percent)
+        name = np.array(names, np.int64)
+        for x, near in star.cover():
+            columns = [np.full(len(near), name[x]), name[near], np.full(len(near), sizes[x]), star.size[near]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], _PAIR)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, names, sizes, sketches = None, [], [], []
+        for batch in batches:
+            for u, v, size, sketch in zip(*(c.to_pylist() for c in batch.columns)):
+                if u != key:
+                    if names:
+                        yield from work(names, sizes, sketches)
+                    key, names, sizes, sketches = u, [], [], []
+                if v not in names[-1:]:
+                    names.append(v)
+                    sizes.append(size)
+                    sketches.append(sketch)
+        if names:
+            yield from work(names, sizes, sketches)
+
+    return run
+
+
 # --- stars ------------------------------------------------------------------------------------------------------
 
 
@@ -449,38 +548,56 @@ def _stars(percent: int):
 
 
 def _met(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """What the stars (u, part, chunks, v) find; each needs its leader as a row (u, part, chunks, u)."""
-    wanted = broadcast_if_small(S.stored(stars.select("v").distinct(), "wanted"))
-    own = sets.join(wanted, F.col("name") == F.col("v"), "left_semi")
-    rows = stars.join(own, F.col("v") == F.col("name")).select("u", "part", "chunks", "v", "keys", (F.col("u") != F.col("v")).alias("follows"))
+    """What the stars (u, part, chunks, v) find with the shingles of ``sets``. The leader comes with every part."""
+    led = stars.unionByName(stars.select("u", "part", "chunks").distinct().withColumn("v", F.col("u")))
+    rows = led.join(sets, F.col("v") == F.col("name")).select("u", "part", "chunks", "v", "keys", (F.col("u") != F.col("v")).alias("follows"))
     rows = rows.repartition("u", "part").sortWithinPartitions("u", "part", "follows", "v")
     return S.stored(rows.select("u", "part", "chunks", "v", "keys").mapInArrow(_stars(percent), "u long, v long, rest long"), "links")
 
 
-def _with_leader(stars: DataFrame) -> DataFrame:
-    return stars.unionByName(stars.select("u", "part", "chunks").distinct().withColumn("v", F.col("u")))
+def _many(pairs: DataFrame, tokens: int) -> DataFrame:
+    """(u, chunks) of the stars that one task should not hold."""
+    many = pairs.groupBy("u").agg(F.ceil(F.sum("size") / tokens).cast("long").alias("chunks")).where("chunks > 1")
+    return broadcast_if_small(S.stored(many, "stars"))
 
 
-def links(pairs: DataFrame, sets: DataFrame, percent: int, tokens: int) -> DataFrame:
-    """Links (u, v) that connect all sets that link, from the leaders' pairs (u, v, size)."""
-    total = F.sum("size")
-    stars = S.stored(pairs.groupBy("u").agg(F.ceil(total / tokens).cast("long").alias("chunks")).where("chunks > 1"), "stars")
-    dealt = pairs.join(broadcast_if_small(stars), "u", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1).cast("long")))
+def _long(n: int):
+    return F.lit(n).cast("long")
+
+
+def _star_links(pairs: DataFrame, sets: DataFrame, percent: int, tokens: int, whole: bool) -> DataFrame:
+    """Links (u, v) of stars. Those with the leader only, unless ``whole``: then they connect all of a star that links."""
+    dealt = pairs.join(_many(pairs, tokens), "u", "left").withColumn("chunks", F.coalesce("chunks", _long(1)))
     dealt = dealt.select("u", F.pmod(F.xxhash64("v"), "chunks").alias("part"), "chunks", "v", "size")
-    first = _met(_with_leader(dealt.drop("size")), sets, percent)
+    first = _met(dealt.drop("size"), sets, percent)
     found = first.where("rest = 0").select("u", "v")
     # Stars in chunks: those that the leader did not link, in blocks, each with every chunk.
     loose = first.where("rest = 1").select("u", "v").join(dealt.where("chunks > 1"), ["u", "v"])
-    if loose.isEmpty():
+    if not whole or loose.isEmpty():
         return found
     blocks = loose.groupBy("u").agg(F.ceil(F.sum("size") / tokens).cast("long").alias("blocks"))
     loose = loose.join(blocks, "u").withColumn("block", F.pmod(F.xxhash64("v", F.lit(1)), "blocks"))
-    left = loose.select("u", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "chunks", "v")
+    left = loose.select("u", "block", F.explode(F.sequence(_long(0), F.col("chunks") - 1)).alias("chunk"), "chunks", "v")
     right = dealt.where("chunks > 1").join(blocks, "u")
-    right = right.select("u", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("part").alias("chunk"), "chunks", "v")
+    right = right.select("u", F.explode(F.sequence(_long(0), F.col("blocks") - 1)).alias("block"), F.col("part").alias("chunk"), "chunks", "v")
     again = left.unionByName(right).distinct()
-    again = again.select("u", (F.col("block") * F.col("chunks") + F.col("chunk")).alias("part"), F.lit(1).cast("long").alias("chunks"), "v")
-    return found.unionByName(_met(_with_leader(again), sets, percent).select("u", "v"))
+    again = again.select("u", (F.col("block") * F.col("chunks") + F.col("chunk")).alias("part"), _long(1).alias("chunks"), "v")
+    return found.unionByName(_met(again, sets, percent).select("u", "v"))
+
+
+def links(pairs: DataFrame, sets: DataFrame, percent: int, tokens: int) -> DataFrame:
+    """Links (u, v) that connect all sets that link, from the leaders' pairs: first every follower with one of its leaders, then
+    whole stars in which not everybody is connected yet."""
+    one = pairs.groupBy("v").agg(F.min(F.struct("u", "size")).alias("m")).select("m.u", "v", "m.size")
+    found = _star_links(one, sets, percent, tokens, whole=False)
+    known = S.stored(components(found), "known")
+    of_u = known.select(F.col("node").alias("u"), F.col("root").alias("u_root"))
+    of_v = known.select(F.col("node").alias("v"), F.col("root").alias("v_root"))
+    open_ = pairs.join(of_u, "u", "left").join(of_v, "v", "left").where("u_root is null or v_root is null or u_root <> v_root")
+    left = S.stored(pairs.join(open_.select("u").distinct(), "u", "left_semi").select("u", "v", "size"), "open")
+    if left.isEmpty():
+        return found
+    return found.unionByName(_star_links(left, sets, percent, tokens, whole=True))
 
 
 # --- classes ----------------------------------------------------------------------------------------------------
@@ -493,20 +610,42 @@ def classes(
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), S.utf8().alias("body"))
     own = S.stored(rows.mapInArrow(_named(words), "doc_id long, n long, name long"), "sets")
     sets = S.stored(own.where("name is not null").groupBy("name").agg(F.min("doc_id").alias("least")), "classes")
-    # One text per class, and all without an id.
-    least = broadcast_if_small(sets.select("least").where("least is not null"))
-    texts = rows.join(least, F.col("doc_id") == F.col("least"), "left_semi").unionByName(rows.where("doc_id is null")).select("body")
+
+    def texts(of: DataFrame) -> DataFrame:
+        """One text of each of these classes, and all without an id."""
+        least = broadcast_if_small(of.select("least").where("least is not null"))
+        return rows.join(least, F.col("doc_id") == F.col("least"), "left_semi").unionByName(rows.where("doc_id is null")).select("body")
+
+    def only(frame: DataFrame, names: DataFrame) -> DataFrame:
+        return frame.join(names.select(F.col("name").alias("wanted")), F.col("name") == F.col("wanted"), "left_semi")
+
+    def names_of(some: DataFrame) -> DataFrame:
+        both = some.select("u").unionByName(some.select(F.col("v").alias("u"))).distinct().withColumnRenamed("u", "name")
+        return S.stored(sets.join(both, "name", "left_semi"), "names")
 
     total = own.agg(F.sum("n")).first()[0] or 0
-    counted = texts.mapInArrow(_counted(words), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    every = texts(sets)
+    counted = every.mapInArrow(_counted(words), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
     often = counted.where(F.col("n") > total / heavy).toArrow()
     order = Order(often.column(0).to_numpy().astype(np.uint64), often.column(1).to_numpy())
     order = docs.sparkSession.sparkContext.broadcast(order)
 
-    posted = texts.mapInArrow(_posted(words, percent, order, list_rows), ", ".join(f"{c} long" for c in _POST))
+    posted = every.mapInArrow(_posted(words, percent, order, list_rows), ", ".join(f"{c} long" for c in _POST))
     posted = posted.repartition("shingle", "deal").sortWithinPartitions("shingle", "deal", "name")
-    pairs = S.stored(posted.mapInArrow(_pairs(percent), "u long, v long, size long").distinct(), "pairs")
-    keyed = texts.mapInArrow(_keyed(words, order), "name long, keys binary")
+    listed = "u long, v long, u_size long, size long"
+    pairs = S.stored(posted.mapInArrow(_pairs(percent), listed).distinct(), "pairs")
+
+    large = pairs.where(F.col("u_size") > LARGE).join(_many(pairs, tokens).select("u"), "u", "left_anti").select(*_PAIR)
+    named = names_of(large)
+    sketch = only(texts(named).mapInArrow(_sketched(words), "name long, size long, sketch binary"), named)
+    stars = large.select("u", "v").unionByName(large.select("u", F.col("u").alias("v")).distinct())
+    stars = stars.join(sketch, F.col("v") == F.col("name")).select("u", "v", "size", "sketch", (F.col("u") != F.col("v")).alias("follows"))
+    stars = stars.repartition("u").sortWithinPartitions("u", "follows", "v").select("u", "v", "size", "sketch")
+    anew = stars.mapInArrow(_led_anew(percent), listed).distinct()
+    pairs = S.stored(pairs.exceptAll(large).unionByName(anew).distinct(), "pairs")
+
+    named = names_of(pairs)
+    keyed = S.stored(only(texts(named).mapInArrow(_keyed(words, order), "name long, keys binary"), named), "keys")
     joined = components(links(pairs, keyed, percent, tokens))
     rooted = sets.join(joined.withColumnRenamed("node", "name"), "name", "left").select("name", "least", F.coalesce("root", "name").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -61,8 +61,14 @@ def some_texts(seed):
 SMALL = dict(heavy=50, list_rows=7, tokens=300)  # lists and stars in parts
 
 
+@pytest.fixture
+def narrow(monkeypatch):
+    """Stars of sets beyond 10 shingles count as large ones."""
+    monkeypatch.setattr(set_join, "LARGE", 10)
+
+
 @pytest.mark.parametrize("percent, sizes", [(90, {}), (90, SMALL), (80, SMALL), (60, dict(heavy=1, list_rows=1, tokens=1))])
-def test_against_all_pairs(spark, percent, sizes):
+def test_against_all_pairs(spark, narrow, percent, sizes):
     texts = dict(enumerate(some_texts(percent)))
     frame = spark.createDataFrame([(i, t, 0, "x") for i, t in texts.items()], "doc_id long, text string, n long, name string")
     got = {r.doc_id: (r.n, r.component_id) for r in set_join.classes(frame, percent=percent, **sizes).collect()}
@@ -112,3 +118,22 @@ def test_differences_give_every_overlap():
     for y in everyone:
         want = [z for z in everyone if 160 * len(np.intersect1d(members[y], members[z])) >= 60 * (len(members[y]) + len(members[z]))]
         assert star.linked_with(int(y), everyone).tolist() == want
+
+
+def test_sketches_of_any_width_refuse_no_link():
+    rng = np.random.default_rng(8)
+    sizes = [700, 760, 1030, 1100, 2040, 2100, 5000]
+    sets = [np.unique(rng.integers(0, 1 << 40, n)).astype(np.uint64) for n in sizes]
+    sets += [np.unique(np.concatenate((x[: int(len(x) * 0.96)], rng.integers(0, 1 << 40, len(x) // 25).astype(np.uint64)))) for x in sets]
+
+    def sketch(x):
+        bits = int(set_join.sketch_bits(np.array([len(x)]))[0])
+        kinds = (set_join.S.mix(x) % np.uint64(bits)).astype(np.int64)
+        return np.packbits(np.bincount(kinds, minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+    star = set_join.Sketches([len(x) for x in sets], [sketch(x) for x in sets], 90)
+    everyone = np.arange(len(sets))
+    for x in everyone:
+        links = {int(y) for y in everyone if 190 * len(np.intersect1d(sets[x], sets[y])) >= 90 * (len(sets[x]) + len(sets[y]))}
+        found = set(everyone[star.may_link(int(x), everyone)].tolist())
+        assert links <= found and len(found) <= len(links) + 1
