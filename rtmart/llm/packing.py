@@ -2,9 +2,11 @@
 
 Every document's ids, closed by an end id, are cut into full windows and a remainder. The remainder goes to the fill
 level, or a new window, that minimises the sum of squared counts of partially filled windows over an array of levels.
-Each task packs what it reads, so nothing is shuffled. When ``open_windows`` are open, and at the end of a task, the partly
-filled ones are settled: the emptiest are cut up to fill the fullest. The last one of a task is cut into sequences whose
-lengths are powers of two, which need no padding.
+Each task packs what it reads, so nothing is shuffled. Every level stays open until the task ends: its windows hold ids of the
+task's own input only, at most what one input split brings. What is partly filled then is settled: the emptiest are cut up to fill
+the fullest, and the last one is cut into sequences whose lengths are powers of two, which need no padding.
+
+Ids are those of the library's plain call: a text that holds the string of an added token of the vocabulary gives that token's id.
 
 Defined results: a null or empty text is the end id alone; repeated rows and rows with a null ``doc_id`` are packed like others;
 other columns are not carried. A sequence id tells the task (upper bits) and the sequence in it.
@@ -30,7 +32,6 @@ from rtmart.llm.pieces import BLOCK_CHARS, CachedEncoder, runs
 
 WINDOW = 2048
 END_ID = 1
-OPEN_WINDOWS = 512
 TASK_BITS = 40
 CHECKED = 5_000  # pieces of each worker that both encoders see
 _FIELDS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
@@ -39,11 +40,11 @@ _FIELDS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id"
 class Packer:
     """Windows of one task. A piece is (doc_id, start, ids as bytes, tokens of its document)."""
 
-    def __init__(self, window: int, task: int, open_windows: int = OPEN_WINDOWS):
-        self.window, self.most = window, open_windows
+    def __init__(self, window: int, task: int):
+        self.window = window
         self.levels = np.zeros(window + 1, np.int64)  # count of open windows by fill; 0 and full stay empty
         self.open: dict[int, deque] = {}  # fill -> windows, each a list of pieces
-        self.next, self.count = task << TASK_BITS, 0
+        self.next = task << TASK_BITS
         self.done: list[tuple] = []
 
     def close(self, pieces: list[tuple]) -> None:
@@ -79,20 +80,16 @@ class Packer:
         if level:
             pieces = self.open[level].pop() + pieces
             self.levels[level] -= 1
-            self.count -= 1
         if level + size == self.window:
             self.close(pieces)
             return
         self.open.setdefault(level + size, deque()).append(pieces)
         self.levels[level + size] += 1
-        self.count += 1
-        if self.count > self.most:
-            self.settle()
 
     def settle(self) -> None:
         """Fill the fullest open windows with what the emptiest hold until at most one is left."""
         rows = deque(w for fill in sorted(self.open) for w in self.open[fill])
-        self.open, self.count = {}, 0
+        self.open = {}
         self.levels[:] = 0
         while len(rows) > 1:
             target = rows.pop()
@@ -114,7 +111,6 @@ class Packer:
             fill = sum(len(p[2]) // 4 for p in pieces)
             self.open.setdefault(fill, deque()).append(pieces)
             self.levels[fill] += 1
-            self.count += 1
 
     def finish(self) -> None:
         self.settle()
@@ -133,7 +129,7 @@ class Packer:
                         pieces.append((doc, start + n, ids[4 * n :], total))
                     size -= n
                 self.close(part)
-        self.open, self.count = {}, 0
+        self.open = {}
         self.levels[:] = 0
 
 
@@ -168,14 +164,14 @@ def _encoder(vocabulary: str) -> CachedEncoder:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(vocabulary)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
     def by_library(parts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
     ranks = byte_ranks(vocabulary)
     if ranks is None:
-        return CachedEncoder(by_library)
+        return CachedEncoder(by_library, by_library, added)
     import public_tokenizers
     import tiktoken
 
@@ -191,10 +187,10 @@ def _encoder(vocabulary: str) -> CachedEncoder:
             left -= min(left, len(parts))
         return out
 
-    return CachedEncoder(by_ranks)
+    return CachedEncoder(by_ranks, by_library, added)
 
 
-def _pack(window: int, end_id: int, vocabulary: str | None, open_windows: int, with_ids: bool):
+def _pack(window: int, end_id: int, vocabulary: str | None, with_ids: bool):
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         columns = [pa.array(c, pa.int64()) for c in list(zip(*rows))[:7]]
         if not with_ids:
@@ -211,7 +207,7 @@ def _pack(window: int, end_id: int, vocabulary: str | None, open_windows: int, w
 
             path = public_tokenizers.path("byte_bpe_50k.json")
         encoder, end = _encoder(path), int(end_id).to_bytes(4, "little")
-        packer = Packer(window, TaskContext.get().partitionId(), open_windows)
+        packer = Packer(window, TaskContext.get().partitionId())
         for batch in batches:
             docs, column = batch.column(0).to_pylist(), batch.column(1)
             lengths = pc.fill_null(pc.binary_length(column), 0).to_pylist()
@@ -225,6 +221,7 @@ def _pack(window: int, end_id: int, vocabulary: str | None, open_windows: int, w
         packer.finish()
         if packer.done:
             yield batch_of(packer.done)
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -234,7 +231,6 @@ def pack(
     window: int = WINDOW,
     end_id: int = END_ID,
     vocabulary: str | None = None,
-    open_windows: int = OPEN_WINDOWS,
     with_ids: bool = True,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if wanted, the ids.
@@ -243,7 +239,7 @@ def pack(
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = ", ".join(f"{f} long" for f in _FIELDS) + (", ids array<int>" if with_ids else "")
-    return base.mapInArrow(_pack(window, end_id, vocabulary, open_windows, with_ids), schema)
+    return base.mapInArrow(_pack(window, end_id, vocabulary, with_ids), schema)
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-CACHE_WORDS = 500_000  # about 120 MB
+CACHE_WORDS = 200_000  # about 50 MB
 CACHE_CHARS = 48
 BLOCK_CHARS = 4 << 20
 
@@ -33,13 +33,23 @@ def pieces(text: str) -> list[str]:
 class CachedEncoder:
     """Token ids of texts as little-endian 32-bit bytes; short pieces are encoded once while they stay in the cache.
 
-    ``encode`` turns a list of pieces into a list of such bytes. It is called once for all new pieces of a list of texts.
+    ``encode`` turns a list of pieces into a list of such bytes. It is called once for all new pieces of a list of texts. Texts
+    that hold one of the strings ``added`` go to ``whole`` uncut.
     """
 
-    def __init__(self, encode):
-        self.encode, self.cache = encode, {}
+    def __init__(self, encode, whole=None, added: list[str] | None = None):
+        self.encode, self.whole, self.added, self.cache = encode, whole, added or [], {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
+        odd = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
+        if not odd:
+            return self._ids(texts)
+        out = self._ids(["" if any(a in t for a in self.added) else t for t in texts])
+        for i in odd:
+            out[i] = self.whole([texts[i]])[0]
+        return out
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
         parts = [t.split(" ") for t in texts]
         heads = [p.pop(0) for p in parts]
         words = set().union(*parts)

@@ -37,7 +37,6 @@ def test_stages_against_brute_force(spark, sf_dir):
     assert 0 < len(texts) < len(kept) < len(rows)
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     parts = {}
     for r in corpus_pipeline.run(spark, sf_dir).collect():
         parts.setdefault(r.doc_id, []).append((r.start, r.ids))

@@ -1,7 +1,7 @@
 import hashlib
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -51,15 +51,17 @@ def test_bpe_equals_the_library_and_round_trips(spark):
     assert bpe.digest(frame.where("false")).collect() == []
 
 
-@pytest.mark.parametrize("window, open_windows", [(2048, 512), (64, 5)])
-def test_packing_covers_every_id_once(spark, window, open_windows):
+@pytest.mark.parametrize("window", [2048, 64])
+def test_packing_covers_every_id_once(spark, window):
     rows, frame = docs(spark)
     rows = [r for r in rows if r[0] is not None and r[1] != "same id"]
-    frame = frame.where("doc_id is not null and (text is null or text <> 'same id')")
+    odd = [(9001, "a <|endoftext|> b", "x"), (9002, "<|endoftext|>", "x"), (9003, "long " * 40_000 + "<|endoftext|>x", "x"), (9004, "w" * 2_000_000, "x")]
+    frame = frame.where("doc_id is not null and (text is null or text <> 'same id')").select("doc_id", "text")
+    frame = frame.unionByName(spark.createDataFrame([r[:2] for r in odd], "doc_id long, text string"))
+    rows += odd
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     ids = {d: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for d, t, _ in rows}
-    out = packing.pack(frame, window=window, open_windows=open_windows).collect()
+    out = packing.pack(frame, window=window).collect()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in out:
         own = ids[r.doc_id]
@@ -100,3 +102,37 @@ def test_sum_of_squares_choice():
     assert packer.level_for(4) == 6  # fills the window
     packer.levels[:] = 0
     assert packer.level_for(4) == 0
+
+
+def test_packing_rows_without_id_and_repeated_rows(spark):
+    rows = [(None, "no id"), (None, "no id"), (4, "twice here"), (4, "twice here"), (5, None)]
+    frame = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, start long, length long").repartition(1)
+    out = packing.pack(frame).collect()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = sorted(((d, *tokenizer.encode(t or "", add_special_tokens=False).ids, 1) for d, t in rows), key=repr)
+    got, begun = [], {}
+    for r in sorted(out, key=lambda r: (r.doc_id is None, r.doc_id or 0, r.start)):
+        if r.length == r.doc_tokens:
+            got.append((r.doc_id, *r.ids))
+        else:
+            begun.setdefault((r.doc_id, r.start), []).append(r)
+    cut = [(d, *a.ids) for (d, _), parts in begun.items() for a in parts]
+    assert sorted(x for g in got + cut for x in g[1:]) == sorted(x for w in want for x in w[1:])
+    assert all(g in want for g in got)
+
+
+def test_levels_stay_open_until_the_task_ends():
+    rng = np.random.default_rng(0)
+    packer = packing.Packer(2048, 0)
+    sizes = rng.integers(1, 2047, 4000)
+    for i, n in enumerate(sizes):
+        packer.add(i, np.arange(n, dtype="<u4").tobytes())
+        assert sum(map(len, packer.open.values())) == packer.levels.sum()
+    # Until here only the choice of levels closed windows, full ones.
+    lengths = Counter()
+    for d in packer.done:
+        lengths[d[5]] += d[2]
+    assert set(lengths.values()) == {2048} and packer.levels.sum() > 1000
+    packer.finish()
+    total = len({d[5] for d in packer.done})
+    assert sum(d[2] for d in packer.done) == sizes.sum() and total <= sizes.sum() // 2048 + 12
