@@ -1,10 +1,12 @@
 """Quality filtering by weak supervision: rules vote or abstain, and their accuracies are estimated without labels.
 
 Every document's counts are built from array functions inside its row (nothing is exploded or shuffled). Each rule turns counts
-into a vote for good (1), bad (-1) or none (0). Votes are counted per pattern over all documents; expectation-maximisation on
-those counts, at most 3 ** rules of them whatever the corpus, gives each rule's accuracy and the share of good documents, and
-each pattern's posterior decides for its documents. A document is kept if it passes the base rules and its posterior
-probability of being good is at least ``keep_from``.
+into a vote for good (1), bad (-1), clearly bad (-2) or none (0). Votes are counted per pattern over all documents;
+expectation-maximisation on those counts, at most 4 ** rules of them whatever the corpus, gives the share of good documents and how
+often each rule casts each vote on good and on bad ones, false alarms included. Rules that vote against the same bad documents
+share their weight (the fit itself takes rules as independent). Each pattern's posterior decides for its documents: a single vote of a rule that often errs does not
+reject, two of them or one of a rule that hardly errs do. A document is kept if it passes the base rules and its posterior probability
+of being good is at least ``keep_from``.
 
 Defined results: words are runs without ASCII white space; a null text has none; repeated rows and rows with a null ``doc_id``
 are judged like others; a corpus without rows gives no rows. Other columns are not carried by ``judge``.
@@ -31,29 +33,31 @@ _MORE = ["n_upper", "n_marks", "n_ends"]
 
 @dataclass(frozen=True)
 class Rule:
-    """Bad above ``bad``, good up to ``good``, else no vote; ``value`` may be null, which is no vote either."""
+    """Clearly bad above ``clear``, bad above ``bad``, good up to ``good``, else no vote; ``value`` may be null, which is no vote either."""
 
     name: str
     value: Column
     good: float
     bad: float
+    clear: float
 
     def vote(self) -> Column:
-        return F.when(self.value > self.bad, -1).when(self.value <= self.good, 1).otherwise(0)
+        bad = F.when(self.value > self.clear, -2).when(self.value > self.bad, -1)
+        return bad.when(self.value <= self.good, 1).otherwise(0)
 
 
 def rules() -> list[Rule]:
     words = F.nullif(F.col("n_words"), F.lit(0))
     width = F.col("word_chars") / words
     return [
-        Rule("short", -F.col("n_words"), -60, -20),
-        Rule("repeats", F.col("n_repeat_words") / words, 0.3, 0.6),
-        Rule("symbols", F.col("n_symbols") / words, 0.05, 0.15),
-        Rule("lines", F.col("n_dup_lines") / words, 0.02, 0.1),
-        Rule("width", F.abs(width - 6), 3, 6),
-        Rule("capitals", F.col("n_upper") / F.nullif(F.col("word_chars"), F.lit(0)), 0.15, 0.4),
-        Rule("marks", F.col("n_marks") / words, 0.1, 0.4),
-        Rule("ends", -F.col("n_ends") / words, -0.01, -0.0005),
+        Rule("short", -F.col("n_words"), -60, -20, -5),
+        Rule("repeats", F.col("n_repeat_words") / words, 0.3, 0.6, 0.8),
+        Rule("symbols", F.col("n_symbols") / words, 0.05, 0.15, 0.3),
+        Rule("lines", F.col("n_dup_lines") / words, 0.02, 0.1, 0.3),
+        Rule("width", F.abs(width - 6), 3, 6, 12),
+        Rule("capitals", F.col("n_upper") / F.nullif(F.col("word_chars"), F.lit(0)), 0.15, 0.4, 0.7),
+        Rule("marks", F.col("n_marks") / words, 0.1, 0.4, 0.8),
+        Rule("ends", -F.col("n_ends") / words, -0.01, -0.0005, 0),
     ]
 
 
@@ -99,21 +103,29 @@ def counts(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", *COUNTS[:4], repeats.alias("n_repeat_words"), *_MORE)
 
 
-FALSE_ALARM = 0.001  # the most that a rule may vote against good documents; the rules' limits are wide enough for it
-_PRIOR = {True: (0.5, 1.0, 8.5), False: (3.0, 1.0, 6.0)}  # imagined documents per vote, for good and for bad ones
+VOTES = (-2, -1, 0, 1)
+# What is believed of false alarms before any document is seen, and with how many documents' weight, as a multiple of the corpus:
+# a clear vote hardly errs, a belief that the corpus can move little (else a kind of bad documents that only one rule knows would
+# pass as a habit of good ones); other votes may err, and the corpus tells how often.
+CLEAR_ALARM, CLEAR_WEIGHT = 0.0005, 20.0
+ALARM, ALARM_WEIGHT = 0.02, 0.02
+_GOOD = (1.0, 8.5)  # imagined votes 0 and 1 on good documents
+_BAD = (1.5, 1.5, 1.0, 6.0)  # imagined votes on bad documents
 
 
 @dataclass
 class Model:
-    """Share of good documents and, per rule, how often it casts each vote on good and on bad ones."""
+    """Share of good documents; per rule, how often it casts each of ``VOTES`` on good and on bad ones, and how much it counts beside
+    rules that vote with it."""
 
     share: float
     good: list[tuple[float, ...]]
     bad: list[tuple[float, ...]]
+    own: list[float]
 
     def weight(self, rule: int, vote: int) -> float:
         """Evidence of a vote for good, in log odds. A vote never speaks against its own meaning."""
-        w = math.log(self.good[rule][vote + 1] / self.bad[rule][vote + 1])
+        w = self.own[rule] * math.log(self.good[rule][vote + 2] / self.bad[rule][vote + 2])
         return min(w, 0.0) if vote < 0 else max(w, 0.0) if vote > 0 else 0.0
 
     def prior(self) -> float:
@@ -125,35 +137,60 @@ class Model:
 
     def accuracy(self, rule: int) -> tuple[float, float]:
         """How often a cast vote is right, on good and on bad documents."""
-        (no, _, yes), (low, _, high) = self.good[rule], self.bad[rule]
-        return yes / (yes + no), low / (low + high)
+        (clear, no, _, yes), (very, low, _, high) = self.good[rule], self.bad[rule]
+        return yes / (yes + no + clear), (very + low) / (very + low + high)
 
 
-def _held(table: list[float]) -> tuple[float, ...]:
-    """Shares of the votes on good documents, with no more false alarms than allowed. Without this limit a kind of bad
-    documents that only one rule knows would pass as a habit of good ones."""
-    alarm = min(FALSE_ALARM, table[0] / sum(table))
-    rest = (1 - alarm) / (table[1] + table[2])
-    return alarm, table[1] * rest, table[2] * rest
+def _first_view(votes: tuple[int, ...]) -> float:
+    """Without a model: good with no vote against, open with one that is not clear, bad otherwise."""
+    against = sum(-v for v in votes if v < 0)
+    return 0.02 if -2 in votes else (0.9, 0.5, 0.1)[min(against, 2)]
+
+
+def _votes_on_good(counts: list[float], total: int) -> tuple[float, ...]:
+    n = sum(counts)
+    clear = (counts[0] + CLEAR_ALARM * CLEAR_WEIGHT * total) / (n + CLEAR_WEIGHT * total)
+    alarm = (counts[1] + ALARM * ALARM_WEIGHT * total) / (n + ALARM_WEIGHT * total)
+    none, yes = (c + imagined for c, imagined in zip(counts[2:], _GOOD))
+    rest = (1 - clear - alarm) / (none + yes)
+    return clear, alarm, none * rest, yes * rest
+
+
+def _independence(seen: list[tuple[tuple[int, ...], float]], n_rules: int) -> list[float]:
+    """1 for a rule that votes against bad documents on its own, less the more others vote with it (sum of positive correlations)."""
+    total = sum(w for _, w in seen) or 1.0
+    rate = [sum(w for v, w in seen if v[j] < 0) / total for j in range(n_rules)]
+    own = []
+    for j in range(n_rules):
+        together = 0.0
+        for k in range(n_rules):
+            spread = math.sqrt(rate[j] * (1 - rate[j]) * rate[k] * (1 - rate[k]))
+            if k != j and spread > 0:
+                both = sum(w for v, w in seen if v[j] < 0 and v[k] < 0) / total
+                together += max(0.0, (both - rate[j] * rate[k]) / spread)
+        own.append(1 / (1 + together))
+    return own
 
 
 def estimate(patterns: dict[tuple[int, ...], int], n_rules: int, rounds: int = ROUNDS) -> Model:
-    """Fit the model by expectation-maximisation over vote patterns. It starts from the view that documents without a vote
-    against them are good; a small prior holds rules that hardly vote."""
+    """Fit the model by expectation-maximisation over vote patterns, from the first view on."""
     total = sum(patterns.values())
     model = None
     for _ in range(rounds + 1):
-        tables = {y: [list(_PRIOR[y]) for _ in range(n_rules)] for y in (True, False)}
-        good = 0.0
+        good = [[0.0] * len(VOTES) for _ in range(n_rules)]
+        bad = [list(_BAD) for _ in range(n_rules)]
+        seen, mass = [], 0.0
         for votes, n in patterns.items():
-            p = model.posterior(votes) if model else (0.1 if -1 in votes else 0.9)
-            good += n * p
+            p = model.posterior(votes) if model else _first_view(votes)
+            mass += n * p
+            seen.append((votes, n * (1 - p)))
             for j, v in enumerate(votes):
-                tables[True][j][v + 1] += n * p
-                tables[False][j][v + 1] += n * (1 - p)
-        share = min(0.99, max(0.01, good / total)) if total else 0.5
-        bad = [tuple(x / sum(t) for x in t) for t in tables[False]]
-        model = Model(share, [_held(t) for t in tables[True]], bad)
+                good[j][v + 2] += n * p
+                bad[j][v + 2] += n * (1 - p)
+        share = min(0.99, max(0.01, mass / total)) if total else 0.5
+        on_bad = [tuple(x / sum(t) for x in t) for t in bad]
+        model = Model(share, [_votes_on_good(t, total or 1) for t in good], on_bad, [1.0] * n_rules)
+    model.own = _independence(seen, n_rules)  # of the fitted model: inside the rounds it would weaken what it measures
     return model
 
 
@@ -166,7 +203,7 @@ def judge(docs: DataFrame, keep_from: float = KEEP_FROM) -> DataFrame:
     found = {tuple(r[n] for n in names): r["count"] for r in rows.groupBy(*names).count().collect()}
     model = estimate(found, len(names))
     evidence = [
-        F.when(F.col(n) < 0, model.weight(j, -1)).when(F.col(n) > 0, model.weight(j, 1)).otherwise(0.0)
+        F.when(F.col(n) == -2, model.weight(j, -2)).when(F.col(n) == -1, model.weight(j, -1)).when(F.col(n) == 1, model.weight(j, 1)).otherwise(0.0)
         for j, n in enumerate(names)
     ]
     odds = reduce(lambda a, b: a + b, evidence, F.lit(model.prior()))

@@ -3,6 +3,7 @@ import random
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 
 from rtmart.llm import line_dedup, quality_rules
@@ -91,6 +92,69 @@ def test_accuracies_are_found():
     assert all(abs(model.accuracy(j)[1] - h) < 0.07 and model.accuracy(j)[0] > 0.99 for j, h in enumerate(hits))
 
 
+def slow_quality(votes, rounds):
+    """The same fit document by document, on arrays."""
+    n, rules = votes.shape
+    cast = np.stack([votes == v for v in (-2, -1, 0, 1)]).astype(float)  # vote, document, rule
+    against = np.where(votes < 0, -votes, 0).sum(axis=1)
+    p = np.where((votes == -2).any(axis=1), 0.02, np.where(against == 0, 0.9, np.where(against == 1, 0.5, 0.1)))
+    for at in range(rounds + 1):
+        good = np.einsum("vdr,d->vr", cast, p)
+        bad = np.einsum("vdr,d->vr", cast, 1 - p) + np.array(quality_rules._BAD)[:, None]
+        bad /= bad.sum(axis=0)
+        mass = good.sum(axis=0)
+        clear = (good[0] + 0.0005 * 20 * n) / (mass + 20 * n)
+        alarm = (good[1] + 0.02 * 0.02 * n) / (mass + 0.02 * n)
+        rest = good[2:] + np.array([[1.0], [8.5]])
+        good = np.vstack((clear, alarm, rest / rest.sum(axis=0) * (1 - clear - alarm)))
+        no = (votes < 0).astype(float)
+        w = (1 - p) / (1 - p).sum()
+        rate = w @ no
+        both = (no * w[:, None]).T @ no - np.outer(rate, rate)
+        spread = np.sqrt(np.outer(rate * (1 - rate), rate * (1 - rate)))
+        phi = np.where(spread > 0, np.maximum(both, 0) / np.where(spread > 0, spread, 1), 0)
+        np.fill_diagonal(phi, 0)
+        ratio = np.log(good / bad)
+        ratio[:2], ratio[2], ratio[3] = np.minimum(ratio[:2], 0), 0, np.maximum(ratio[3], 0)
+        ratio /= 1 + phi.sum(axis=1) * (at == rounds)
+        share = min(0.99, max(0.01, p.mean()))
+        p = 1 / (1 + np.exp(-(np.log(share / (1 - share)) + np.einsum("vdr,vr->d", cast, ratio))))
+    return p
+
+
+def test_noisy_rules_do_not_reject_alone():
+    """Two rules that vote against one good document in twelve, two that hardly err; and a pair that always votes alike."""
+    rng = np.random.default_rng(4)
+    n = 20_000
+    bad = rng.random(n) < 0.15
+    alarm, hit = np.array([0.08, 0.08, 0.001, 0.001]), np.array([0.6, 0.6, 0.6, 0.6])
+    votes = np.where(rng.random((n, 4)) < np.where(bad[:, None], hit, alarm), -1, 1)
+    model = quality_rules.estimate(Counter(map(tuple, votes.tolist())), 4)
+    want = slow_quality(votes, quality_rules.ROUNDS)
+    assert np.allclose([model.posterior(tuple(v)) for v in votes[:500].tolist()], want[:500], atol=1e-9)
+    assert abs(model.good[0][1] - 0.08) < 0.02 and model.good[2][1] < 0.01
+    assert model.posterior((-1, 1, 1, 1)) >= 0.5 and model.posterior((1, -1, 1, 1)) >= 0.5
+    assert model.posterior((-1, -1, 1, 1)) < 0.5 and model.posterior((1, 1, -1, 1)) < 0.5
+    twins = np.column_stack((votes, votes[:, 0]))  # one rule written twice
+    alike = quality_rules.estimate(Counter(map(tuple, twins.tolist())), 5)
+    assert alike.own[0] < 0.51 and alike.own[4] < 0.51  # both together count like one
+    assert np.allclose([alike.posterior(tuple(v)) for v in twins[:500].tolist()], slow_quality(twins, quality_rules.ROUNDS)[:500], atol=1e-9)
+
+
+def test_kept_rows_follow_the_posterior(spark):
+    rng = random.Random(1)
+    def text(marks, symbols):
+        words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(100)]
+        return " ".join(words) + "." * 5 + "!" * marks + "#" * symbols
+    rows = [(i, text(0, 0)) for i in range(300)] + [(i, text(60, 0)) for i in range(300, 320)]  # many marks, nothing else
+    rows += [(i, text(60, 20)) for i in range(320, 330)] + [(i, text(0, 60)) for i in range(330, 340)] + [(None, None), (None, None), (1, "again")]
+    frame = spark.createDataFrame([(*r, True) for r in rows], "doc_id long, text string, kept boolean")
+    got = quality_rules.judge(frame).collect()
+    kept = {r.doc_id for r in got if r.kept}
+    assert set(range(320)) <= kept and not kept & set(range(320, 340))
+    assert len(got) == len(rows) and [r.kept for r in got if r.doc_id is None] == [False, False]
+
+
 def test_held_out_quality(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
