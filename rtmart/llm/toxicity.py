@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rtmart.functions.sizing import broadcast_if_small
 from rtmart.llm import shared as S
 
 TRAIN_ROWS = 20_000
@@ -419,16 +420,27 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
 
-def reject(docs: DataFrame, labels: DataFrame, toxic_from: float = TOXIC_FROM) -> DataFrame:
-    """The rows of ``docs`` whose text scores below ``toxic_from``."""
-    model = fit(docs, labels)
-
+def _toxic_keys(model: Model, toxic_from: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher, weights = model.matcher(), np.array(model.weights)
         for batch in batches:
-            at = batch.schema.get_field_index("text")
-            x = np.array([features(matcher, t.as_py() or "")[0] for t in batch.column(at)]).reshape(-1, len(weights) - 1)
+            x = np.array([features(matcher, t.as_py() or "")[0] for t in batch.column(1)]).reshape(-1, len(weights) - 1)
             value = 1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30)))
-            yield batch.filter(pa.array(value < toxic_from))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(value >= toxic_from))], ["key"])
+        pa.default_memory_pool().release_unused()
 
-    return docs.mapInArrow(run, docs.schema)
+    return run
+
+
+def reject(docs: DataFrame, labels: DataFrame, toxic_from: float = TOXIC_FROM) -> DataFrame:
+    """The rows of ``docs`` whose text scores below ``toxic_from``.
+
+    A score follows from the text alone, so the digests of toxic texts are found from narrow rows and the rows go by their digest:
+    no column but the text passes through Python, and none comes back.
+    """
+    key = F.unhex(F.sha2(S.utf8(), 256))
+    toxic = docs.select(key.alias("key"), F.col("text").cast("string").alias("text"))
+    toxic = S.stored(toxic.mapInArrow(_toxic_keys(fit(docs, labels), toxic_from), "key binary").distinct(), "toxic")
+    rows = docs.select(F.struct(*docs.columns).alias("_all"), key.alias("_own"))
+    kept = rows.join(broadcast_if_small(toxic.withColumnRenamed("key", "_toxic")), F.col("_own") == F.col("_toxic"), "left_anti")
+    return kept.select("_all.*")
