@@ -7,7 +7,8 @@ place (smallest doc_id, then position) and goes everywhere else.
 
 Defined results: lines are split at line feeds and compared without blanks at their ends; lines without other characters
 are no boilerplate; a null text stays null with 0 lines; a null source is a site of its own; a row with a null ``doc_id`` stays
-as it is and counts for nothing; rows that repeat a ``doc_id`` count as one document. Other columns stay.
+as it is and counts for nothing; rows that repeat a ``doc_id`` count as one document. Other columns stay, but for ``n_lines`` and
+``n_removed``, which are replaced.
 """
 
 from __future__ import annotations
@@ -61,20 +62,20 @@ def dedup(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
         .groupBy("_doc")
         .agg(F.collect_set("_pos").alias("_gone"))
     )
-    lines = _lines(F.col("text"))
-    cut = docs.join(gone, F.col("doc_id") == F.col("_doc"), "left").withColumns(
-        {"_lines": lines, "n_lines": F.coalesce(F.array_size(lines), F.lit(0)).cast("long")}
-    )
+    # The row travels as one column, so that no name of it can clash.
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_id"), _lines(F.col("text")).alias("_lines"))
+    cut = rows.join(gone, F.col("_id") == F.col("_doc"), "left")
     # Places that stay, as a hashed difference; without a hit the text is not touched.
     left = F.array_except(F.sequence(F.lit(0), F.array_size("_lines") - 1), F.col("_gone"))
     cut = cut.withColumn("_left", F.when(F.col("_gone").isNotNull() & F.col("_lines").isNotNull(), left))
     kept = F.transform("_left", lambda i: F.col("_lines")[i])
-    return cut.withColumns(
-        {
-            "text": F.when(F.col("_left").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")),
-            "n_removed": F.coalesce(F.col("n_lines") - F.array_size("_left"), F.lit(0)).cast("long"),
-        }
-    ).select(*docs.columns, "n_lines", "n_removed")
+    text = F.when(F.col("_left").isNull(), F.col("_row.text")).otherwise(F.array_join(kept, "\n"))
+    n_lines = F.coalesce(F.array_size("_lines"), F.lit(0)).cast("long")
+    return cut.select(
+        *[(text if c == "text" else F.col("_row")[c]).alias(c) for c in docs.columns if c not in ("n_lines", "n_removed")],
+        n_lines.alias("n_lines"),
+        F.coalesce(n_lines - F.array_size("_left"), F.lit(0)).cast("long").alias("n_removed"),
+    )
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -181,6 +181,7 @@ def redact(docs: DataFrame, mask: str = MASK, rules: tuple[Rule, ...] = RULES) -
     findings and a null text stay as they are."""
     keyed = docs.select(F.struct(*docs.columns).alias("_all"), blob_of().alias("_own"))
     cuts = _cuts(scan(docs, rules=rules)).select(F.col("blob").alias("_blob"), F.col("cuts").alias("_cuts"))
-    rows = keyed.join(cuts, F.col("_own") == F.col("_blob"), "left").select("_all.*", "_cuts")
-    text = F.when(F.col("_cuts").isNull(), F.col("text")).otherwise(_cut(F.col("text"), F.col("_cuts"), mask))
-    return rows.withColumn("text", text).select(*docs.columns)
+    rows = keyed.join(cuts, F.col("_own") == F.col("_blob"), "left")
+    own = F.col("_all.text")
+    text = F.when(F.col("_cuts").isNull(), own).otherwise(_cut(own, F.col("_cuts"), mask))
+    return rows.select(*[(text if c == "text" else F.col("_all")[c]).alias(c) for c in docs.columns])

@@ -55,10 +55,25 @@ def test_stages_keep_columns_and_odd_rows(spark, sf_dir, at):
     assert corpus_pipeline.STAGES[at][1](spark, frame.where("false"), sf_dir).collect() == []
 
 
+def test_stages_keep_columns_of_clashing_names(spark, sf_dir):
+    extra = ["_doc", "_gone", "_lines", "_cuts", "_own", "_blob", "_all", "_row", "key", "_toxic"]
+    frame = spark.createDataFrame([(1, "one line\npassword = abcdefgh12", "s", *extra), (2, None, None, *extra)], ["doc_id", "text", "source", *extra])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, frame, sf_dir)
+        assert out.columns == frame.columns
+        assert sorted(tuple(r)[3:] for r in out.collect()) == [tuple(extra)] * 2
+
+
+def test_packing_stage_takes_odd_rows(spark, sf_dir):
+    rows = [(1, "plain words"), (2, None), (None, "no id"), (3, ""), (1, "plain words")]
+    out = corpus_pipeline.STAGES[-1][1](spark, spark.createDataFrame(rows, "doc_id long, text string"), sf_dir).collect()
+    assert sum(r.length for r in out) == 2 * 3 + 1 + 3 + 1 and {r.doc_id for r in out} == {1, 2, 3, None}
+
+
 def test_every_query_is_registered():
     assert importlib.util.find_spec("__spark_entry__")
     import __spark_entry__
 
     names = __spark_entry__.queries()
     assert "pipeline" in names and set(queries.queries()) <= set(names)
-    assert {int(n[2:].split("_")[0]) for n in queries.queries()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.queries()} == set(range(1, 14))
