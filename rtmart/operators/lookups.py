@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rtmart.functions.sizing import broadcast_if_small
+from rtmart.functions.sizing import MAX_BROADCAST_BYTES, broadcast_if_small
 
 
 def existing(rows: DataFrame, keys: DataFrame, row_key: str, key: str) -> DataFrame:
@@ -34,9 +34,13 @@ def scalar_lookup(
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("long")))
 
 
-def narrowed(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+def narrowed(rows: DataFrame, keys: DataFrame, on: list[str], size: int | None = None) -> DataFrame:
     """Rows of a large table that a small batch's ``keys`` ask for.
 
-    With few keys this is one scan of the table without a shuffle; with many it is a shuffled semi join.
+    With few keys this is one scan of the table without a shuffle; with many it is a shuffled semi join. ``size`` is the bytes of
+    the keys where the caller has measured them.
     """
+    if size is not None:
+        few = size <= MAX_BROADCAST_BYTES
+        return rows.join(F.broadcast(keys.select(*on)) if few else keys.select(*on), on, "left_semi")
     return rows.join(broadcast_if_small(keys.select(*on).distinct()), on, "left_semi")

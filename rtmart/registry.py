@@ -255,7 +255,7 @@ def sale_detail_stream(spark, sf_dir):
     def users(session, ids):
         return lookups.narrowed(V.user_info(session, sf_dir), ids, ["id"])
 
-    waiting = jobs.WaitingTables(f"{folder}/waiting", buckets=4)
+    waiting = jobs.WaitingTables(f"{folder}/waiting", buckets=4, slice_s=4 * 365 * 86_400, line_wait_s=86_400)
     query = jobs.start_sale_join(
         placed.unionByName(lines), users, waiting, table, f"{folder}/checkpoint", _asof(), availableNow=True
     )

@@ -9,6 +9,8 @@ effectively-once. Each ``start_*`` takes the trigger as keyword: ``processingTim
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from rtmart import schemas as S
 from rtmart.functions.columns import daily_index, doc_id
 from rtmart.functions.json_text import decode_json, rejected_json
+from rtmart.functions.sizing import width
 from rtmart.operators import alerts as A
 from rtmart.operators import dedup as D
 from rtmart.operators import latest, lookups, orders, sale_detail
@@ -28,6 +31,7 @@ from rtmart.streaming.keyed_table import BATCH, KeyedTable
 # Micro-batch interval, and how long an order waits for its lines.
 INTERVAL = "5 seconds"
 ORDER_TTL = "100 seconds"
+ORDER_TTL_S = 100
 
 
 def run_batches(
@@ -267,83 +271,159 @@ def start_sale_detail(
     return run_batches(pairs, checkpoint, merging(handle, table), "sale_detail", **trigger)
 
 
+@dataclass(frozen=True)
+class Asked:
+    """What one side of a batch asks of the other side's waiting rows: the span of its record times, the hashes of its order ids and
+    the bytes of those ids."""
+
+    first: int
+    last: int
+    hashes: tuple[int, ...]
+    size: int
+
+
 class WaitingTables:
-    """Orders and order lines by a hash of the order's id, each side waiting for the other for as long as the tables are kept."""
+    """Orders and order lines, each side waiting for the other.
+
+    A folder holds one slice of record time and one hash of the order's id, and a batch reads the folders that can hold its
+    partners: orders from ``order_ttl_s`` before its first line on, lines up to ``order_ttl_s`` after its last order, both of its own
+    hashes only. With ``line_wait_s`` a line waits no longer than that for its order, and folders are bounded on both sides:
+    a batch then reads about as much however long the job has run. Of an order that comes again the one with the last record time counts.
+    """
 
-    def __init__(self, path: str, buckets: int = 64):
-        self.buckets = buckets
+    def __init__(self, path: str, buckets: int = 8, slice_s: int = 3600, order_ttl_s: int = ORDER_TTL_S, line_wait_s: int | None = None):
+        self.buckets, self.slice_s, self.order_ttl_s, self.line_wait_s = buckets, slice_s, order_ttl_s, line_wait_s
         order = T.StructType.fromDDL(
-            "_order string, order_status string, create_time string, user_id string, dt string, o_time timestamp, bucket int"
+            "_order string, order_status string, create_time string, user_id string, dt string, o_time timestamp, bucket bigint"
         )
         line = T.StructType.fromDDL(
-            "order_detail_id string, order_id string, sku_id string, sku_name string, order_price string, d_time timestamp, bucket int"
+            "order_detail_id string, order_id string, sku_id string, sku_name string, order_price string, d_time timestamp, bucket bigint"
         )
-        self.orders = KeyedTable(f"{path}/orders", order, ("_order",), "bucket", steady=("bucket",))
-        self.lines = KeyedTable(f"{path}/lines", line, ("order_detail_id",), "bucket")
+        self.orders = KeyedTable(f"{path}/orders", order, ("_order",), "bucket", order=("o_time",), steady=("bucket",))
+        self.lines = KeyedTable(f"{path}/lines", line, ("order_detail_id",), "bucket", order=("d_time",), steady=("bucket",))
 
     def create(self, spark: SparkSession) -> "WaitingTables":
         for table in (self.orders, self.lines):
             table.create(spark)
         return self
 
-    def bucket(self, order_id: str) -> Column:
+    def hash(self, order_id: str) -> Column:
         return F.pmod(F.xxhash64(order_id), F.lit(self.buckets)).cast("int")
 
-
-def _waiting(table: KeyedTable, spark: SparkSession, before: int, ids: DataFrame, key: str) -> DataFrame:
-    """The last rows of a table for the given order ids: narrowed to them first, ranked afterwards."""
-    rows = lookups.narrowed(table.batches(spark, before), ids, [key])
-    return latest.latest_per_key(rows, list(table.key), [BATCH]).drop(BATCH, "bucket")
+    def bucket(self, time: str, order_id: str) -> Column:
+        """Slice and hash as one folder number."""
+        return F.floor(F.unix_seconds(time) / self.slice_s) * self.buckets + self.hash(order_id)
+
+    def asked(self, placed: DataFrame, lines: DataFrame) -> tuple[Asked | None, Asked | None]:
+        """What a batch's orders ask of the lines, and its lines of the orders; None where there are none."""
+        rows = placed.select(F.lit("o").alias("side"), F.col("o_time").alias("time"), F.col("_order").alias("id"))
+        rows = rows.unionByName(lines.select(F.lit("d").alias("side"), F.col("d_time").alias("time"), F.col("order_id").alias("id")))
+        seconds = F.unix_seconds("time")
+        found = rows.groupBy("side").agg(
+            F.min(seconds).alias("first"), F.max(seconds).alias("last"), F.collect_set(self.hash("id")).alias("hashes"), F.sum(width("id")).alias("size")
+        )
+        of = {r["side"]: Asked(r["first"], r["last"], tuple(sorted(r["hashes"])), r["size"]) for r in found.collect()}
+        return of.get("o"), of.get("d")
+
+    def _folders(self, rows: DataFrame, asked: Asked, first: int | None, last: int | None) -> DataFrame:
+        slice_ = F.floor(F.col("bucket") / self.buckets)
+        rows = rows.where(F.pmod(F.col("bucket"), F.lit(self.buckets)).isin(*asked.hashes))
+        if first is not None:
+            rows = rows.where(slice_ >= first // self.slice_s)
+        return rows if last is None else rows.where(slice_ <= last // self.slice_s)
+
+    def orders_for(self, spark: SparkSession, before: int, lines: DataFrame, asked: Asked) -> DataFrame:
+        """The orders of earlier batches that ``lines`` may belong to."""
+        last = None if self.line_wait_s is None else asked.last + self.line_wait_s
+        rows = self._folders(self.orders.batches(spark, before), asked, asked.first - self.order_ttl_s, last)
+        rows = lookups.narrowed(rows, lines.select(F.col("order_id").alias("_order")), ["_order"], asked.size)
+        return latest.latest_per_key(rows, ["_order"], ["o_time", BATCH]).drop(BATCH, "bucket")
+
+    def lines_for(self, spark: SparkSession, before: int, placed: DataFrame, asked: Asked) -> DataFrame:
+        """The lines, this batch's included, that may belong to the orders of ``placed``."""
+        first = None if self.line_wait_s is None else asked.first - self.line_wait_s
+        rows = self._folders(self.lines.batches(spark, before), asked, first, asked.last + self.order_ttl_s)
+        rows = lookups.narrowed(rows, placed.select(F.col("_order").alias("order_id")), ["order_id"], asked.size)
+        return latest.latest_per_key(rows, ["order_detail_id"], ["d_time", BATCH]).drop(BATCH, "bucket")
+
+    def met(self) -> Column:
+        within = F.unix_seconds("d_time") - F.unix_seconds("o_time")
+        ok = (F.col("_order") == F.col("order_id")) & (within <= self.order_ttl_s)
+        return ok if self.line_wait_s is None else ok & (within >= -self.line_wait_s)
+
+    def expire(self, spark: SparkSession, newest: int, lateness_s: int) -> int:
+        """Delete folders that no record later than ``newest - lateness_s`` (epoch seconds) can ask for. Lines go only where
+        ``line_wait_s`` bounds their wait. Returns the number of folders."""
+
+        def older(limit: int) -> Callable[[str], bool]:
+            return lambda value: (int(value) // self.buckets + 1) * self.slice_s <= limit
+
+        gone = self.orders.drop(spark, older(newest - lateness_s - self.order_ttl_s))
+        if self.line_wait_s is not None:
+            gone += self.lines.drop(spark, older(newest - lateness_s - self.line_wait_s))
+        return gone
 
 
 def sale_batch(
-    waiting: WaitingTables, users: Dimension, table: KeyedTable, order_ttl: str = ORDER_TTL, asof: Column | None = None
+    waiting: WaitingTables, users: Dimension, table: KeyedTable, asof: Column | None = None, lateness_s: int | None = None
 ) -> Callable[[DataFrame, int], None]:
     """Join a batch's orders and lines with each other and with those of earlier batches, whichever came first.
 
-    Nothing is too late for it: no watermark drops a row, and there is no state but the two tables, from which only the
-    batch's own order ids are taken. A line may come up to ``order_ttl`` after its order, by record time, and any time before it.
+    No watermark drops a row, and there is no state but the two tables, of which a batch reads its own folders. A line may come
+    up to ``order_ttl_s`` after its order, by record time, and any time before it (``line_wait_s`` of the tables bounds that). Folders
+    are kept for ever unless ``lateness_s`` tells how far a record may lag behind the newest one seen.
     """
+    newest = None
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        nonlocal newest
         spark = batch.sparkSession
         today = F.current_timestamp() if asof is None else asof
-        with _Held(batch) as records:
-            of = {t: records.where(F.col("topic") == t) for t in (S.TOPIC_ORDER_INFO, S.TOPIC_ORDER_DETAIL)}
-            o = decode_json(of[S.TOPIC_ORDER_INFO], S.ORDER_INFO, keep=("timestamp",), required=("id", "create_time"))
-            o = orders.sale_orders(o).select(
-                F.col("id").alias("_order"), "order_status", "create_time", "user_id", F.col("create_date").alias("dt"),
-                F.col("timestamp").alias("o_time"), waiting.bucket("id").alias("bucket"),
-            )
-            d = decode_json(of[S.TOPIC_ORDER_DETAIL], S.ORDER_DETAIL, keep=("timestamp",), required=("id", "order_id"))
-            d = d.select(
-                F.col("id").alias("order_detail_id"), "order_id", "sku_id", "sku_name", "order_price",
-                F.col("timestamp").alias("d_time"), waiting.bucket("order_id").alias("bucket"),
-            )
-            waiting.orders.write(o, batch_id)
-            waiting.lines.write(d, batch_id)
-            new = latest.latest_per_key(o.drop("bucket"), ["_order"], ["create_time"])
-            lines = _waiting(waiting.lines, spark, batch_id + 1, o.select(F.col("_order").alias("order_id")), "order_id")
-            ids = d.select(F.col("order_id").alias("_order"))
-            old = _waiting(waiting.orders, spark, batch_id, ids, "_order").join(new, "_order", "left_anti")
-            met = F.expr(f"_order = order_id AND d_time <= o_time + INTERVAL {order_ttl}")
-            pairs = new.join(lines, met).unionByName(old.join(d.drop("bucket"), met))
-            with _Held(sale_detail.sale_columns(pairs)) as rows:
+        of = {t: batch.where(F.col("topic") == t) for t in (S.TOPIC_ORDER_INFO, S.TOPIC_ORDER_DETAIL)}
+        o = decode_json(of[S.TOPIC_ORDER_INFO], S.ORDER_INFO, keep=("timestamp",), required=("id", "create_time"))
+        o = orders.sale_orders(o).select(
+            F.col("id").alias("_order"), "order_status", "create_time", "user_id", F.col("create_date").alias("dt"),
+            F.col("timestamp").alias("o_time"), waiting.bucket("timestamp", "id").alias("bucket"),
+        )
+        d = decode_json(of[S.TOPIC_ORDER_DETAIL], S.ORDER_DETAIL, keep=("timestamp",), required=("id", "order_id"))
+        d = d.select(
+            F.col("id").alias("order_detail_id"), "order_id", "sku_id", "sku_name", "order_price",
+            F.col("timestamp").alias("d_time"), waiting.bucket("timestamp", "order_id").alias("bucket"),
+        )
+        with _Held(o) as o, _Held(d) as d:
+            of_lines, of_orders = waiting.asked(o, d)
+            new = latest.latest_per_key(o.drop("bucket"), ["_order"], ["o_time", "create_time"])
+            pairs = []
+            if of_orders is not None:
+                waiting.lines.write(d, batch_id)
+                old = waiting.orders_for(spark, batch_id, d, of_orders)
+                old = old if of_lines is None else old.join(new, "_order", "left_anti")
+                pairs.append(old.join(d.drop("bucket"), waiting.met()))
+            if of_lines is not None:
+                waiting.orders.write(o, batch_id)
+                pairs.append(new.join(waiting.lines_for(spark, batch_id + 1, o, of_lines), waiting.met()))
+            if not pairs:
+                return
+            with _Held(sale_detail.sale_columns(reduce(DataFrame.unionByName, pairs))) as rows:
                 asked = rows.select(F.col("user_id").alias("id")).distinct()
                 full = sale_detail.with_user(rows, users(spark, asked), today)
                 table.write(full.withColumn("dt_month", F.substring("dt", 1, 7)), batch_id)
+            seen = max(a.last for a in (of_lines, of_orders) if a)
+            newest = seen if newest is None else max(newest, seen)
+            if lateness_s is not None:
+                waiting.expire(spark, newest, lateness_s)
 
     return handle
 
 
 def start_sale_join(
     records: DataFrame, users: Dimension, waiting: WaitingTables, table: KeyedTable, checkpoint: str,
-    asof: Column | None = None, **trigger,
+    asof: Column | None = None, lateness_s: int | None = None, **trigger,
 ) -> StreamingQuery:
-    """Sale rows from records of both topics, without a bound on how long a line waits for its order."""
+    """Sale rows from records of both topics; what bounds the wait is up to ``waiting`` and ``lateness_s``."""
     waiting.create(records.sparkSession)
     table.create(records.sparkSession)
-    handle = merging(sale_batch(waiting, users, table, asof=asof), waiting.orders, waiting.lines, table)
+    handle = merging(sale_batch(waiting, users, table, asof, lateness_s), waiting.orders, waiting.lines, table)
     return run_batches(records, checkpoint, handle, "sale_join", **trigger)
 
 

@@ -287,6 +287,41 @@ def test_sale_join_across_batches(spark, tmp_path):
         ("early", "2", "3"), ("same", "1", "3"), ("100 s", "1", "3"), ("early again", "2", "3")}
 
 
+def test_sale_batches_read_their_own_folders(spark, tmp_path):
+    """Bytes that a batch asks of the waiting tables do not grow with what has passed, and old folders go."""
+    waiting = jobs.WaitingTables(str(tmp_path / "waiting"), 2, slice_s=600, line_wait_s=300).create(spark)
+    table = jobs.sale_table(str(tmp_path / "table")).create(spark)
+    people = spark.createDataFrame([("u", "n", "3", "1990-01-01", "F")], S.USER_INFO)
+    run = jobs.sale_batch(waiting, lambda s, ids: people, table, F.lit("2024-01-31").cast("timestamp"), lateness_s=1200)
+    plain = jobs.sale_batch(
+        jobs.WaitingTables(str(tmp_path / "all"), 2, slice_s=600).create(spark), lambda s, ids: people,
+        jobs.sale_table(str(tmp_path / "plain")).create(spark), F.lit("2024-01-31").cast("timestamp"),
+    )
+    read, kept = [], []
+    for n in range(8):
+        at = n * 900
+        rows = [(json.dumps({"id": f"o{n}", "user_id": "u", "create_time": "2024-01-01 10:00:00"}), at + 200, S.TOPIC_ORDER_INFO)]
+        for k, when, o in (("early", at, n), ("next", at + 150, n + 1), ("late", at + 290, n), ("too late", at + 301, n)):
+            rows.append((json.dumps({"id": f"{n}{k}", "order_id": f"o{o}", "sku_id": "s", "order_price": "5"}), when, S.TOPIC_ORDER_DETAIL))
+        frame = spark.createDataFrame(rows, "value string, seconds long, topic string")
+        batch = frame.select("value", F.timestamp_seconds("seconds").alias("timestamp"), F.lit(0).cast("long").alias("offset"), "topic")
+        run(batch, n)
+        plain(batch, n)
+        ids = spark.createDataFrame([(f"o{i}",) for i in range(n + 1)], "order_id string")
+        asked = jobs.Asked(at, at + 301, (0, 1), 100)
+        read.append(waiting.orders_for(spark, n + 1, ids, asked).count())
+        kept.append(len(waiting.orders._batch_folders(spark)) + len(waiting.lines._batch_folders(spark)))
+    assert max(read[3:]) <= 2 and max(kept[4:]) <= max(kept[:4]) + 2
+    want = {f"{n}{k}" for n in range(8) for k in ("early", "late")}
+    assert as_set(table.latest(spark), "order_detail_id") == {(x,) for x in want}
+    unbounded = {f"{n}next" for n in range(7)}  # nobody bounds the wait of these
+    assert as_set(jobs.sale_table(str(tmp_path / "plain")).latest(spark), "order_detail_id") == {(x,) for x in want | unbounded}
+    lines = waiting.lines_for(spark, 9, spark.createDataFrame([("o1",)], "_order string"), jobs.Asked(0, 9, (1,), 10))
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    filters = next(x for x in plan.splitlines() if "PartitionFilters" in x).split("PartitionFilters")[1]
+    assert "pmod(bucket" in filters
+
+
 # --- alerts -----------------------------------------------------------------------------------------------------
 
 
