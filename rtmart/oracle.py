@@ -80,6 +80,21 @@ def _dau_hours_sql(where: str) -> str:
 MONEY = "CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE)"
 
 
+def _ranked(part: str) -> str:
+    """Sales of a day by BM25 of their name over all order lines."""
+    words = ["old", "ring"]
+    times = [f"len(list_filter(w, lambda x: x = '{w}'))" for w in words]
+    known = ", ".join(f"count(*) FILTER ({t} > 0) AS d{i}" for i, t in enumerate(times))
+    score = " + ".join(
+        f"ln(1 + (n - d{i} + 0.5) / (d{i} + 0.5)) * {t} * 2.2 / ({t} + 1.2 * (0.25 + 0.75 * len(w) / average))" for i, t in enumerate(times)
+    )
+    split = "list_filter(regexp_split_to_array(lower(sku_name), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')"
+    return f"""SELECT {SALE_FIELDS}, round({score}, 6) AS score
+        FROM (SELECT *, {split} AS w FROM sales WHERE dt = '{GMV_DATE}'),
+             (SELECT count(*) AS n, avg(len(w)) AS average, {known} FROM (SELECT {split} AS w FROM order_detail WHERE sku_name IS NOT NULL))
+        WHERE {" + ".join(times)} > 0 ORDER BY score DESC, order_id, order_detail_id {part}"""
+
+
 def _series(kind: str) -> str:
     if kind == "gmv":
         return f"""SELECT CASE WHEN create_date = '{GMV_DATE}' THEN 'today' ELSE 'yesterday' END AS series,
@@ -205,6 +220,11 @@ def oracle_sql() -> dict[str, str]:
             """SELECT id, substr(tel, 1, 3) || '****' || substr(tel, 8) AS consignee_tel, total_amount, create_date,
                create_hour FROM order_info""",
         ),
+        "gmv_sums_stream": _with(
+            order,
+            f"""SELECT create_date AS day, create_hour AS hour, count(*) AS n, {MONEY} AS sum_amount FROM order_info GROUP BY ALL
+                UNION ALL SELECT 'refused', '', count(*), 0 FROM order_info WHERE CAST(id AS BIGINT) % 50 = 7""",
+        ),
         "realtime_total": _with(
             f"{dau} order_info",
             f"""SELECT 'dau' AS id, '{S.NAME_DAU}' AS name, CAST(count(*) AS DOUBLE) AS value FROM dau
@@ -256,6 +276,8 @@ def oracle_sql() -> dict[str, str]:
             hits, f"SELECT {SALE_FIELDS} FROM hits ORDER BY order_id, order_detail_id LIMIT 4 OFFSET 1"
         ),
         "sale_search_total": _with(hits, "SELECT count(*) AS total FROM hits"),
+        "sale_search_ranked": _with(sales, _ranked("LIMIT 5")),
+        "sale_search_next": _with(sales, _ranked("LIMIT 5 OFFSET 5")),
         "sale_search_document": _with(hits, SEARCH_DOCUMENT),
         "sale_search_stored": _with(hits, SEARCH_DOCUMENT),
         "gmv_stored": _with(order, f"SELECT {MONEY} AS sum_amount FROM order_info WHERE create_date = '{GMV_DATE}'"),

@@ -17,7 +17,9 @@ from rtmart.plans import province, realtime, sale_search
 from rtmart.session import configure, run_folder
 from rtmart.sources import star_tables as V
 from rtmart.sources import topics
+from rtmart.sources.facts import sales_on
 from rtmart.streaming import jobs
+from rtmart.streaming.kept_sums import HourSums
 from rtmart.streaming.keyed_table import KeyedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,6 +162,31 @@ def gmv_stream(spark, sf_dir):
     return table.latest(spark).select("id", "consignee_tel", "total_amount", "create_date", "create_hour")
 
 
+@_query
+def gmv_sums_stream(spark, sf_dir):
+    """Sums by hour kept over batches in which every third order comes twice, first with another hour and amount, and some lines
+    are cut off: totals, and how many lines were refused."""
+    folder = run_folder(spark, "gmv-sums")
+    placed = V.order_info(spark, sf_dir)
+    number = F.col("id").cast("long")
+    early = placed.where(number % 3 == 0).withColumns(
+        {"total_amount": F.col("total_amount") + 1000, "create_time": F.concat(F.substring("create_time", 1, 10), F.lit(" 00:00:00"))}
+    )
+    _publish(early, S.TOPIC_ORDER_INFO, "create_time", f"{folder}/topics")
+    _publish(placed, S.TOPIC_ORDER_INFO, "create_time", f"{folder}/topics")  # files are read in the order of writing
+    cut = placed.where(number % 50 == 7).select(
+        F.substring(to_json_line(placed), 1, 30).alias("value"), F.to_timestamp("create_time").alias("timestamp"), F.lit(S.TOPIC_ORDER_INFO).alias("topic")
+    )
+    topics.write_file_topics(cut, f"{folder}/topics")
+    records = topics.file_stream(spark, f"{folder}/topics", S.TOPIC_ORDER_INFO, 2)
+    facts = jobs.order_table(f"{folder}/facts", by="create_year")
+    sums, refused = HourSums(f"{folder}/sums", digits=4), jobs.refused_table(f"{folder}/refused")
+    jobs.finish(jobs.start_gmv_sums(records, facts, sums, refused, f"{folder}/checkpoint", availableNow=True))
+    bad = refused.batches(spark).agg(F.count(F.lit(1)).alias("n"))
+    bad = bad.select(F.lit("refused").alias("day"), F.lit("").alias("hour"), "n", F.lit(0.0).alias("sum_amount"))
+    return sums.hours(spark).unionByName(bad)
+
+
 # --- day reports ------------------------------------------------------------------------------------------------
 
 
@@ -302,6 +329,29 @@ def gmv_stored(spark, sf_dir):
     return realtime.gmv_total(table.latest(spark).where(F.col("create_month") == GMV_DATE[:7]), GMV_DATE)
 
 
+RANKED = "old ring"
+RANKED_PAGE = 5
+
+
+def _ranked(spark, sf_dir) -> DataFrame:
+    """Sales of the day that hold a word of the keyword, by relevance over all order lines."""
+    sales = sales_on(_sales(spark, sf_dir, SEARCH_DAYS), GMV_DATE)
+    return search.with_relevance(sales, V.order_detail(spark, sf_dir), RANKED)
+
+
+@_query
+def sale_search_ranked(spark, sf_dir):
+    return search.ranked_page(_ranked(spark, sf_dir), RANKED_PAGE)
+
+
+@_query
+def sale_search_next(spark, sf_dir):
+    """The page after the first, from the key of its last hit."""
+    hits = _ranked(spark, sf_dir)
+    last = max(search.ranked_page(hits, RANKED_PAGE).collect(), key=lambda r: (-r.score, r.order_id, r.order_detail_id), default=None)
+    return search.ranked_page(hits, RANKED_PAGE, last and (last.score, last.order_id, last.order_detail_id))
+
+
 @_query
 def damaged_logs(spark, sf_dir):
     """Start lines of which some are cut off, repeat a key or carry a time in other units: what is read and what is rejected."""

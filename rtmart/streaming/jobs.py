@@ -19,13 +19,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rtmart import schemas as S
 from rtmart.functions.columns import daily_index, doc_id
-from rtmart.functions.json_text import decode_json, rejected_json
+from rtmart.functions.json_text import decode_json, marked_json, rejected_json, unusable, usable
 from rtmart.functions.sizing import width
 from rtmart.operators import alerts as A
 from rtmart.operators import dedup as D
 from rtmart.operators import latest, lookups, orders, sale_detail
 from rtmart.session import setting
 from rtmart.sources.star_tables import with_log_day
+from rtmart.streaming.kept_sums import HourSums
 from rtmart.streaming.keyed_table import BATCH, KeyedTable
 
 # Micro-batch interval, and how long an order waits for its lines.
@@ -161,7 +162,7 @@ def dau_bounded(starts: DataFrame, lateness: str = "1 day") -> DataFrame:
 
 
 def order_table(path: str, by: str = "create_date") -> KeyedTable:
-    """Order facts by day, or by ``create_month`` where days hold few orders."""
+    """Order facts by day, or by ``create_month`` (the job of kept sums takes ``create_year``, too) where days hold few orders."""
     extra = ["create_date", "create_hour", *([by] if by != "create_date" else [])]
     fields = T.StructType([*S.ORDER_INFO.fields, *[T.StructField(c, T.StringType()) for c in extra]])
     return KeyedTable(path, fields, key=("id",), partition=by, order=("create_time",), steady=tuple(dict.fromkeys(("create_date", by))))
@@ -174,6 +175,36 @@ def start_gmv(records: DataFrame, table: KeyedTable, checkpoint: str, **trigger)
     return run_batches(facts, checkpoint, merging(table.write, table), "gmv", **trigger)
 
 
+def refused_table(path: str) -> KeyedTable:
+    """Lines that a job could not use, each with its reason, under the number of the batch that brought it."""
+    return KeyedTable(path, T.StructType.fromDDL("value string, topic string, timestamp timestamp, reason string"), key=())
+
+
+def start_gmv_sums(
+    records: DataFrame, facts: KeyedTable, sums: HourSums, refused: KeyedTable, checkpoint: str, **trigger
+) -> StreamingQuery:
+    """Order facts, their sums by hour and the refused lines, from one parse of every line.
+
+    The facts are written last: until then a batch that is run again still finds the versions before it.
+    """
+    spark = records.sparkSession
+    for table in (facts, refused):
+        table.create(spark)
+    sums.create(spark)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        with _Held(marked_json(batch, S.ORDER_INFO, required=("id", "create_time"))) as marked:
+            new = orders.gmv_orders(usable(marked, S.ORDER_INFO)).withColumns(
+                {"create_month": F.substring("create_date", 1, 7), "create_year": F.substring("create_date", 1, 4)}
+            )
+            with _Held(latest.latest_per_key(new, ["id"], list(facts.order))) as new:
+                sums.apply(new, facts, batch_id)
+                facts.write(new, batch_id)
+            refused.write(unusable(marked), batch_id)
+
+    return run_batches(records, checkpoint, merging(handle, facts, sums.table), "gmv_sums", **trigger)
+
+
 # --- users ------------------------------------------------------------------------------------------------------
 
 
