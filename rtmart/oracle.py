@@ -202,6 +202,12 @@ def oracle_sql() -> dict[str, str]:
                 SELECT 1 FROM startup_log e WHERE e.mid = s.mid AND e."logDate" = s."logDate"
                 AND e.ts < epoch_ms(TIMESTAMP '{SEEN_UNTIL}')) QUALIFY {rank} = 1""",
         ),
+        "dau_seen_measured": _with(
+            start,
+            f"""{first} s WHERE ts >= epoch_ms(TIMESTAMP '{SEEN_UNTIL}') AND NOT EXISTS (
+                SELECT 1 FROM startup_log e WHERE e.mid = s.mid AND e."logDate" = s."logDate"
+                AND e.ts < epoch_ms(TIMESTAMP '{SEEN_UNTIL}')) QUALIFY {rank} = 1""",
+        ),
         "dau_total": _with(dau, f"""SELECT count(*) AS dau FROM dau WHERE "logDate" = '{DAU_DATE}'"""),
         "dau_hours": _with(dau, _dau_hours_sql(f"\"logDate\" = '{DAU_DATE}'")),
         "gmv_orders_masked": _with(
@@ -264,6 +270,14 @@ def oracle_sql() -> dict[str, str]:
             """SELECT o.id AS order_id, o.user_id, d.id AS order_detail_id, d.sku_id
                FROM order_info o FULL OUTER JOIN order_detail d ON o.id = d.order_id""",
         ),
+        "sale_orders_masked": _with(
+            order,
+            """SELECT id AS "ID", substr(tel, 1, 4) || '********' AS "CONSIGNEE_TEL", total_amount AS "TOTAL_AMOUNT",
+               create_date AS "CREATE_DATE", create_hour AS "CREATE_HOUR" FROM order_info""",
+        ),
+        "sale_documents": _with(
+            sales, """SELECT order_id || '-' || order_detail_id AS doc_id, 'sale_detail-' || dt AS "index", sku_name, user_age FROM sales"""
+        ),
         "sale_detail_wide": _with(
             f"{sales} user_latest",
             f"""SELECT s.* EXCLUDE (user_level, l_linenumber), coalesce(l.user_level, s.user_level) AS user_level

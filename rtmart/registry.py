@@ -110,6 +110,15 @@ def dau_seen_anti(spark, sf_dir):
     return dedup.unseen(dedup.first_start(starts.where(F.col("ts") >= noon)), seen)
 
 
+@_query
+def dau_seen_measured(spark, sf_dir):
+    """The same, with the seen devices broadcast when they are measured to be few."""
+    starts = V.startup_log(spark, sf_dir)
+    noon = F.unix_millis(F.lit(SEEN_UNTIL).cast("timestamp"))
+    seen = dedup.seen_devices(starts.where(F.col("ts") < noon))
+    return dedup.unseen(dedup.first_start(starts.where(F.col("ts") >= noon)), seen, measure=True)
+
+
 @_query
 def dau_total(spark, sf_dir):
     return realtime.dau_total(_dau(spark, sf_dir, DAU_DAYS), DAU_DATE)
@@ -248,6 +257,19 @@ def order_line_full_outer(spark, sf_dir):
     )
 
 
+@_query
+def sale_orders_masked(spark, sf_dir):
+    """Orders as the sale join takes them, under the column names of the fact store."""
+    placed = orders.sale_orders(V.order_info(spark, sf_dir))
+    return orders.upper_columns(placed.select("id", "consignee_tel", "total_amount", "create_date", "create_hour"))
+
+
+@_query
+def sale_documents(spark, sf_dir):
+    """Sale rows with their document id and the name of their daily index."""
+    return jobs.sale_documents(_sales(spark, sf_dir)).select("doc_id", "index", "sku_name", "user_age")
+
+
 @_query
 def sale_detail_wide(spark, sf_dir):
     placed = orders.sale_orders(V.order_info(spark, sf_dir))
