@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from rtmart import schemas as S
 from rtmart.registry import (
-    ASOF, DAU_DATE, DEFAULT_RULE, GMV_DATE, HOURLY, KEYWORD, MINUTES, SEEN_UNTIL, SERVER_TS,
+    ASOF, DAU_DATE, DEFAULT_RULE, GMV_DATE, HOURLY, INDEXED, KEYWORD, MINUTES, SEEN_UNTIL, SERVER_TS,
 )
 
 DAU_YESTERDAY, GMV_YESTERDAY = "2024-01-01", "1996-09-16"
@@ -300,6 +300,30 @@ def oracle_sql() -> dict[str, str]:
             """SELECT mid, count(*) AS n, 'read' AS outcome FROM startup_log WHERE ts % 7 >= 3 GROUP BY mid
                UNION ALL SELECT '', count(*), 'rejected' FROM startup_log WHERE ts % 7 < 3""",
         ),
+        "dau_lines_stream": _with(
+            start,
+            """SELECT 'sent' AS step, count(*) AS n FROM startup_log UNION ALL
+               SELECT 'refused', count(*) FROM startup_log WHERE ts % 7 < 3 UNION ALL
+               SELECT 'devices', count(DISTINCT mid || "logDate") FROM startup_log WHERE ts % 7 >= 3""",
+        ),
+        "order_line_outer_stream": _with(
+            "order_info order_detail",
+            """SELECT o.id AS order_id, o.user_id, d.id AS order_detail_id, d.sku_id
+               FROM order_info o LEFT JOIN order_detail d ON o.id = d.order_id AND d.l_linenumber * 30 - 90 <= 100
+               UNION ALL
+               SELECT order_id, NULL, d.id, sku_id FROM order_detail d JOIN order_info o ON o.id = order_id
+               WHERE l_linenumber * 30 - 90 > 100""",
+        ),
+        "sale_search_indexed": _with(
+            sales,
+            f"""SELECT {SALE_FIELDS} FROM sales
+                WHERE list_has_all(regexp_split_to_array(lower(sku_name), '[^\\p{{L}}\\p{{N}}]+'), {INDEXED.split()})""",
+        ),
+        "user_lookup_stream": _with(
+            "user_info user_latest black_list",
+            """SELECT id, login_name, user_level, birthday, gender FROM user_latest
+               WHERE id IN (SELECT userid FROM black_list)""",
+        ),
         "terms_gender": _with(
             sales, "SELECT user_gender, count(*) AS count FROM sales GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"
         ),

@@ -21,6 +21,7 @@ from rtmart.sources.facts import sales_on
 from rtmart.streaming import jobs
 from rtmart.streaming.kept_sums import HourSums
 from rtmart.streaming.keyed_table import KeyedTable
+from rtmart.streaming.name_index import NameIndex
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,6 +103,32 @@ def dau_stream_dedup(spark, sf_dir):
     return table.batches(spark).select("mid", "logDate")
 
 
+def _damaged(starts: DataFrame) -> DataFrame:
+    """Start lines of which some are cut off, carry a time in other units or repeat a key."""
+    line, kind = to_json_line(starts), F.col("ts") % 7
+    damaged = (
+        F.when(kind == 0, F.substring(line, 1, 20))
+        .when(kind == 1, F.regexp_replace(line, r'"ts":(\d+)', r'"ts":$1000000'))
+        .when(kind == 2, F.regexp_replace(line, r'"ts":(\d+)', r'"ts":$1000'))
+        .when(kind == 3, F.concat(F.lit('{"mid":"other",'), F.substring(line, 2, 1 << 30)))
+        .otherwise(line)
+    )
+    return starts.select(damaged.alias("value"), F.timestamp_millis("ts").alias("timestamp"), F.lit(S.TOPIC_START).alias("topic"))
+
+
+@_query
+def dau_lines_stream(spark, sf_dir):
+    """The device job on damaged lines: what was sent, what was refused and what the device table took, added up over the batches."""
+    folder = run_folder(spark, "dau-lines")
+    lines = _damaged(V.as_startup_log(V.table(spark, sf_dir, "events")))
+    topics.write_file_topics(lines.repartition(FILES), f"{folder}/topics")
+    records = topics.file_stream(spark, f"{folder}/topics", S.TOPIC_START, 1)
+    refused, figures = jobs.refused_table(f"{folder}/refused"), jobs.figures_table(f"{folder}/figures")
+    job = jobs.dau_job(jobs.dau_table(f"{folder}/table"))
+    jobs.finish(jobs.start_job(records, job, refused, f"{folder}/checkpoint", figures, availableNow=True))
+    return figures.batches(spark).groupBy("step").agg(F.sum("rows").alias("n"))
+
+
 @_query
 def dau_seen_anti(spark, sf_dir):
     starts = V.startup_log(spark, sf_dir)
@@ -312,6 +339,29 @@ def sale_detail_stream(spark, sf_dir):
     return table.latest(spark).select(*S.SALE_DETAIL.fieldNames())
 
 
+OUTER_END = "2030-01-01 00:00:00"
+
+
+@_query
+def order_line_outer_stream(spark, sf_dir):
+    """Pairs, orders without a line in time and lines without their order, from files in no order of time. A last record of each
+    topic moves the watermark past all others, and waits itself."""
+    folder = run_folder(spark, "outer")
+    path = f"{folder}/topics"
+    _publish_order_lines(spark, sf_dir, path)
+    last = {
+        S.TOPIC_ORDER_INFO: '{"id":"last","create_time":"2030-01-01 00:00:00"}',
+        S.TOPIC_ORDER_DETAIL: '{"id":"last","order_id":"none"}',
+    }
+    ends = spark.createDataFrame(list(last.items()), "topic string, value string").withColumn("timestamp", F.lit(OUTER_END).cast("timestamp"))
+    topics.write_file_topics(ends.coalesce(1), path)
+    placed, lines = (topics.file_stream(spark, path, t, 2) for t in (S.TOPIC_ORDER_INFO, S.TOPIC_ORDER_DETAIL))
+    rows = jobs.order_line_outer(placed, lines, lateness="10000 days")
+    table = jobs.outer_table(f"{folder}/table")
+    jobs.finish(jobs.start_outer(rows, table, f"{folder}/checkpoint", state_partitions=4, availableNow=True))
+    return table.batches(spark).select("order_id", "user_id", "order_detail_id", "sku_id")
+
+
 # --- sale search ------------------------------------------------------------------------------------------------
 
 
@@ -342,6 +392,23 @@ def sale_search_stored(spark, sf_dir):
     return sale_search.sale_detail_json(answer)
 
 
+INDEXED = "old ring"
+
+
+@_query
+def sale_search_indexed(spark, sf_dir):
+    """All sales whose name holds both words, by posting lists. A third of the sales was written under another name before."""
+    folder = run_folder(spark, "indexed-sales")
+    table = jobs.sale_table(f"{folder}/table", by="dt_year").create(spark)
+    index = NameIndex(f"{folder}/index", buckets=8).create(spark)
+    sales = _sales(spark, sf_dir).withColumn("dt_year", F.substring("dt", 1, 4))
+    renamed = sales.where(F.col("order_id").cast("long") % 3 == 0).withColumn("sku_name", F.lit("Old, ring"))
+    for n, batch in enumerate((renamed, sales)):
+        index.add(batch, n)
+        table.write(batch, n)
+    return index.search(spark, table, INDEXED).select(*S.SALE_DETAIL.fieldNames())
+
+
 @_query
 def gmv_stored(spark, sf_dir):
     """The day's order value from a stored order table, of which only the day's part is read."""
@@ -378,15 +445,7 @@ def sale_search_next(spark, sf_dir):
 def damaged_logs(spark, sf_dir):
     """Start lines of which some are cut off, repeat a key or carry a time in other units: what is read and what is rejected."""
     starts = V.as_startup_log(V.table(spark, sf_dir, "events"))
-    line, kind = to_json_line(starts), F.col("ts") % 7
-    damaged = (
-        F.when(kind == 0, F.substring(line, 1, 20))
-        .when(kind == 1, F.regexp_replace(line, r'"ts":(\d+)', r'"ts":$1000000'))
-        .when(kind == 2, F.regexp_replace(line, r'"ts":(\d+)', r'"ts":$1000'))
-        .when(kind == 3, F.concat(F.lit('{"mid":"other",'), F.substring(line, 2, 1 << 30)))
-        .otherwise(line)
-    )
-    lines = starts.select(damaged.alias("value"))
+    lines = _damaged(starts).select("value")
     good = jobs.startup_logs(lines).groupBy("mid").agg(F.count(F.lit(1)).alias("n")).withColumn("outcome", F.lit("read"))
     bad = rejected_json(lines, S.STARTUP_LOG, required=jobs.STARTUP_REQUIRED, within=jobs.READABLE)
     return good.unionByName(bad.agg(F.count(F.lit(1)).alias("n")).select(F.lit("").alias("mid"), "n", F.lit("rejected").alias("outcome")))
@@ -485,12 +544,30 @@ def user_stream(spark, sf_dir):
         ).repartition(FILES),
         f"{folder}/topics",
     )
-    table = jobs.user_table(f"{folder}/table")
+    table = jobs.user_table(f"{folder}/table", buckets=8)
     records = topics.file_stream(spark, f"{folder}/topics", S.TOPIC_USER_INFO, 1)
     jobs.finish(jobs.start_users(records, table, f"{folder}/checkpoint", availableNow=True))
     return jobs.current_users(spark, table)
 
 
+@_query
+def user_lookup_stream(spark, sf_dir):
+    """The black list's users as the user job knows them: a look-up in folders by the hash of the id."""
+    folder = run_folder(spark, "user-lookup")
+    changes = V.user_changes(spark, sf_dir)
+    lines = changes.select(
+        to_json_line(changes.drop("ts", "offset")).alias("value"), F.timestamp_millis("ts").alias("timestamp"), "offset",
+        F.lit(S.TOPIC_USER_INFO).alias("topic"),
+    )
+    topics.write_file_topics(lines.repartition(FILES), f"{folder}/topics")
+    table = jobs.user_table(f"{folder}/table", buckets=8)
+    records = topics.file_stream(spark, f"{folder}/topics", S.TOPIC_USER_INFO, 2)
+    refused = jobs.refused_table(f"{folder}/refused")
+    jobs.finish(jobs.start_job(records, jobs.user_job(table), refused, f"{folder}/checkpoint", availableNow=True))
+    listed = V.black_list(spark, sf_dir).select(F.col("userid").alias("id"))
+    return jobs.newest_users(table.asked(spark, listed))
+
+
 @_query
 def exists_semi(spark, sf_dir):
     rows = V.order_info(spark, sf_dir).select("id", "user_id", "total_amount")

@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Look-ups by key hand their keys to the scan, where Bloom filters are asked; beyond this number only their range would go.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # State of stream joins lies beside the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

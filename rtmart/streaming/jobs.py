@@ -26,8 +26,10 @@ from rtmart.operators import dedup as D
 from rtmart.operators import latest, lookups, orders, sale_detail
 from rtmart.session import setting
 from rtmart.sources.star_tables import with_log_day
+from rtmart.streaming.hashed_table import HashedTable
 from rtmart.streaming.kept_sums import HourSums
 from rtmart.streaming.keyed_table import BATCH, KeyedTable
+from rtmart.streaming.name_index import NameIndex
 
 # Micro-batch interval, and how long an order waits for its lines.
 INTERVAL = "5 seconds"
@@ -158,6 +160,100 @@ def dau_bounded(starts: DataFrame, lateness: str = "1 day") -> DataFrame:
     return starts.withColumn("logDay", day).withWatermark("logDay", lateness).dropDuplicates(["mid", "logDay"])
 
 
+# --- refused lines and figures ----------------------------------------------------------------------------------
+
+
+def refused_table(path: str) -> KeyedTable:
+    """Lines that a job could not use, each with its reason, under the number of the batch that brought it."""
+    return KeyedTable(path, T.StructType.fromDDL("value string, topic string, timestamp timestamp, reason string"), key=())
+
+
+def figures_table(path: str) -> KeyedTable:
+    """Rows of every step of a batch: ``sent``, ``refused``, and by name the tables it wrote."""
+    return KeyedTable(path, T.StructType.fromDDL("step string, rows bigint"), key=("step",))
+
+
+@dataclass(frozen=True)
+class Job:
+    """A continuous job that reads one topic's lines: how they are read, what becomes of a batch, and the tables it writes, by name."""
+
+    name: str
+    record: T.StructType
+    shape: Callable[[DataFrame], DataFrame]
+    handle: Callable[[DataFrame, int], None]
+    tables: dict[str, KeyedTable]
+    required: tuple[str, ...] = ()
+    within: dict[str, tuple[int, int]] | None = None
+    merged: bool = True
+
+
+def lines_batch(job: Job, refused: KeyedTable, figures: KeyedTable | None = None) -> Callable[[DataFrame, int], None]:
+    """One parse of a batch's lines: the job's handler gets the records, ``refused`` the other lines with a reason.
+
+    All are written under the batch's number, so a batch that is run again replaces them, and sent = read + refused. What a table
+    took is counted from its files' footers.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        with _Held(marked_json(batch, job.record, required=job.required, within=job.within)) as marked:
+            refused.write(unusable(marked), batch_id)
+            job.handle(job.shape(usable(marked, job.record, ("timestamp", "offset"))), batch_id)
+            if figures is not None:
+                rows = {"sent": marked, "refused": refused.batches(batch.sparkSession).where(F.col(BATCH) == batch_id)}
+                rows |= {name: t.batches(batch.sparkSession).where(F.col(BATCH) == batch_id) for name, t in job.tables.items()}
+                counted = [r.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("step"), "rows") for n, r in rows.items()]
+                figures.write(reduce(DataFrame.unionByName, counted).coalesce(1), batch_id)
+
+    return handle
+
+
+def start_job(
+    records: DataFrame, job: Job, refused: KeyedTable, checkpoint: str, figures: KeyedTable | None = None, **trigger
+) -> StreamingQuery:
+    """Run a job on topic records, with its refused lines and, if asked for, its figures kept beside its tables."""
+    for table in (*job.tables.values(), refused, *([figures] if figures else [])):
+        table.create(records.sparkSession)
+    handle = lines_batch(job, refused, figures)
+    return run_batches(records, checkpoint, merging(handle, *job.tables.values()) if job.merged else handle, job.name, **trigger)
+
+
+def dau_job(table: KeyedTable) -> Job:
+    """First start per device and day, as :func:`start_dau`."""
+
+    def shape(logs: DataFrame) -> DataFrame:
+        return with_log_day(logs.drop("timestamp", "offset"))
+
+    return Job("dau", S.STARTUP_LOG, shape, dau_batch(table), {"devices": table}, STARTUP_REQUIRED, READABLE)
+
+
+def gmv_job(table: KeyedTable) -> Job:
+    """Order facts, as :func:`start_gmv`."""
+
+    def shape(placed: DataFrame) -> DataFrame:
+        return orders.gmv_orders(placed).withColumn("create_month", F.substring("create_date", 1, 7))
+
+    return Job("gmv", S.ORDER_INFO, shape, table.write, {"orders": table}, ("id", "create_time"))
+
+
+def user_job(table: HashedTable) -> Job:
+    """Latest user records, as :func:`start_users`."""
+
+    def shape(users: DataFrame) -> DataFrame:
+        return users.withColumn("ts", F.unix_millis("timestamp"))
+
+    return Job("users", S.USER_INFO, shape, table.write, {"users": table}, ("id",))
+
+
+def alert_job(tables: AlertTables, rule: A.Rule = A.Rule()) -> Job:
+    """Coupon alerts, as :func:`start_alerts`."""
+
+    def shape(logs: DataFrame) -> DataFrame:
+        return with_log_day(logs.drop("timestamp", "offset"))
+
+    own = {"slots": tables.slots, "windows": tables.facts, "documents": tables.documents}
+    return Job("alerts", S.EVENT_LOG, shape, alert_batch(tables, rule), own, ("mid", "ts"), READABLE, merged=False)
+
+
 # --- orders -----------------------------------------------------------------------------------------------------
 
 
@@ -175,11 +271,6 @@ def start_gmv(records: DataFrame, table: KeyedTable, checkpoint: str, **trigger)
     return run_batches(facts, checkpoint, merging(table.write, table), "gmv", **trigger)
 
 
-def refused_table(path: str) -> KeyedTable:
-    """Lines that a job could not use, each with its reason, under the number of the batch that brought it."""
-    return KeyedTable(path, T.StructType.fromDDL("value string, topic string, timestamp timestamp, reason string"), key=())
-
-
 def start_gmv_sums(
     records: DataFrame, facts: KeyedTable, sums: HourSums, refused: KeyedTable, checkpoint: str, **trigger
 ) -> StreamingQuery:
@@ -208,9 +299,10 @@ def start_gmv_sums(
 # --- users ------------------------------------------------------------------------------------------------------
 
 
-def user_table(path: str) -> KeyedTable:
+def user_table(path: str, buckets: int = 64) -> HashedTable:
+    """Users by the hash of their id: a batch of sales looks up its own users and reads little else."""
     extra = [T.StructField("ts", T.LongType()), T.StructField("offset", T.LongType())]
-    return KeyedTable(path, T.StructType([*S.USER_INFO.fields, *extra]), key=("id",), order=("ts", "offset"))
+    return HashedTable(path, T.StructType([*S.USER_INFO.fields, *extra]), ("id",), "id", order=("ts", "offset"), buckets=buckets)
 
 
 def user_records(records: DataFrame) -> DataFrame:
@@ -218,7 +310,7 @@ def user_records(records: DataFrame) -> DataFrame:
     return decode_json(timed, S.USER_INFO, keep=("ts", "offset"), required=("id",))
 
 
-def start_users(records: DataFrame, table: KeyedTable, checkpoint: str, **trigger) -> StreamingQuery:
+def start_users(records: DataFrame, table: HashedTable, checkpoint: str, **trigger) -> StreamingQuery:
     """Latest user record per id, by record time and offset."""
     table.create(records.sparkSession)
     return run_batches(user_records(records), checkpoint, merging(table.write, table), "users", **trigger)
@@ -229,18 +321,18 @@ def newest_users(rows: DataFrame) -> DataFrame:
     return latest.latest_per_key(rows, ["id"], ["ts", "offset"]).select(*S.USER_INFO.fieldNames())
 
 
-def current_users(spark: SparkSession, table: KeyedTable) -> DataFrame:
+def current_users(spark: SparkSession, table: HashedTable) -> DataFrame:
     return newest_users(table.batches(spark).drop(BATCH))
 
 
 Dimension = Callable[[SparkSession, DataFrame], DataFrame]  # (session, ids) -> users with those ids
 
 
-def cached_then_stored(table: KeyedTable, stored: Callable[[SparkSession], DataFrame]) -> Dimension:
+def cached_then_stored(table: HashedTable, stored: Callable[[SparkSession], DataFrame]) -> Dimension:
     """Users from the user table, and those missing there from a second source such as a relational table."""
 
     def users(spark: SparkSession, ids: DataFrame) -> DataFrame:
-        cached = newest_users(lookups.narrowed(table.batches(spark).drop(BATCH), ids, ["id"]))
+        cached = newest_users(table.asked(spark, ids).drop(BATCH))
         return sale_detail.user_dimension(cached, lookups.narrowed(stored(spark), ids, ["id"]))
 
     return users
@@ -256,15 +348,8 @@ def sale_table(path: str, by: str = "dt") -> KeyedTable:
     return KeyedTable(path, fields, key=("order_id", "order_detail_id"), partition=by, steady=steady)
 
 
-def order_line_stream(
-    order_records: DataFrame, line_records: DataFrame, order_ttl: str = ORDER_TTL, line_wait: str = "1 day",
-    lateness: str = "10 minutes",
-) -> DataFrame:
-    """Orders joined with their lines, whichever comes first; each pair comes out once.
-
-    A line may come up to ``order_ttl`` after its order, and may wait up to ``line_wait`` for it. Both bounds and
-    the watermarks let the state store forget rows that can no longer match.
-    """
+def _sides_in_time(order_records: DataFrame, line_records: DataFrame, order_ttl: str, line_wait: str, lateness: str):
+    """Orders, lines and the condition under which they meet; both sides with a watermark."""
     o = orders.sale_orders(
         decode_json(order_records, S.ORDER_INFO, keep=("timestamp",), required=("id", "create_time"))
     )
@@ -280,9 +365,47 @@ def order_line_stream(
     within = F.expr(
         f"_order = order_id AND d_time >= o_time - INTERVAL {line_wait} AND d_time <= o_time + INTERVAL {order_ttl}"
     )
+    return o, d, within
+
+
+def order_line_stream(
+    order_records: DataFrame, line_records: DataFrame, order_ttl: str = ORDER_TTL, line_wait: str = "1 day",
+    lateness: str = "10 minutes",
+) -> DataFrame:
+    """Orders joined with their lines, whichever comes first; each pair comes out once.
+
+    A line may come up to ``order_ttl`` after its order, and may wait up to ``line_wait`` for it. Both bounds and
+    the watermarks let the state store forget rows that can no longer match.
+    """
+    o, d, within = _sides_in_time(order_records, line_records, order_ttl, line_wait, lateness)
     return sale_detail.sale_columns(o.join(d, within))
 
 
+def order_line_outer(
+    order_records: DataFrame, line_records: DataFrame, order_ttl: str = ORDER_TTL, line_wait: str = "1 day",
+    lateness: str = "10 minutes",
+) -> DataFrame:
+    """Every order and every line: pairs at once, and what found no partner when the watermark tells that none can come any more.
+
+    An order without a line has no ``order_detail_id``, a line without its order no ``user_id``. A record later than ``lateness``
+    may be dropped; what waits when the stream ends comes out when it goes on.
+    """
+    o, d, within = _sides_in_time(order_records, line_records, order_ttl, line_wait, lateness)
+    both = o.join(d, within, "full_outer")
+    return both.select(F.coalesce("_order", "order_id").alias("order_id"), "user_id", "order_detail_id", "sku_id", "o_time", "d_time")
+
+
+def outer_table(path: str) -> KeyedTable:
+    """Rows of :func:`order_line_outer`. Each comes once, so readers take :meth:`KeyedTable.batches`."""
+    fields = "order_id string, user_id string, order_detail_id string, sku_id string, o_time timestamp, d_time timestamp"
+    return KeyedTable(path, T.StructType.fromDDL(fields), key=("order_id", "order_detail_id"))
+
+
+def start_outer(rows: DataFrame, table: KeyedTable, checkpoint: str, state_partitions: int | None = None, **trigger) -> StreamingQuery:
+    table.create(rows.sparkSession)
+    return run_batches(rows, checkpoint, table.write, "order_line_outer", state_partitions, **trigger)
+
+
 def start_sale_detail(
     pairs: DataFrame, users: Dimension, table: KeyedTable, checkpoint: str, asof: Column | None = None, **trigger,
 ) -> StreamingQuery:
@@ -396,10 +519,13 @@ class WaitingTables:
 
 
 def sale_batch(
-    waiting: WaitingTables, users: Dimension, table: KeyedTable, asof: Column | None = None, lateness_s: int | None = None
+    waiting: WaitingTables, users: Dimension, table: KeyedTable, asof: Column | None = None, lateness_s: int | None = None,
+    index: NameIndex | None = None, refused: KeyedTable | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Join a batch's orders and lines with each other and with those of earlier batches, whichever came first.
 
+    ``index`` learns the words of a sale's name before the sale can be found, and ``refused`` takes the lines that cannot be used.
+
     No watermark drops a row, and there is no state but the two tables, of which a batch reads its own folders. A line may come
     up to ``order_ttl_s`` after its order, by record time, and any time before it (``line_wait_s`` of the tables bounds that). Folders
     are kept for ever unless ``lateness_s`` tells how far a record may lag behind the newest one seen.
@@ -407,17 +533,24 @@ def sale_batch(
     newest = None
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        of = {t: batch.where(F.col("topic") == t) for t in (S.TOPIC_ORDER_INFO, S.TOPIC_ORDER_DETAIL)}
+        marked_o = marked_json(of[S.TOPIC_ORDER_INFO], S.ORDER_INFO, required=("id", "create_time"))
+        marked_d = marked_json(of[S.TOPIC_ORDER_DETAIL], S.ORDER_DETAIL, required=("id", "order_id"))
+        with _Held(marked_o) as marked_o, _Held(marked_d) as marked_d:
+            joined(batch, marked_o, marked_d, batch_id)
+            if refused is not None:
+                refused.write(unusable(marked_o).unionByName(unusable(marked_d)), batch_id)
+
+    def joined(batch: DataFrame, marked_o: DataFrame, marked_d: DataFrame, batch_id: int) -> None:
         nonlocal newest
         spark = batch.sparkSession
         today = F.current_timestamp() if asof is None else asof
-        of = {t: batch.where(F.col("topic") == t) for t in (S.TOPIC_ORDER_INFO, S.TOPIC_ORDER_DETAIL)}
-        o = decode_json(of[S.TOPIC_ORDER_INFO], S.ORDER_INFO, keep=("timestamp",), required=("id", "create_time"))
+        o = usable(marked_o, S.ORDER_INFO, keep=("timestamp",))
         o = orders.sale_orders(o).select(
             F.col("id").alias("_order"), "order_status", "create_time", "user_id", F.col("create_date").alias("dt"),
             F.col("timestamp").alias("o_time"), waiting.bucket("timestamp", "id").alias("bucket"),
         )
-        d = decode_json(of[S.TOPIC_ORDER_DETAIL], S.ORDER_DETAIL, keep=("timestamp",), required=("id", "order_id"))
-        d = d.select(
+        d = usable(marked_d, S.ORDER_DETAIL, keep=("timestamp",)).select(
             F.col("id").alias("order_detail_id"), "order_id", "sku_id", "sku_name", "order_price",
             F.col("timestamp").alias("d_time"), waiting.bucket("timestamp", "order_id").alias("bucket"),
         )
@@ -437,6 +570,8 @@ def sale_batch(
                 return
             with _Held(sale_detail.sale_columns(reduce(DataFrame.unionByName, pairs))) as rows:
                 asked = rows.select(F.col("user_id").alias("id")).distinct()
+                if index is not None:
+                    index.add(rows, batch_id)
                 full = sale_detail.with_user(rows, users(spark, asked), today)
                 table.write(full.withColumn("dt_month", F.substring("dt", 1, 7)), batch_id)
             seen = max(a.last for a in (of_lines, of_orders) if a)
@@ -449,12 +584,15 @@ def sale_batch(
 
 def start_sale_join(
     records: DataFrame, users: Dimension, waiting: WaitingTables, table: KeyedTable, checkpoint: str,
-    asof: Column | None = None, lateness_s: int | None = None, **trigger,
+    asof: Column | None = None, lateness_s: int | None = None, index: NameIndex | None = None, refused: KeyedTable | None = None,
+    **trigger,
 ) -> StreamingQuery:
     """Sale rows from records of both topics; what bounds the wait is up to ``waiting`` and ``lateness_s``."""
-    waiting.create(records.sparkSession)
-    table.create(records.sparkSession)
-    handle = merging(sale_batch(waiting, users, table, asof, lateness_s), waiting.orders, waiting.lines, table)
+    extra = [t for t in (index, refused) if t is not None]
+    for made in (waiting, table, *extra):
+        made.create(records.sparkSession)
+    handle = sale_batch(waiting, users, table, asof, lateness_s, index, refused)
+    handle = merging(handle, waiting.orders, waiting.lines, table, *extra[: index is not None])
     return run_batches(records, checkpoint, handle, "sale_join", **trigger)
 
 
