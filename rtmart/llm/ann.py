@@ -6,12 +6,14 @@
    length get one more coordinate that makes them equally long, which turns inner products into distances. The index is a table,
    a row per node with its neighbours on all levels in one flat array.
 3. Every query meets every shard, in groups of ``QUERY_ROWS``: a task reads a shard's arrays, then streams a group's queries
-   through it with a beam of ``BEAM`` nodes, a block at a time.
+   through it with a beam of ``BEAM`` nodes, a block at a time. The beam begins at nodes far apart from each other and in every part
+   of the graph that links do not lead to from there, so that no cluster is out of reach.
 4. Shard results are merged by query; scores are computed anew from the original vectors in double precision.
 
 Defined results: vectors that are null, zero, hold null or non-finite components or differ in length from most others take no
 part, nor do rows with a null ``vec_id``; equal rows count once; fewer candidates than ``k`` give fewer ranks; ties go to the
-smaller id; other columns are not carried.
+smaller id; other columns are not carried. Searches run on scaled copies in single precision, scores on the original vectors in
+double precision; components beyond about 1e150 overflow there.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ SHARD_ROWS = 8192
 QUERY_ROWS = 1 << 16
 LINKS = 16  # a node chooses so many; with links back it has at most twice as many
 BEAM = 320
-SEEDS = 16
+SEEDS = 64
 _BLOCK = 256
 _INDEX = "shard int, place int, vec_id long, vector array<double>, level int, links array<int>"
 _ROW = "shard int, part int, role int, place int, vec_id long, vector array<double>, level int, links array<int>"
@@ -39,8 +41,15 @@ _ROW = "shard int, part int, role int, place int, vec_id long, vector array<doub
 # --- one shard --------------------------------------------------------------------------------------------------
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """The same directions and order of inner products, with the largest component 1, so that single precision holds them."""
+    most = np.abs(x).max(initial=0.0)
+    return x / most if most > 0 else x
+
+
 def lengthened(x: np.ndarray) -> np.ndarray:
-    """Vectors with one more coordinate, all of equal length."""
+    """Vectors, scaled, with one more coordinate, all of equal length."""
+    x = scaled(x)
     square = (x * x).sum(axis=1)
     return np.column_stack((x, np.sqrt(np.maximum(square.max(initial=0.0) - square, 0.0)))).astype(np.float32)
 
@@ -108,17 +117,40 @@ def build(vectors: np.ndarray, ids: np.ndarray, links: int = LINKS) -> tuple[np.
     return level, tables
 
 
+def entries(x: np.ndarray, table: np.ndarray, seeds: int = SEEDS) -> np.ndarray:
+    """Places where a search begins: nodes far apart from each other, each the farthest from those before, and one of every part of
+    the graph that links do not lead to from there."""
+    n = len(x)
+    chosen, apart = [0] if n else [], np.full(n, np.inf)
+    while chosen and len(chosen) < min(n, seeds):
+        apart = np.minimum(apart, ((x - x[chosen[-1]]) ** 2).sum(axis=1))
+        chosen.append(int(apart.argmax()))
+    chosen = sorted(set(chosen))
+    reached, front = np.zeros(n, bool), np.array(chosen, np.int64)
+    while n:
+        while len(front):
+            reached[front] = True
+            near = np.unique(table[front])
+            near = near[near >= 0]
+            front = near[~reached[near]]
+        if reached.all():
+            break
+        chosen.append(int(reached.argmin()))
+        front = np.array(chosen[-1:])
+    return np.array(chosen, np.int64)
+
+
 class Graph:
     def __init__(self, vectors: np.ndarray, ids: np.ndarray, level: np.ndarray, flat: list[np.ndarray], width: int):
         self.exact, self.ids = vectors, ids
-        self.x = vectors.astype(np.float32)
+        self.x = scaled(vectors).astype(np.float32)
         n = len(vectors)
         self.neighbours = [np.full((n, width), -1, np.int32) for _ in range(int(level.max(initial=0)) + 1)]
         for i, row in enumerate(flat):
             for k, part in enumerate(row.reshape(-1, width)):
                 self.neighbours[k][i] = part
         self.top = np.flatnonzero(level == level.max(initial=0))[:_BLOCK]
-        self.seeds = np.unique(np.linspace(0, n - 1, min(n, SEEDS)).astype(np.int64))
+        self.seeds = entries(lengthened(vectors), self.neighbours[0])
 
     def _near(self, q: np.ndarray, places: np.ndarray) -> np.ndarray:
         value = np.einsum("qd,qpd->qp", q, self.x[places])
@@ -130,7 +162,8 @@ class Graph:
         return tuple(np.concatenate(x) for x in zip(*parts))
 
     def _block(self, queries: np.ndarray, k: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        q = queries.astype(np.float32)
+        most = np.abs(queries).max(axis=1, keepdims=True, initial=0.0)
+        q = (queries / np.where(most > 0, most, 1.0)).astype(np.float32)
         n, rows = len(self.x), np.arange(len(q))
         at = self.top[np.argmax(q @ self.x[self.top].T, axis=1)]
         value = self._near(q, at[:, None])[:, 0]

@@ -44,3 +44,46 @@ def test_copies_odd_vectors_and_ties(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in ann.nearest(few).collect()] == [(0, 1, 1, 0.5)]
     assert ann.nearest(frame.where("false")).collect() == []
+
+
+def shard(kind, n=8192, d=64):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(n, d))
+    if kind == "unequal":
+        x *= rng.lognormal(size=(n, 1))
+    elif kind == "huge":
+        x *= 1e25
+    elif kind.startswith("clusters"):
+        x += (rng.normal(size=(40, d)) * int(kind[8:]))[rng.integers(0, 40, n)]
+    return x, rng.choice(n, 300, replace=False)
+
+
+@pytest.mark.parametrize("kind", ["gauss", "unequal", "huge", "clusters1", "clusters5"])
+def test_recall_on_a_full_shard(kind):
+    """As registered: 8192 rows and a beam of 320. No query may miss half of its nearest, clusters far apart included."""
+    x, asked = shard(kind)
+    ids = np.arange(len(x))
+    level, tables = ann.build(x, ids)
+    at = [np.cumsum(level >= k) - 1 for k in range(len(tables))]
+    flat = [np.concatenate([tables[k][at[k][i]] for k in range(level[i] + 1)]) for i in ids]
+    places, _ = ann.Graph(x, ids, level, flat, 2 * ann.LINKS).search(x[asked], 20, ann.BEAM)
+    true = np.argsort(-(x[asked] @ x.T), axis=1)[:, :20]
+    found = np.array([len(set(a) & set(b)) / 20 for a, b in zip(places, true)])
+    assert found.mean() >= 0.95 and found.min() >= 0.5
+
+
+def test_entries_reach_every_part():
+    x = np.array([[0.0, 0], [0, 1], [50, 0], [51, 0], [0, 60], [1, 60]])
+    table = np.array([[1], [0], [3], [2], [5], [4]], np.int32)
+    found = ann.entries(x, table, seeds=1)
+    assert {int(p) // 2 for p in found} == {0, 1, 2}
+    assert list(ann.entries(x[:0], table[:0])) == []
+
+
+def test_huge_components(spark):
+    rng = random.Random(2)
+    rows = [(i, [rng.gauss(0, 1) * 1e30 for _ in range(8)]) for i in range(200)]
+    got = {}
+    for r in sorted(ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()):
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == {q: [v for v, _ in best] for q, best in brute(rows, 20, 20).items()}
