@@ -2,8 +2,9 @@
 
 A blob is one version of a text, addressed by its SHA-256. The ledger holds a row per blob and run: the rule versions that
 were applied to it and what they found. ``scan`` applies to each distinct blob only the rule versions that the ledger does
-not have for it, and returns the rows to append; ``report`` joins findings back to every row (path) that has the blob. Copies
-cost one scan, an unchanged corpus costs none, and a new rule version scans every blob once for that rule alone.
+not have for it, and returns the rows to append (``kept`` appends them to a stored ledger); ``report`` joins findings back to every
+row (path) that has the blob. Copies cost one scan, an unchanged corpus costs none, and a new rule version scans every blob once for
+that rule alone. A finding carries its rule's version; what an older version found is left out of reports.
 
 Positions are code points. Texts between matches are cut out by the same expression that finds the matches, and a running
 sum over both gives the places; only blobs with a match make such rows.
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MASK = "[secret]"
-_FOUND = "array<struct<rule:int,kind:string,start:int,end:int>>"
+_FOUND = "array<struct<rule:string,kind:string,start:int,end:int>>"
 LEDGER = f"blob binary, rules array<string>, found {_FOUND}"
 
 
@@ -40,8 +41,8 @@ class Rule:
 
 # A key reaches to its END line. Where that is missing, it takes what base64 follows: long runs, short ones that fill their
 # line or end in padding. Line ends may be written as escapes. Possessive throughout, so that long keys need no stack.
-_PEM_HEAD = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
-_PEM_END = r"(?:[^-]++|-(?!----))*+-----END [A-Z ]{0,40}PRIVATE KEY-----"
+_PEM_HEAD = r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+_PEM_END = r"(?:[^-]++|-(?!----))*+-----END [A-Z ]*PRIVATE KEY-----"
 _PEM_GAP = r"""(?:[\s"',+>|]|\\[rn])++"""
 _PEM_FIELD = rf"""{_PEM_GAP}(?:Proc-Type|DEK-Info|Key-Info|Comment|Version):(?:[^\r\n\\]|\\(?![rn]))*+"""
 _PEM_RUN = (
@@ -59,7 +60,7 @@ RULES = (
     # A run that is too short has no longer match inside, so the least length can stand in the pattern.
     Rule("access", r"AKIA[A-Z0-9]{12,}", base=True),
     Rule("hex", r"[0-9a-f]{32,}", base=True),
-    Rule("private_key", _PEM, version=2),
+    Rule("private_key", _PEM, version=3),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("url_login", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]*+:[^\s/:@]++@", version=2),
 )
@@ -106,26 +107,68 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ..
     rows = rows.withColumn("end", end)
     least = F.element_at(F.array(*[F.lit(r.least) for r in rules]), F.col("rule") + 1)
     kind = F.element_at(F.array(*[F.lit(r.kind) for r in rules]), F.col("rule") + 1)
+    name = F.element_at(names, F.col("rule") + 1)
     found = F.struct(
-        "rule", kind.alias("kind"), (F.col("end") - F.col("part.whole")).cast("int").alias("start"), F.col("end").cast("int")
+        name.alias("rule"), kind.alias("kind"), (F.col("end") - F.col("part.whole")).cast("int").alias("start"), F.col("end").cast("int")
     )
     found = F.when(F.col("part.whole").isNotNull() & (F.col("part.checked") >= least), found)
     return rows.groupBy("blob").agg(F.first("rules").alias("rules"), F.collect_list(found).cast(_FOUND).alias("found"))
 
 
-def _with_findings(keyed: DataFrame, ledger: DataFrame) -> DataFrame:
+def kept(docs: DataFrame, path: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The ledger stored at ``path``, after what ``docs`` have new for it was scanned and appended. Run again after a failure it
+    appends what is still due; a blob that two runs scanned at once is reported once."""
+    spark = docs.sparkSession
+    spark.createDataFrame([], LEDGER).write.mode("append").parquet(path)  # a first run finds an empty ledger
+    before = spark.read.schema(LEDGER).parquet(path)
+    scan(docs, before, rules).write.mode("append").parquet(path)
+    return spark.read.schema(LEDGER).parquet(path)
+
+
+def _newest(ledger: DataFrame) -> DataFrame:
+    """The ledger with a row per blob, and of every kind only what the newest version that the blob was scanned with has found."""
+    one = ledger.groupBy("blob").agg(F.flatten(F.collect_list("rules")).alias("rules"), F.flatten(F.collect_list("found")).alias("found"))
+
+    def version(name: Column) -> Column:
+        return F.substring_index(name, "@", -1).cast("int")
+
+    def replaced(s: Column) -> Column:
+        return F.exists("rules", lambda r: (F.concat(s["kind"], F.lit("@"), version(r).cast("string")) == r) & (version(r) > version(s["rule"])))
+
+    return one.withColumn("found", F.filter("found", lambda s: ~replaced(s)))
+
+
+def _present(ledger: DataFrame, rules: tuple[Rule, ...] | None) -> DataFrame:
+    """(blob, found) of the blobs with findings of the rules' own versions, or of the newest ones; ``rule`` becomes the place of its
+    kind among the rules, that of unknown kinds the place after."""
+    if rules is None:
+        ledger, rules = _newest(ledger), RULES
+    else:
+        names = F.array(*[F.lit(r.name) for r in rules])
+        ledger = ledger.withColumn("found", F.filter("found", lambda s: F.array_contains(names, s["rule"])))
+    kinds = F.array(*[F.lit(r.kind) for r in rules])
+
+    def place(s: Column) -> Column:
+        at = F.array_position(kinds, s["kind"])
+        return F.when(at > 0, at - 1).otherwise(len(rules)).cast("int")
+
+    own = F.transform("found", lambda s: F.struct(s["start"].alias("start"), place(s).alias("rule"), s["end"].alias("end"), s["kind"].alias("kind")))
+    return ledger.select("blob", own.alias("found")).where(F.array_size("found") > 0)
+
+
+def _with_findings(keyed: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] | None) -> DataFrame:
     """Rows with their blob in ``_own``, and what was found in it. The hash is a column before the join, so that texts which
     nobody needs afterwards are not shuffled."""
-    found = ledger.where(F.array_size("found") > 0).groupBy("blob").agg(F.flatten(F.collect_list("found")).alias("_found"))
-    order = F.transform("_found", lambda s: F.struct(s["start"], s["rule"], s["end"], s["kind"]))
-    found = found.select(F.col("blob").alias("_blob"), F.sort_array(F.array_distinct(order)).alias("found"))
+    found = _present(ledger, rules).groupBy("blob").agg(F.flatten(F.collect_list("found")).alias("_found"))
+    found = found.select(F.col("blob").alias("_blob"), F.sort_array(F.array_distinct("_found")).alias("found"))
     return keyed.join(found, F.col("_own") == F.col("_blob"), "left").drop("_own", "_blob")
 
 
-def report(docs: DataFrame, ledger: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with ``found``: the findings of their text in order of start, then of rule; null if none. A column
-    of that name is replaced."""
-    return _with_findings(docs.drop("found").withColumn("_own", blob_of()), ledger)
+def report(docs: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] | None = None) -> DataFrame:
+    """The rows of ``docs`` with ``found``: the findings of their text in order of start, then of rule; null if none. A column of that
+    name is replaced. Findings are those of the versions in ``rules``, by default those of the newest version that the ledger has
+    for the blob."""
+    return _with_findings(docs.drop("found").withColumn("_own", blob_of()), ledger, rules)
 
 
 def _joined(found: Column) -> Column:
@@ -136,7 +179,7 @@ def digest(docs: DataFrame) -> DataFrame:
     """Counts and digests of the base kinds, and all spans."""
     base = [r.kind for r in RULES if r.base]
     rows = docs.select("doc_id", "text")
-    rows = report(rows, scan(rows)).withColumn("found", F.coalesce("found", F.array().cast(_ordered())))
+    rows = report(rows, scan(rows), RULES).withColumn("found", F.coalesce("found", F.array().cast(_ordered())))
 
     def n(kind: str) -> Column:
         return F.array_size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -149,9 +192,9 @@ def _ordered() -> str:
     return "array<struct<start:int,rule:int,end:int,kind:string>>"
 
 
-def _cuts(ledger: DataFrame) -> DataFrame:
+def _cuts(ledger: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """(blob, cuts): the places of a text that findings cover, overlapping ones as one, in order."""
-    spans = ledger.select("blob", F.explode("found").alias("s")).select("blob", "s.start", "s.end")
+    spans = _present(ledger, rules).select("blob", F.explode("found").alias("s")).select("blob", "s.start", "s.end")
     by_place = Window.partitionBy("blob").orderBy("start", "end")
     before = F.max("end").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
     spans = spans.withColumn("apart", F.coalesce(F.col("start") >= before, F.lit(True)).cast("int"))
@@ -176,11 +219,11 @@ def _cut(text: Column, cuts: Column, mask: str) -> Column:
     return F.element_at(F.transform(F.array(F.encode(text, "UTF-32")), whole), 1)  # encoded once
 
 
-def redact(docs: DataFrame, mask: str = MASK, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``docs`` with the findings of every text that has any replaced by ``mask``, overlapping ones by one. A text without
+def redact(docs: DataFrame, mask: str = MASK, rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None) -> DataFrame:
+    """``docs`` (``ledger``: what :func:`kept` returned for them, or nothing, and they are scanned) with the findings of every text that has any replaced by ``mask``, overlapping ones by one. A text without
     findings and a null text stay as they are."""
     keyed = docs.select(F.struct(*docs.columns).alias("_all"), blob_of().alias("_own"))
-    cuts = _cuts(scan(docs, rules=rules)).select(F.col("blob").alias("_blob"), F.col("cuts").alias("_cuts"))
+    cuts = _cuts(scan(docs, rules=rules) if ledger is None else ledger, rules).select(F.col("blob").alias("_blob"), F.col("cuts").alias("_cuts"))
     rows = keyed.join(cuts, F.col("_own") == F.col("_blob"), "left")
     own = F.col("_all.text")
     text = F.when(F.col("_cuts").isNull(), own).otherwise(_cut(own, F.col("_cuts"), mask))
