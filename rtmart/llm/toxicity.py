@@ -3,13 +3,14 @@
 1. *Training rows.* At most ``TRAIN_ROWS`` labelled documents, those of least id hash, equal texts once. The lexicon and the weights of
    the score come from them; they are the only bounded sample here, every document is scored over its whole text.
 2. *Lexicon.* Words and word beginnings that occur in toxic training documents and hardly in others; a greedy cover takes
-   those that explain most toxic documents, each ``COVER`` times. Their number is at most ``LEXICON_TERMS``; the whole words
-   under a chosen beginning join them with its weight, so that their misspellings are found too.
+   those that explain most toxic documents, each ``COVER`` times, until none explains two more. The whole words under a chosen
+   beginning join them with its weight, so that their misspellings are found too. Only the training rows bound their number.
 3. *Matching.* The lexicon is a trie. It is intersected with Levenshtein automata (no edit up to 4 characters, one up to 8, two
    above; beginnings of words only as they are), and the product is made deterministic as texts ask for its states. Two
    neighbouring letters in each other's place count as one edit, and terms of 4 characters may have that or one other letter.
    Near words that harmless training documents use are no misspellings; only terms near many such words are matched exactly.
-4. *Context.* A hit inside quotation marks, within ``WINDOW`` words of both, counts a quarter; hits near each other strengthen one another.
+4. *Context.* A hit between the quotation marks of one paragraph, however long, counts a quarter; hits within ``WINDOW`` words of each
+   other strengthen one another.
 5. *Score.* Logistic regression on the sums.
 
 Defined results: null and empty texts have no hits and get the score of a text without any; without usable labels (none, or one
@@ -21,6 +22,7 @@ other columns stay in ``reject``.
 from __future__ import annotations
 
 import bisect
+import heapq
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -35,8 +37,6 @@ from rtmart.functions.sizing import broadcast_if_small
 from rtmart.llm import shared as S
 
 TRAIN_ROWS = 20_000
-LEXICON_TERMS = 1000
-CANDIDATES = 20_000
 COVER = 3
 WINDOW = 12
 QUOTED = 0.25
@@ -45,7 +45,7 @@ TOXIC_FROM = 0.3
 NEIGHBOURS = 4  # words of one harmless row near a term from which on it may be matched exactly only
 LEAST_WORTH = 2.0  # log of how much more common a term must be in toxic documents
 _WORD = re.compile(r"\w+")
-_QUOTES = re.compile("[\"“”„«»‹›]")
+_MARKS = re.compile("[\"“”„«»‹›]|\n[^\\S\n]*\n")
 CACHE_WORDS = 150_000
 STATES = 30_000
 
@@ -202,6 +202,26 @@ class Matcher:
         return len(words), out
 
 
+def quotations(text: str) -> list[tuple[int, int]]:
+    """(start, end) of what stands between an opening and the next closing quotation mark of the same paragraph.
+
+    A mark after a letter or digit opens nothing (an inch sign, an end without a beginning); a straight one before a space opens
+    nothing and after a space closes nothing but may open anew. What is not closed when the paragraph ends is no quotation.
+    """
+    spans: list[tuple[int, int]] = []
+    opened = None
+    for mark in _MARKS.finditer(text):
+        at, straight = mark.start(), mark[0] == '"'
+        if mark[0][0] == "\n":
+            opened = None
+        elif opened is not None and not (straight and text[at - 1].isspace()):
+            spans.append((opened, at))
+            opened = None
+        elif not (at and text[at - 1].isalnum()) and not (straight and text[at + 1 : at + 2].strip() == ""):
+            opened = at
+    return spans
+
+
 def features(matcher: Matcher, text: str, misspelled: bool = False) -> tuple[list[float], list[tuple[str, int, str]]]:
     """Sums over the hits of a text, and the hits: term, distance and word. ``misspelled``: as if every term that is found
     misspelled too stood there with one edit."""
@@ -210,11 +230,11 @@ def features(matcher: Matcher, text: str, misspelled: bool = False) -> tuple[lis
         hits = [(i, at, t, d or int(t in matcher.lenient), w) for i, at, t, d, w in hits]
     exact = near = best = 0.0
     places = [h[0] for h in hits]
-    low = text.lower() if hits else ""
+    spans = quotations(text.lower()) if hits else []
     for i, at, term, distance, _ in hits:
         weight = matcher.lexicon[term]
-        before, after = _QUOTES.findall(low[max(0, at - 8 * WINDOW) : at]), _QUOTES.search(low, at, at + 8 * WINDOW)
-        if len(before) % 2 and after:
+        span = bisect.bisect(spans, (at, at)) - 1
+        if span >= 0 and at < spans[span][1]:
             weight *= QUOTED
         company = min(8, bisect.bisect_right(places, i + WINDOW) - bisect.bisect_left(places, i - WINDOW) - 1)
         weight *= 1 + 0.1 * company
@@ -266,30 +286,47 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["term", "pos", "neg"])
 
 
-def cover(owned: list[list[str]], worth: dict[str, float], times: int = COVER, most: int = LEXICON_TERMS, least: int = 2) -> list[str]:
-    """Greedy choice of terms, each time the one that explains most of the documents not yet explained ``times`` times."""
+def cover(owned: list[list[str]], worth: dict[str, float], times: int = COVER, least: int = 2) -> list[str]:
+    """Greedy choice of terms, each time the one that explains most of the documents not yet explained ``times`` times, until
+    none explains ``least`` of them."""
     need = [times] * len(owned)
     holders: dict[str, list[int]] = {}
     for i, terms in enumerate(owned):
         for t in terms:
             holders.setdefault(t, []).append(i)
-    gain = {t: len(h) for t, h in holders.items()}
+    gain = {t: len(h) for t, h in holders.items() if len(h) >= least}
+    under: dict[str, list[str]] = {}
+    for t in gain:
+        word = t.rstrip("*")
+        for stem in {word[:n] + "*" for n in STEMS if len(word) >= n} - {t}:
+            under.setdefault(stem, []).append(t)
+
+    def place(t: str) -> tuple:
+        return -gain[t] * worth[t], t.endswith("*"), -len(t), t, gain[t]
+
+    queue = [place(t) for t in gain]
+    heapq.heapify(queue)
     chosen: list[str] = []
-    while gain and len(chosen) < most:
-        term = max(gain, key=lambda t: (gain[t] * worth[t], not t.endswith("*"), len(t), t))
-        if gain.pop(term) < least:
+    while queue:
+        *_, term, then = heapq.heappop(queue)
+        if term not in gain:
+            continue
+        if gain[term] < then:  # gains only fall, so an old place is never too late
+            heapq.heappush(queue, place(term))
             continue
+        del gain[term]
         chosen.append(term)
         # What begins with a chosen stem, and stems that a chosen word begins with, tell nothing new (``fit`` puts the words back).
-        word = term.rstrip("*")
-        for t in [t for t in gain if (t.startswith(word) if term != word else t[-1] == "*" and word.startswith(t[:-1]))]:
-            del gain[t]
+        for t in under.get(term, []) if term.endswith("*") else [term[:n] + "*" for n in STEMS]:
+            gain.pop(t, None)
         for i in holders[term]:
             need[i] -= 1
             if need[i] == 0:
                 for t in owned[i]:
                     if t in gain:
                         gain[t] -= 1
+                        if gain[t] < least:
+                            del gain[t]
     return chosen
 
 
@@ -305,8 +342,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     counted = counted.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     worth = F.log((F.col("pos") + 0.5) / (n_pos + 1)) - F.log((F.col("neg") + 0.5) / (n_neg + 1))
     telling = counted.where((F.col("pos") >= max(3, n_pos // 250)) & (worth >= LEAST_WORTH)).withColumn("worth", worth)
-    found = telling.orderBy(F.desc(F.col("pos") * F.col("worth")), "term").limit(CANDIDATES).collect()
-    values = {r["term"]: float(r["worth"]) for r in found}
+    values = {r["term"]: float(r["worth"]) for r in telling.collect()}  # terms of the bounded sample
     owned = (
         sample.where("toxic > 0").select("text")
         .mapInArrow(_owned_terms(frozenset(values)), "terms array<string>").collect()
@@ -343,7 +379,7 @@ def _words_under(counted: DataFrame, chosen: list[str], n_pos: int, n_neg: int)
         return {}
     begins = F.array(*[F.substring("term", 1, n) for n in STEMS])
     words = counted.where((F.col("pos") * n_neg > F.col("neg") * n_pos) & ~F.col("term").endswith("*"))
-    words = words.where(F.arrays_overlap(begins, F.lit(sorted(stems)))).orderBy(F.desc("pos"), "term").limit(CANDIDATES)
+    words = words.where(F.arrays_overlap(begins, F.lit(sorted(stems))))
     return {w: next(w[:n] for n in STEMS if w[:n] in stems) + "*" for (w,) in words.select("term").collect()}
 
 

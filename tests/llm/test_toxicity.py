@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -38,6 +39,95 @@ def test_automaton_against_edit_distances(seed):
             assert got == min(fits)[::-1], word
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_loose_matcher_against_edits_and_swaps(seed):
+    """The form that scores documents: also neighbours in each other's place, one other letter in terms of 4, usual words none."""
+    rng = random.Random(seed)
+    words = {"".join(rng.choice("abc") for _ in range(rng.randint(2, 11))) for _ in range(14)}
+    exact = frozenset(rng.sample(sorted(words), 3))
+    usual = frozenset("".join(rng.choice("abc") for _ in range(n)) for n in (4, 5, 6, 7))
+    stems = {"".join(rng.choice("abc") for _ in range(5)) + "*"}
+    matcher = tx.Matcher({t: 1.0 for t in words | stems}, exact, usual, loose=True)
+
+    def edits(word, t):
+        d = distance(word, t)
+        if t in exact or len(t) < 4 or not d:
+            return d if d == 0 else None
+        swapped = any(word == t[:i] + t[i + 1] + t[i] + t[i + 2 :] for i in range(len(t) - 1))
+        other = len(t) == len(word) == 4 and d == 1
+        if len(t) <= 8 and (swapped or other):
+            return 1
+        return d if d <= (len(t) > 4) + (len(t) > 8) else None
+
+    for _ in range(1500):
+        text = list(rng.choice(sorted(words)))
+        for _ in range(rng.randint(0, 2)):
+            at = rng.randrange(len(text))
+            text[at : at + 2] = rng.choice([text[at : at + 2][::-1], ["x", *text[at + 1 : at + 2]], text[at + 1 : at + 2], [*text[at : at + 2], "a"]])
+            text = text or ["a"]
+        word = "".join(text)
+        fits = [(d, t) for t in words if (d := edits(word, t)) is not None]
+        stem = [s for s in stems if word.startswith(s[:-1])]
+        want = min(fits)[::-1] if fits else None
+        if stem and (want is None or want[1]):
+            want = (stem[0], 0)
+        if want and want[1] and word in usual:
+            want = None
+        got = matcher.match(word)
+        assert got == want or (stem and got in [(s, 0) for s in stem] + [(t, 0) for d, t in fits if d == 0]), word
+
+
+def slow_features(lexicon, text, quoted):
+    """The sums for exact terms of a text of words and marks, straight from their definition; ``quoted`` tells the places of words."""
+    words = [w.strip('"') for w in text.split()]
+    places = [i for i, w in enumerate(words) if w in lexicon]
+    weights = [
+        lexicon[words[i]] * (tx.QUOTED if i in quoted else 1) * (1 + 0.1 * min(8, sum(abs(i - j) <= tx.WINDOW for j in places) - 1))
+        for i in places
+    ]
+    total = sum(weights)
+    return [math.log1p(total), 0.0, 10 * math.sqrt(total / max(len(words), 20)), max(weights, default=0.0), math.log1p(len({words[i] for i in places}))]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_features_against_their_definition(seed):
+    rng = random.Random(seed)
+    lexicon = {"moron": 1.0, "scum": 0.6, "idiot": 0.8}
+    matcher = tx.Matcher(lexicon)
+    for _ in range(60):
+        words, quoted, low = [rng.choice(["fine", "day", "road", "moron", "scum", "idiot"]) for _ in range(rng.randint(1, 90))], set(), 0
+        while low < len(words) and rng.random() < 0.7:
+            low = rng.randrange(low, len(words))
+            high = min(len(words) - 1, low + rng.randint(0, 40))
+            words[low] = '"' + words[low]
+            words[high] += '"'
+            quoted.update(range(low, high + 1))
+            low = high + 1
+        text = " ".join(words)
+        assert tx.features(matcher, text)[0] == pytest.approx(slow_features(lexicon, text, quoted)), text
+
+
+def test_quotations():
+    def inside(text):
+        return [text[a + 1 : b] for a, b in tx.quotations(text)]
+
+    assert inside('he said "a moron" once, then "b"') == ["a moron", "b"]
+    assert inside("« un mot » et „Wort“ und “word”") == [" un mot ", "Wort", "word"]
+    assert inside('a 5" pipe and a 6" pipe, no quotation') == []
+    assert inside('an "open one\n\nand a next" paragraph') == []
+    assert inside('an "open one before "this one" ends') == ["this one"]
+    assert inside("") == inside('"') == [] and inside('""') == [""]
+    long = 'they wrote "' + "plain words " * 500 + "moron" + " plain words" * 500 + '" once'
+    full = tx.features(tx.Matcher({"moron": 1.0}), long.replace('"', ""))[0]
+    assert tx.features(tx.Matcher({"moron": 1.0}), long)[0][3] == tx.QUOTED * full[3]
+
+
+def test_cover_without_a_limit():
+    owned = [[f"t{i}a", f"t{i}b"] for i in range(3000) for _ in range(2)] + [["once"], ["stem*", "stemmed"], ["stem*", "stemming"]]
+    chosen = tx.cover(owned, {t: 1.0 for terms in owned for t in terms})
+    assert len(chosen) == 6001 and "stem*" in chosen and not {"once", "stemmed", "stemming"} & set(chosen)
+
+
 def test_quotation_counts_less():
     matcher = tx.Matcher({"moron": 1.0})
     plain, quoted = (tx.features(matcher, t)[0] for t in ("you are a moron there", 'they wrote "a moron there" once'))
