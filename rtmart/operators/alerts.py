@@ -10,6 +10,9 @@
 3. ``facts``      – item and event counts of alerting windows.
 4. ``members``    – what an alert's document lists, a row per account, item and (slot, event), for alerts of any size; no
    task gathers a set of unknown size. ``documents`` makes arrays of them for the alerts that somebody asks to see.
+5. ``changes``    – what a reader of the documents has to put and to withdraw.
+
+``windowed`` is the same rule as a windowed aggregation, whose state on a stream is bounded by a watermark.
 """
 
 from __future__ import annotations
@@ -175,6 +178,62 @@ def last_per_minute(window_facts: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
+DOCUMENT_KEY = ["mid", "index_day", "doc_id"]
+DOCUMENT = ["window_start", "n_uids", "n_items", "n_events"]
+
+
+def minute_of(rule: Rule) -> Column:
+    """Number of the minute in which a window ends: the one its document is named after."""
+    return F.floor((F.col("window_start") + rule.window) / 60_000)
+
+
+def changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Rows ``mid, index_day, doc_id, change, window_start, n_uids, n_items, n_events`` that turn the documents ``before``
+    into ``after``, both as :func:`last_per_minute` gives them. ``change`` is ``put`` or ``withdraw``; a withdrawn document
+    keeps the window that it showed and has no figures. What stays as it is has no row."""
+    old, new = F.col("_old"), F.col("_new")
+    sides = [d.select(*DOCUMENT_KEY, F.struct(*DOCUMENT).alias(n)) for d, n in ((before, "_old"), (after, "_new"))]
+    differ = sides[0].join(sides[1], DOCUMENT_KEY, "full").where(~old.eqNullSafe(new))
+    return differ.select(
+        *DOCUMENT_KEY,
+        F.when(new.isNull(), "withdraw").otherwise("put").alias("change"),
+        F.coalesce(new["window_start"], old["window_start"]).alias("window_start"),
+        *[new[c].alias(c) for c in DOCUMENT[1:]],
+    )
+
+
+def windowed(events: DataFrame, rule: Rule, lateness: str = "10 minutes") -> DataFrame:
+    """``mid, window_start, n_uids, n_items, n_events`` of alerting windows, by two windowed aggregations in a row.
+
+    On a stream a window comes out once, when the watermark has passed its end; state holds a row per open window and
+    account, item or event name in it, and goes with the window. Events later than ``lateness`` are dropped and counted
+    (:func:`rtmart.streaming.jobs.late_rows`). Every event is copied into the windows it belongs to, which the tiles of
+    :func:`candidates` avoid; take this form where state must be bounded.
+    """
+    coupon = F.col("evid") == COUPON
+
+    def row(kind: str, member: str) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.col(member).alias("member"))
+
+    listed = F.array_compact(
+        F.array(row("event", "evid"), F.when(coupon, row("uid", "uid")), F.when(coupon, row("item", "itemid")))
+    )
+    timed = events.withColumn("_at", F.timestamp_millis("ts")).withWatermark("_at", lateness)
+    rows = timed.select("mid", "_at", F.explode(listed).alias("m"))
+    span = F.window("_at", f"{rule.window_s} seconds", f"{rule.slide_s} seconds").alias("window")
+    members_ = rows.groupBy(span, "mid", F.col("m.kind").alias("kind"), F.col("m.member").alias("member"))
+    counted = members_.agg(F.count(F.lit(1)).alias("n"))
+    kind = F.col("kind")
+    whole = counted.groupBy("window", "mid").agg(
+        F.count(F.when(kind == "uid", 1)).alias("n_uids"),
+        F.count(F.when(kind == "item", 1)).alias("n_items"),
+        F.sum(F.when(kind == "event", F.col("n")).otherwise(0)).alias("n_events"),
+        F.max((kind == "event") & F.col("member").eqNullSafe(CLICK)).alias("clicked"),
+    )
+    alerting = alerts(whole.where(F.col("n_uids") >= rule.min_accounts))
+    return alerting.select("mid", F.unix_millis("window.start").alias("window_start"), "n_uids", "n_items", "n_events")
+
+
 MEMBER = ["kind", "slot", "member"]
 
 

@@ -136,13 +136,13 @@ def _rates(source: str) -> str:
               CAST({OLD} AS DOUBLE) AS from_30 FROM {source})"""
 
 
-def _windows(rule) -> str:
+def _windows(rule, source: str = "event_log") -> str:
     """CTEs ``w`` (event, window) and ``facts`` for a rule."""
     w, s, slot = rule.window, rule.slide, rule.slot
     return f""", w AS (
             SELECT mid, uid, itemid, evid, ts - ts % {slot} AS slot,
                    unnest(generate_series((((ts - {w}) // {s}) + 1) * {s}, (ts // {s}) * {s}, {s})) AS window_start
-            FROM event_log),
+            FROM {source}),
         facts AS (
             SELECT mid, window_start, count(DISTINCT uid) FILTER (WHERE evid = 'coupon') AS n_uids,
                    count(DISTINCT itemid) FILTER (WHERE evid = 'coupon') AS n_items, count(*) AS n_events
@@ -334,6 +334,11 @@ def oracle_sql() -> dict[str, str]:
         "age_share": _with(sales, f"SELECT total, under_20, from_20_to_30, from_30 FROM ({_rates('sales')})"),
         "coupon_alerts": _with("event_log", _windows(HOURLY) + " SELECT * FROM facts"),
         "coupon_alerts_5min": _with("event_log", _windows(DEFAULT_RULE) + " SELECT * FROM facts"),
+        "coupon_alerts_dense": _with(
+            "event_log",
+            ", fast AS (SELECT * REPLACE (ts - ts % 86400000 + ts % 86400000 // 12 AS ts) FROM event_log)"
+            + _windows(DEFAULT_RULE, "fast") + " SELECT * FROM facts",
+        ),
         "coupon_alert_documents": _with("event_log", _windows(HOURLY) + DOCUMENTS + " SELECT * FROM listed"),
         "coupon_alerts_per_minute": _with("event_log", _windows(MINUTES) + LAST_PER_MINUTE + " SELECT * FROM last"),
         "coupon_minute_documents": _with(
@@ -342,6 +347,16 @@ def oracle_sql() -> dict[str, str]:
             + " SELECT l.*, t.index_day, t.doc_id FROM listed l JOIN last t USING (mid, window_start)",
         ),
         "coupon_alert_stream": _with("event_log", _windows(HOURLY) + DOCUMENTS + " SELECT * FROM listed"),
+        "coupon_change_feed": _with(
+            "event_log",
+            _windows(MINUTES) + DOCUMENTS + LAST_PER_MINUTE
+            + " SELECT l.*, t.index_day, t.doc_id FROM listed l JOIN last t USING (mid, window_start)",
+        ),
+        "coupon_alert_windows_stream": _with(
+            "event_log",
+            _windows(HOURLY)
+            + f" SELECT * FROM facts WHERE window_start + {HOURLY.window} <= (SELECT max(ts) FROM event_log) - 600000",
+        ),
         "user_latest": _with("user_info user_latest", "SELECT * FROM user_latest"),
         "user_stream": _with(
             "user_info user_latest", "SELECT id, login_name, user_level, birthday, gender FROM user_latest"

@@ -184,7 +184,7 @@ class Job:
     tables: dict[str, KeyedTable]
     required: tuple[str, ...] = ()
     within: dict[str, tuple[int, int]] | None = None
-    merged: bool = True
+    added_up: tuple[str, ...] = ()  # tables whose rows are added up by the reader, so that they cannot be merged
 
 
 def lines_batch(job: Job, refused: KeyedTable, figures: KeyedTable | None = None) -> Callable[[DataFrame, int], None]:
@@ -213,8 +213,8 @@ def start_job(
     """Run a job on topic records, with its refused lines and, if asked for, its figures kept beside its tables."""
     for table in (*job.tables.values(), refused, *([figures] if figures else [])):
         table.create(records.sparkSession)
-    handle = lines_batch(job, refused, figures)
-    return run_batches(records, checkpoint, merging(handle, *job.tables.values()) if job.merged else handle, job.name, **trigger)
+    handle = merging(lines_batch(job, refused, figures), *[t for n, t in job.tables.items() if n not in job.added_up])
+    return run_batches(records, checkpoint, handle, job.name, **trigger)
 
 
 def dau_job(table: KeyedTable) -> Job:
@@ -250,8 +250,8 @@ def alert_job(tables: AlertTables, rule: A.Rule = A.Rule()) -> Job:
     def shape(logs: DataFrame) -> DataFrame:
         return with_log_day(logs.drop("timestamp", "offset"))
 
-    own = {"slots": tables.slots, "windows": tables.facts, "documents": tables.documents}
-    return Job("alerts", S.EVENT_LOG, shape, alert_batch(tables, rule), own, ("mid", "ts"), READABLE, merged=False)
+    own = {"slots": tables.slots, "windows": tables.facts, "documents": tables.documents, "changes": tables.feed}
+    return Job("alerts", S.EVENT_LOG, shape, alert_batch(tables, rule), own, ("mid", "ts"), READABLE, ("slots",))
 
 
 # --- orders -----------------------------------------------------------------------------------------------------
@@ -611,7 +611,11 @@ HOUR_MS = 3_600_000
 
 
 class AlertTables:
-    """Slots, judged windows and alert documents of one alert job, in partitions of ``grain_ms``."""
+    """Slots, judged windows, alert documents and their changes of one alert job, in partitions of ``grain_ms``.
+
+    The last judgement of a window counts, and events are only ever added, so a later list of its members holds every earlier one:
+    all tables but the slots, which are added up, give the last row per key and can be merged.
+    """
 
     def __init__(self, path: str, grain_ms: int = HOUR_MS):
         self.grain_ms = grain_ms
@@ -623,13 +627,18 @@ class AlertTables:
         doc = T.StructType.fromDDL(
             "mid string, window_start bigint, kind string, slot bigint, member string, n bigint, bucket bigint"
         )
+        change = T.StructType.fromDDL(
+            "mid string, index_day string, doc_id string, change string, window_start bigint, n_uids bigint, "
+            "n_items bigint, n_events bigint, bucket bigint"
+        )
         key = ("mid", "window_start")
         self.slots = KeyedTable(f"{path}/slots", slot, ("mid", "slot", "evid", "uid", "itemid"), "bucket")
         self.facts = KeyedTable(f"{path}/facts", fact, key, "bucket")
         self.documents = KeyedTable(f"{path}/documents", doc, (*key, *A.MEMBER), "bucket")
+        self.feed = KeyedTable(f"{path}/changes", change, tuple(A.DOCUMENT_KEY), "bucket")
 
     def create(self, spark: SparkSession) -> "AlertTables":
-        for table in (self.slots, self.facts, self.documents):
+        for table in (self.slots, self.facts, self.documents, self.feed):
             table.create(spark)
         return self
 
@@ -642,6 +651,9 @@ def alert_batch(tables: AlertTables, rule: A.Rule) -> Callable[[DataFrame, int],
     windows of two of them judged, so one late event costs its own device's hour and nobody else's. A window that was an
     alert and has got a late click is written again as clicked and so stops being one: the result does not depend on
     arrival order.
+
+    The same batch tells what has changed in the documents of the minutes it touched: their judgements of earlier batches are
+    compared with those that hold now, a row per document put or withdrawn.
     """
 
     grain, window = tables.grain_ms, rule.window
@@ -679,6 +691,21 @@ def alert_batch(tables: AlertTables, rule: A.Rule) -> Callable[[DataFrame, int],
             tables.facts.write(bucketed(rows, "window_start"), batch_id)
             docs = A.members(figures, slot_rows, rule)
             tables.documents.write(bucketed(docs, "window_start"), batch_id)
+            write_changes(windows, batch_id)
+
+    def write_changes(windows: DataFrame, batch_id: int) -> None:
+        minute = A.minute_of(rule)
+        ends = windows.agg(F.min(minute).alias("low"), F.max(minute).alias("high")).first()
+        if ends["low"] is None:
+            return
+        low, high = ends["low"] * 60_000 - window, ends["high"] * 60_000 + 59_999 - window
+        known = tables.facts.batches(windows.sparkSession, batch_id + 1, (low // grain, high // grain)).drop("bucket")
+        known = known.where(F.col("window_start").between(low, high)).withColumn("minute", minute)
+        touched = windows.select("mid", minute.alias("minute"))
+        with _Held(lookups.narrowed(known, touched, ["mid", "minute"]).drop("minute")) as known:
+            states = [A.last_per_minute(last_judged(rows).drop(BATCH), rule) for rows in (known.where(F.col(BATCH) < batch_id), known)]
+            rows = A.changes(*states).withColumn("bucket", F.floor(A.minute_of(rule) * 60_000 / grain))
+            tables.feed.write(rows, batch_id)
 
     return handle
 
@@ -686,23 +713,62 @@ def alert_batch(tables: AlertTables, rule: A.Rule) -> Callable[[DataFrame, int],
 def start_alerts(events: DataFrame, tables: AlertTables, checkpoint: str, rule: A.Rule = A.Rule(), **trigger):
     """``events`` are event logs with ``mid, ts, evid, uid, itemid``."""
     tables.create(events.sparkSession)
-    return run_batches(events, checkpoint, alert_batch(tables, rule), "alerts", **trigger)
+    handle = merging(alert_batch(tables, rule), tables.facts, tables.documents, tables.feed)
+    return run_batches(events, checkpoint, handle, "alerts", **trigger)
 
 
 def event_logs(records: DataFrame) -> DataFrame:
     return with_log_day(decode_json(records, S.EVENT_LOG, required=("mid", "ts"), within=READABLE))
 
 
-def current_alerts(spark: SparkSession, tables: AlertTables) -> DataFrame:
+def last_judged(judgements: DataFrame) -> DataFrame:
     """Alerting windows by their last judgement, with ``batch``."""
-    judged = latest.latest_per_key(tables.facts.batches(spark), ["mid", "window_start"], [BATCH])
-    return A.alerts(judged).drop("bucket")
+    return A.alerts(latest.latest_per_key(judgements, ["mid", "window_start"], [BATCH]))
+
+
+def current_alerts(spark: SparkSession, tables: AlertTables) -> DataFrame:
+    """Alerting windows of now, with ``batch``."""
+    return last_judged(tables.facts.batches(spark)).drop("bucket")
 
 
 def current_documents(spark: SparkSession, tables: AlertTables) -> DataFrame:
-    """The members of the current alerts: those written together with the last judgement."""
-    docs = tables.documents.batches(spark).drop("bucket")
-    return docs.join(current_alerts(spark, tables), ["mid", "window_start", BATCH]).drop(BATCH)
+    """The members of the current alerts as their last judgement lists them."""
+    docs = tables.documents.latest(spark).drop("bucket")
+    return docs.join(current_alerts(spark, tables).drop(BATCH), ["mid", "window_start"])
+
+
+def alert_changes(spark: SparkSession, tables: AlertTables, after: int = -1) -> DataFrame:
+    """Documents put and withdrawn by the batches after ``after``, with ``batch``: a row per document and batch, to be applied by batch.
+
+    Batches that have been merged give a document's last change only. A reader keeps the highest batch it has applied.
+    """
+    return tables.feed.batches(spark).where(F.col(BATCH) > after).drop("bucket")
+
+
+def fed_documents(spark: SparkSession, tables: AlertTables) -> DataFrame:
+    """The documents that all changes so far leave, with the members of each."""
+    put = tables.feed.latest(spark).where(F.col("change") == "put").select(*A.DOCUMENT_KEY, "window_start")
+    docs = tables.documents.latest(spark).select("mid", "window_start", *A.MEMBER, "n")
+    return put.join(docs, ["mid", "window_start"])
+
+
+def alert_windows_table(path: str) -> KeyedTable:
+    schema = T.StructType.fromDDL("mid string, window_start bigint, n_uids bigint, n_items bigint, n_events bigint")
+    return KeyedTable(path, schema, ("mid", "window_start"))
+
+
+def start_alert_windows(
+    events: DataFrame, table: KeyedTable, checkpoint: str, rule: A.Rule = A.Rule(), lateness: str = "10 minutes", **trigger
+) -> StreamingQuery:
+    """Alerting windows with bounded state, each once its end is ``lateness`` past; :func:`start_alerts` has no such limit."""
+    table.create(events.sparkSession)
+    return run_batches(A.windowed(events, rule, lateness), checkpoint, table.write, "alert_windows", **trigger)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the watermark dropped, over the query's kept progress reports; a stateful step counts its input rows, which
+    Spark has merged per key and task before."""
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
 
 
 def minute_documents(spark: SparkSession, tables: AlertTables, rule: A.Rule = A.Rule()) -> DataFrame:

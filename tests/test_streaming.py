@@ -2,6 +2,7 @@
 
 import json
 import random
+from datetime import UTC, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -351,6 +352,99 @@ def test_alert_stream_equals_rule_whatever_the_order(spark, tmp_path, in_order):
     assert len({(r.index_day, r.doc_id) for r in minutes}) == len(got)
 
 
+def figures(rows, rule):
+    """The documents of the events so far: (mid, minute of the end) to (start, accounts, items, events) of the last window."""
+    out = {}
+    for (mid, start), (uids, items, events) in sorted(brute(rows, rule).items()):
+        end = datetime.fromtimestamp((start + rule.window) / 1000, UTC)
+        out[(mid, f"{end:%Y-%m-%d}", f"{mid}-{end:%H:%M}")] = (start, len(uids), len(items), len(events))
+    return out
+
+
+def test_changes_applied_in_order_give_the_documents(spark, tmp_path):
+    """Events in mixed order over six batches; windows end twice a minute, and hours begin a new folder."""
+    rng = random.Random(11)
+    rule = A.Rule(window_s=300, slide_s=30)
+    rows = []
+    for _ in range(120):
+        kind = "clickItem" if rng.random() < 0.12 else rng.choice(["coupon", "coupon", "coupon", "addCart"])
+        rows.append((rng.choice("mn"), str(rng.randrange(6)), str(rng.randrange(9)), kind, T0 + rng.randrange(2_700_000, 4_500_000)))
+    tables = jobs.AlertTables(str(tmp_path / "tables")).create(spark)
+    handle = jobs.alert_batch(tables, rule)
+    shown, kinds, feed = {}, set(), ("mid", "index_day", "doc_id", "change", *A.DOCUMENT)
+    for n in range(6):
+        batch = spark.createDataFrame(rows[n * 20 : n * 20 + 20], "mid string, uid string, itemid string, evid string, ts bigint")
+        handle(batch, n)
+        changed = as_set(jobs.alert_changes(spark, tables, n - 1), *feed)
+        if n == 4:
+            handle(batch, n)  # run again
+            assert as_set(jobs.alert_changes(spark, tables, n - 1), *feed) == changed
+        for mid, day, doc, change, *row in changed:
+            kinds.add(change)
+            key = (mid, day, doc)
+            if change == "put":
+                assert shown.get(key) != tuple(row)
+                shown[key] = tuple(row)
+            else:
+                assert shown.pop(key)[0] == row[0] and row[1:] == [None] * 3
+        assert shown == figures(rows[: n * 20 + 20], rule)
+    assert kinds == {"put", "withdraw"} and shown
+    want = as_set(jobs.minute_documents(spark, tables, rule), "mid", "window_start", "index_day", "doc_id", *A.MEMBER, "n")
+    for table in (None, tables.facts, tables.documents, tables.feed):
+        if table:
+            table.merge(spark, 5, most=1)
+        for docs in (jobs.fed_documents(spark, tables), jobs.minute_documents(spark, tables, rule)):
+            assert as_set(docs, "mid", "window_start", "index_day", "doc_id", *A.MEMBER, "n") == want and want
+
+
+def test_a_merged_alert_job_goes_on(spark, tmp_path):
+    """A click that comes after the merge withdraws an alert judged before it."""
+    tables = jobs.AlertTables(str(tmp_path / "tables")).create(spark)
+    rule = A.Rule(window_s=300, slide_s=300)
+    handle = jobs.merging(jobs.alert_batch(tables, rule), tables.facts, tables.documents, tables.feed, every=2)
+    schema = "mid string, uid string, itemid string, evid string, ts bigint"
+    for n, uid in enumerate("abcd"):
+        handle(spark.createDataFrame([("m", uid, "i", "coupon", T0 + n)], schema), n)
+    assert jobs.fed_documents(spark, tables).where("kind = 'uid'").count() == 4
+    handle(spark.createDataFrame([("m", "a", "i", "clickItem", T0 + 9)], schema), 4)
+    assert [r.change for r in jobs.alert_changes(spark, tables, 3).collect()] == ["withdraw"]
+    assert jobs.fed_documents(spark, tables).count() == 0 and jobs.current_alerts(spark, tables).count() == 0
+
+
+def test_windows_with_bounded_state(spark, tmp_path):
+    """In order, the windowed form gives what the rule says of every window that the watermark has passed; its state stays flat and
+    rows that come too late are counted."""
+    rng = random.Random(3)
+    rule = A.Rule(window_s=300, slide_s=60)
+    rows = sorted(
+        ((rng.choice("mn"), rng.choice([None, *"abcde"]), str(rng.randrange(5)), rng.choice(["coupon"] * 8 + ["clickItem", None]),
+          T0 + rng.randrange(7_200_000)) for _ in range(240)),
+        key=lambda r: r[4],
+    )
+    table, state, late = jobs.alert_windows_table(str(tmp_path / "table")), [], 0
+
+    def step(part):
+        put(spark, tmp_path / "topics", S.TOPIC_EVENT, [({"mid": m, "uid": u, "itemid": i, "evid": e, "ts": t}, 0, 0) for m, u, i, e, t in part])
+        logs = jobs.event_logs(stream(spark, tmp_path / "topics", S.TOPIC_EVENT))
+        query = jobs.start_alert_windows(logs, table, str(tmp_path / "cp"), rule, "2 minutes", state_partitions=2, **NOW)
+        jobs.finish(query, 180)
+        state.append(sum(s["numRowsTotal"] for s in query.lastProgress["stateOperators"]))
+        return jobs.late_rows(query)
+
+    for low in range(0, 240, 40):
+        late += step(rows[low : low + 40])
+    passed = rows[-1][4] - 120_000
+    want = {
+        (mid, start, len(uids), len(items), len(events))
+        for (mid, start), (uids, items, events) in brute(rows, rule).items() if start + rule.window <= passed
+    }
+    columns = ("mid", "window_start", "n_uids", "n_items", "n_events")
+    assert want and as_set(table.latest(spark), *columns) == want and late == 0
+    assert max(state[1:]) <= 2 * state[0]
+    assert step([("m", "z", "9", "coupon", T0)]) > 0
+    assert as_set(table.latest(spark), *columns) == want
+
+
 # --- ingestion --------------------------------------------------------------------------------------------------
 
 
