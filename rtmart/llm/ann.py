@@ -303,10 +303,13 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def nodes(rows: DataFrame, copies: int) -> DataFrame:
-    """(vec_id, vector, node): the smallest ids of each distinct vector, and the smallest one of all as its node."""
+    """(vec_id, vector, node): the smallest ids of each distinct vector, and the smallest one of all as its node.
+
+    The rank limit works before the shuffle, so a vector with very many copies costs ``copies`` rows per task.
+    """
     by = Window.partitionBy("vector").orderBy("vec_id")
-    ranked = rows.distinct().withColumns({"rank": F.row_number().over(by), "node": F.min("vec_id").over(Window.partitionBy("vector"))})
-    return ranked.where(F.col("rank") <= copies).select("vec_id", "vector", "node")
+    least = rows.distinct().withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= copies)
+    return least.select("vec_id", "vector", F.min("vec_id").over(Window.partitionBy("vector")).alias("node"))
 
 
 def index(distinct: DataFrame, shards: int, links: int = LINKS) -> DataFrame:

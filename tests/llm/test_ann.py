@@ -87,3 +87,15 @@ def test_huge_components(spark):
     for r in sorted(ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()):
         got.setdefault(r.query_id, []).append(r.vec_id)
     assert got == {q: [v for v, _ in best] for q, best in brute(rows, 20, 20).items()}
+
+
+def test_copies_are_limited_before_the_shuffle(spark):
+    """A third of all rows equal: every task sends the least ids of the vector only, and its node is the least of all."""
+    rows = [(i, [1.0, 2.0]) for i in range(300)] + [(i, [float(i), 1.0]) for i in range(300, 900)]
+    frame = spark.createDataFrame(rows, "vec_id long, vector array<double>").repartition(4)
+    got = ann.nodes(frame, 3)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    limits = [x for x in plan.splitlines() if "WindowGroupLimit" in x]
+    assert len(limits) == 2 and any("Partial" in x for x in limits) and plan.count("min(vec_id") == 1
+    copies = sorted((r.vec_id, r.node) for r in got.collect() if r.vec_id < 300)
+    assert copies == [(0, 0), (1, 0), (2, 0)] and got.count() == 603
