@@ -110,6 +110,7 @@ def start_rejects(
 # --- active devices ---------------------------------------------------------------------------------------------
 
 STARTUP_REQUIRED = ("mid", "ts")
+NAMED_DAYS = 400  # up to so many days of a batch are named to the scan one by one; more are read from the first to the last
 READABLE = {"ts": (0, 253_402_300_799_999)}  # epoch milliseconds up to the year 9999; other units are not guessed
 
 
@@ -123,8 +124,8 @@ def dau_table(path: str) -> KeyedTable:
 def dau_batch(table: KeyedTable) -> Callable[[DataFrame, int], None]:
     """First start per device and day in the batch, less what earlier batches hold.
 
-    The table is also the record of seen devices. Of it only the key columns are read, only for the days of the
-    batch and only from earlier batches, so running a batch again gives the same rows. It is narrowed to the
+    The table is also the record of seen devices. Of it only the key columns are read, only for the days that the
+    batch has starts of and only from earlier batches, so running a batch again gives the same rows. It is narrowed to the
     batch's devices before the anti join, which keeps a large record of the day out of the shuffle.
     """
 
@@ -134,6 +135,9 @@ def dau_batch(table: KeyedTable) -> Callable[[DataFrame, int], None]:
             if days["low"] is None:
                 return
             earlier = table.batches(batch.sparkSession, batch_id, (days["low"], days["high"]))
+            named = [r[0] for r in firsts.select("logDate").distinct().limit(NAMED_DAYS + 1).collect()]
+            if len(named) <= NAMED_DAYS:
+                earlier = earlier.where(F.col("logDate").isin(named))
             seen = lookups.narrowed(earlier.select(*D.DEVICE_DAY), firsts, D.DEVICE_DAY)
             table.write(D.unseen(firsts, seen), batch_id)
 

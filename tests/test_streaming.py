@@ -158,6 +158,29 @@ def test_dau_batch_again_changes_nothing(spark, tmp_path):
     assert as_set(table.batches(spark), "mid", "ts", "batch") == before
 
 
+def test_late_start_reads_its_own_day_only(spark, tmp_path, monkeypatch):
+    """A start of 30 days ago beside one of today: the days between are not read, and beyond the named days nothing is lost."""
+    table = jobs.dau_table(str(tmp_path / "dau")).create(spark)
+    handle, day = jobs.dau_batch(table), 86_400_000
+
+    def starts(*rows):
+        frame = spark.createDataFrame([(m, "u", T0 + d * day) for m, d in rows], STARTS)
+        missing = [f.name for f in table.schema if f.name not in ("mid", "uid", "ts", "logDate", "logHour")]
+        return with_log_day(frame).withColumns({c: F.lit(None).cast("string") for c in missing})
+
+    handle(starts(*[("a", d) for d in range(31)]), 0)
+    read, narrowed = [], jobs.lookups.narrowed
+    monkeypatch.setattr(jobs.lookups, "narrowed", lambda seen, *rest: read.append({r.logDate for r in seen.collect()}) or narrowed(seen, *rest))
+    handle(starts(("a", 0), ("b", 0), ("a", 30)), 1)
+    assert read == [{"2024-01-01", "2024-01-31"}]
+    monkeypatch.setattr(jobs, "NAMED_DAYS", 1)
+    handle(starts(("c", 0), ("a", 0), ("b", 0), ("b", 30)), 2)
+    assert len(read[1]) == 31
+    got = as_set(table.batches(spark), "mid", "logDate", "batch")
+    assert {x for x in got if x[2] == 1} == {("b", "2024-01-01", 1)}
+    assert {x for x in got if x[2] == 2} == {("c", "2024-01-01", 2), ("b", "2024-01-31", 2)}
+
+
 def test_dau_bounded(spark, tmp_path):
     rows = [start(m, "1", ms) for m, ms in [("a", 0), ("a", 1), ("b", 5), ("a", 86_400_000)]]
     put(spark, tmp_path / "topics", S.TOPIC_START, [(r, 0, i) for i, r in enumerate(rows)])
