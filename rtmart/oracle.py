@@ -347,7 +347,7 @@ def oracle_sql() -> dict[str, str]:
             + " SELECT l.*, t.index_day, t.doc_id FROM listed l JOIN last t USING (mid, window_start)",
         ),
         "coupon_alert_stream": _with("event_log", _windows(HOURLY) + DOCUMENTS + " SELECT * FROM listed"),
-        "coupon_change_feed": _with(
+        "coupon_change_feed_stream": _with(
             "event_log",
             _windows(MINUTES) + DOCUMENTS + LAST_PER_MINUTE
             + " SELECT l.*, t.index_day, t.doc_id FROM listed l JOIN last t USING (mid, window_start)",

@@ -534,7 +534,7 @@ def coupon_alert_stream(spark, sf_dir):
 
 
 @_query
-def coupon_change_feed(spark, sf_dir):
+def coupon_change_feed_stream(spark, sf_dir):
     """Documents per device and minute as their changes leave them: events come in mixed order, so late clicks withdraw some."""
     folder = run_folder(spark, "alert-changes")
     logs = V.event_log(spark, sf_dir).select("mid", "uid", "itemid", "evid", "ts")
