@@ -26,13 +26,23 @@ def full_outer(orders: DataFrame, lines: DataFrame) -> DataFrame:
     return with_lines.unionByName(lone, allowMissingColumns=True)
 
 
-def sale_rows(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    """Sale rows without the user: every pair of an order and one of its lines."""
-    o = orders.select(
+def _order_side(orders: DataFrame) -> DataFrame:
+    return orders.select(
         F.col("id").alias("_order"), "order_status", "create_time", "user_id", F.col("create_date").alias("dt")
     )
-    d = lines.select(F.col("id").alias("order_detail_id"), "order_id", "sku_id", "sku_name", "order_price")
-    return sale_columns(o.join(d, F.col("_order") == F.col("order_id")))
+
+
+def _line_side(lines: DataFrame) -> DataFrame:
+    return lines.select(F.col("id").alias("order_detail_id"), "order_id", "sku_id", "sku_name", "order_price")
+
+
+def _price() -> Column:
+    return F.col("order_price").try_cast("double")
+
+
+def sale_rows(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Sale rows without the user: every pair of an order and one of its lines."""
+    return sale_columns(_order_side(orders).join(_line_side(lines), F.col("_order") == F.col("order_id")))
 
 
 def sale_columns(pairs: DataFrame) -> DataFrame:
@@ -44,7 +54,7 @@ def sale_columns(pairs: DataFrame) -> DataFrame:
         "create_time",
         "user_id",
         "sku_id",
-        F.col("order_price").try_cast("double").alias("sku_price"),
+        _price().alias("sku_price"),
         "sku_name",
         "dt",
     )
@@ -58,14 +68,25 @@ def user_dimension(cached: DataFrame, stored: DataFrame) -> DataFrame:
     return cached.select(*fields).unionByName(extra)
 
 
-def with_user(sales: DataFrame, users: DataFrame, asof: Column) -> DataFrame:
-    """Add gender, age and level. A sale whose user is unknown stays, with age 0."""
+def _with_user_columns(rows: DataFrame, users: DataFrame, asof: Column) -> DataFrame:
     u = users.select(
         F.col("id").alias("_user"),
         F.col("gender").alias("user_gender"),
         F.col("user_level"),
         age_years(F.col("birthday"), asof).alias("user_age"),
     )
-    joined = sales.join(u, F.col("user_id") == F.col("_user"), "left")
-    joined = joined.withColumn("user_age", F.coalesce(F.col("user_age"), F.lit(0)))
-    return joined.select(*SALE_DETAIL.fieldNames())
+    joined = rows.join(u, F.col("user_id") == F.col("_user"), "left")
+    return joined.withColumn("user_age", F.coalesce(F.col("user_age"), F.lit(0))).drop("_user")
+
+
+def with_user(sales: DataFrame, users: DataFrame, asof: Column) -> DataFrame:
+    """Add gender, age and level. A sale whose user is unknown stays, with age 0."""
+    return _with_user_columns(sales, users, asof).select(*SALE_DETAIL.fieldNames())
+
+
+def wide_rows(orders: DataFrame, lines: DataFrame, users: DataFrame, asof: Column) -> DataFrame:
+    """:func:`with_user` of :func:`sale_rows`, by joining the user to the order: the lines, several to an order and the most rows of
+    all, are then shuffled once and not again by user."""
+    placed = _with_user_columns(_order_side(orders), users, asof)
+    pairs = placed.join(_line_side(lines), F.col("_order") == F.col("order_id"))
+    return pairs.withColumn("sku_price", _price()).select(*SALE_DETAIL.fieldNames())

@@ -158,3 +158,25 @@ def test_province_steps(spark, n, step):
 
 def test_upper_columns(spark):
     assert orders.upper_columns(dau(spark, ("a", "b", "c"))).columns == ["MID", "LOGDATE", "LOGHOUR"]
+
+
+def test_wide_rows_join_the_user_before_the_lines(spark):
+    """The same rows as :func:`with_user` of :func:`sale_rows`, copies and missing ids included; no join takes the lines by user."""
+    placed = spark.createDataFrame(
+        [("1", "u1"), ("1", "u1"), ("2", "u2"), ("3", None), ("4", "none"), (None, "u1")], "id string, user_id string"
+    ).withColumns({c: F.lit("x") for c in ("order_status", "create_time", "create_date")})
+    lines = spark.createDataFrame(
+        [("a", "1", "5"), ("b", "1", "oops"), ("b", "1", "oops"), ("c", "2", None), ("d", "3", "1"), ("e", "4", "1"), ("f", None, "1"), (None, "9", "1")],
+        "id string, order_id string, order_price string",
+    ).withColumns({c: F.lit("s") for c in ("sku_id", "sku_name")})
+    users = spark.createDataFrame(
+        [("u1", "n", "1", "1990-05-05", "F"), ("u2", "n", "2", "bad", None), ("u2", "n", "3", "2000-01-01", "M"), (None, "n", "4", None, "F")], S.USER_INFO
+    )
+    asof = F.lit("2024-01-31").cast("timestamp")
+    plain = sale_detail.with_user(sale_detail.sale_rows(placed, lines), users, asof)
+    wide = sale_detail.wide_rows(placed, lines, users, asof)
+    key = lambda r: tuple(map(str, r))
+    assert wide.schema == plain.schema
+    assert sorted(wide.collect(), key=key) == sorted(plain.collect(), key=key) and plain.count() == 10
+    joins = [x for x in wide._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join" in x]
+    assert "order_id" in joins[0] and "user_id" in joins[1]
