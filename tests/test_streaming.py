@@ -496,3 +496,15 @@ def test_row_counts_without_a_second_pass(spark, tmp_path):
     q = jobs.run_batches(stream(spark, tmp_path / "topics", "t"), str(tmp_path / "cp"), lambda df, n: df.count(), "counts", **NOW)
     jobs.finish(q, 120)
     assert sum(p["observedMetrics"]["counts"]["rows"] for p in q.recentProgress if p["observedMetrics"]) == 2
+
+
+def test_dealt_files_stay_as_large(spark, tmp_path, monkeypatch):
+    """Ten times the records give ten times the files of a micro-batch, none of them larger, and every record once."""
+    monkeypatch.setattr(topics, "FILE_ROWS", 50)
+    for n, share in ((150, 1), (2000, 10)):
+        path = str(tmp_path / str(n))
+        rows = spark.range(n).select(F.col("id").cast("string").alias("value"), F.timestamp_seconds("id").alias("timestamp"), F.lit("t").alias("topic"))
+        assert topics.deal_file_topics(rows, path, 4, n) == share
+        sizes = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+        assert len(sizes) == 4 * share and max(sizes) < 90 and sum(sizes) == n
+        assert spark.read.parquet(path).select("value").distinct().count() == n
