@@ -20,7 +20,7 @@ from rtmart.sources import topics
 from rtmart.sources.facts import sales_on
 from rtmart.streaming import jobs
 from rtmart.streaming.kept_sums import HourSums
-from rtmart.streaming.keyed_table import KeyedTable
+from rtmart.streaming.keyed_table import BATCH, KeyedTable
 from rtmart.streaming.name_index import NameIndex
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -406,8 +406,8 @@ def sale_search_indexed(spark, sf_dir):
     sales = _sales(spark, sf_dir).withColumn("dt_year", F.substring("dt", 1, 4))
     renamed = sales.where(F.col("order_id").cast("long") % 3 == 0).withColumn("sku_name", F.lit("Old, ring"))
     for n, batch in enumerate((renamed, sales)):
-        index.add(batch, n)
         table.write(batch, n)
+        index.add(table.batches(spark).where(F.col(BATCH) == n), n)  # from the stored rows: the joins run once a batch
     return index.search(spark, table, INDEXED).select(*S.SALE_DETAIL.fieldNames())
 
 
