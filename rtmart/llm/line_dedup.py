@@ -5,6 +5,9 @@ that a third of all rows carry sends one sketch per task. Lines whose estimate i
 threshold (within the sketch's error band) get exact distinct counts. A line on ``min_sites`` or more sites keeps its first
 place (smallest doc_id, then position) and goes everywhere else.
 
+The lines that the sketches leave and the lines decided on are stored in the shared folder, so each is worked out once and joined by
+its known size. A text meets its places as it is and is split only then: no shuffle carries it twice.
+
 Defined results: lines are split at line feeds and compared without blanks at their ends; lines without other characters
 are no boilerplate; a null text stays null with 0 lines; a null source is a site of its own; a row with a null ``doc_id`` stays
 as it is and counts for nothing; rows that repeat a ``doc_id`` count as one document. Other columns stay, but for ``n_lines`` and
@@ -16,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rtmart.llm.shared import stored
+
 MIN_SITES = 10
 LG_K = 12
 ERROR = 0.05  # three standard errors of a sketch of 2**12 registers
@@ -45,11 +50,12 @@ def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
         F.hll_sketch_estimate(F.hll_sketch_agg("_site", F.lit(LG_K))).alias("_sites"), F.min(place).alias("_first")
     )
     low, high = min_sites * (1 - ERROR) - 1, min_sites * (1 + ERROR) + 1
+    spread = stored(spread.where(F.col("_sites") >= low), "line-spread")
     clear = spread.where(F.col("_sites") > high).select("_h1", "_h2", "_first")
-    near = spread.where(F.col("_sites").between(low, high)).select("_h1", "_h2", "_first")
+    near = spread.where(F.col("_sites") <= high).select("_h1", "_h2", "_first")
     exact = rows.select("_h1", "_h2", "_site").join(near.select("_h1", "_h2"), ["_h1", "_h2"], "left_semi")
     exact = exact.groupBy("_h1", "_h2").agg(F.countDistinct("_site").alias("_sites")).where(F.col("_sites") >= min_sites)
-    return clear.unionByName(near.join(exact.select("_h1", "_h2"), ["_h1", "_h2"]))
+    return stored(clear.unionByName(near.join(exact.select("_h1", "_h2"), ["_h1", "_h2"])), "line-common")
 
 
 def dedup(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
@@ -63,8 +69,8 @@ def dedup(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
         .agg(F.collect_set("_pos").alias("_gone"))
     )
     # The row travels as one column, so that no name of it can clash.
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_id"), _lines(F.col("text")).alias("_lines"))
-    cut = rows.join(gone, F.col("_id") == F.col("_doc"), "left")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_id"))
+    cut = rows.join(gone, F.col("_id") == F.col("_doc"), "left").withColumn("_lines", _lines(F.col("_row.text")))
     # Places that stay, as a hashed difference; without a hit the text is not touched.
     left = F.array_except(F.sequence(F.lit(0), F.array_size("_lines") - 1), F.col("_gone"))
     cut = cut.withColumn("_left", F.when(F.col("_gone").isNotNull() & F.col("_lines").isNotNull(), left))

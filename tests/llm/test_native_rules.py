@@ -60,6 +60,18 @@ def test_line_oracle(spark):
     assert line_dedup.digest(documents.where("false")).collect() == []
 
 
+def test_line_texts_travel_once(spark):
+    documents = spark.createDataFrame([(i, t, f"s{i % 11}") for i, t in enumerate(texts())], "doc_id long, text string, source string")
+    plan = line_dedup.dedup(documents)._jdf.queryExecution().optimizedPlan()
+    # Lines are cut out once for the last join, not again for every step that decides on them.
+    assert plan.toString().count("Generate posexplode") == 1
+    while plan.nodeName() != "Join":
+        plan = plan.children().apply(0)
+    output = plan.children().apply(0).output()
+    names = {output.apply(i).name() for i in range(output.size())}
+    assert names == {"_row", "_id"}
+
+
 def slow_counts(text):
     words = [w for w in "".join(" " if c in quality_rules.SPACES else c for c in text or "").split(" ") if w]
     windows = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
