@@ -18,6 +18,7 @@ import functools
 import json
 import os
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 
@@ -28,12 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rtmart.llm.pieces import BLOCK_CHARS, CachedEncoder, runs
+from rtmart.llm.pieces import BLOCK_CHARS, CachedEncoder, TextEncoder, runs
 
 WINDOW = 2048
 END_ID = 1
 TASK_BITS = 40
-CHECKED = 5_000  # pieces of each worker that both encoders see
+CHECKED = 100_000  # characters of each worker that both encoders see, to the end of a part
 _FIELDS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
@@ -154,11 +155,11 @@ def byte_ranks(vocabulary: str) -> dict[bytes, int] | None:
 
 
 @functools.lru_cache(maxsize=1)
-def _encoder(vocabulary: str) -> CachedEncoder:
-    """One per worker process: the tasks that it runs one after the other share the cache.
+def _encoder(vocabulary: str) -> CachedEncoder | TextEncoder:
+    """One per worker process, for the tasks that it runs one after the other.
 
-    The ids are those of the tokenizers library. Where the file allows it, new pieces are merged by the same ranks in tiktoken,
-    several times faster; the first pieces of every worker are encoded by both, and a difference raises.
+    The ids are those of the tokenizers library. Where the file allows it, texts are encoded by the same ranks in tiktoken,
+    several times faster; the first texts of every worker are encoded by both, and a difference raises.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task one core
     from tokenizers import Tokenizer
@@ -180,14 +181,16 @@ def _encoder(vocabulary: str) -> CachedEncoder:
 
     def by_ranks(parts: list[str]) -> list[bytes]:
         nonlocal left
-        out = [np.array(encode(p), "<u4").tobytes() for p in parts]
-        if left:
-            if by_library(parts[:left]) != out[:left]:
+        out = [np.array(array("I", encode(p)), "<u4").tobytes() for p in parts]
+        for part, ids in zip(parts, out):
+            if left <= 0:
+                break
+            if by_library([part])[0] != ids:
                 raise ValueError("the tokenizer file and its ranks disagree")
-            left -= min(left, len(parts))
+            left -= len(part)
         return out
 
-    return CachedEncoder(by_ranks, by_library, added)
+    return TextEncoder(by_ranks, by_library, added)
 
 
 def _pack(window: int, end_id: int, vocabulary: str | None, with_ids: bool):

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from rtmart.llm import bpe, packing
-from rtmart.llm.pieces import CachedEncoder, pieces
+from rtmart.llm.pieces import CachedEncoder, long_parts, pieces
 
 ENC = tiktoken.Encoding(
     "t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(None), special_tokens={}
@@ -32,6 +32,29 @@ def test_pieces_never_cross_a_match(text):
         assert [np.frombuffer(x, "<u4").tolist() for x in cached.ids([text, "", text])] == [ENC.encode_ordinary(t) for t in (text, "", text)]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from(" \n\t ab'sé1. <|>日\x1c"), max_size=40), st.integers(1, 9))
+def test_long_parts_never_cross_a_match(text, most):
+    parts = long_parts(text, most)
+    assert "".join(parts) == text
+    assert [i for p in parts for i in ENC.encode_ordinary(p)] == ENC.encode_ordinary(text)
+
+
+def test_texts_are_encoded_whole(monkeypatch):
+    path, calls = public_tokenizers.path("byte_bpe_50k.json"), []
+    plain = tiktoken.Encoding.encode_ordinary
+    monkeypatch.setattr(tiktoken.Encoding, "encode_ordinary", lambda self, text: calls.append(len(text)) or plain(self, text))
+    packing._encoder.cache_clear()
+    rng = random.Random(3)
+    texts = ODD + [" ".join("".join(rng.choices("aeinorst,.é", k=7)) for _ in range(400)) for _ in range(50)] + ["some words " * 100_000]
+    got = packing._encoder(path).ids(texts)
+    packing._encoder.cache_clear()
+    # A call a text and a bounded part of a long one, not a call for every new word.
+    assert len(calls) <= len(texts) + 10 and max(calls) < 300_000
+    tokenizer = Tokenizer.from_file(path)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def docs(spark):
     rng = random.Random(1)
     texts = ODD + [" ".join(rng.choice(["the", "loweihr", "Ünd", "x\ny", "42,"]) for _ in range(rng.randint(0, 3000))) for _ in range(40)]
