@@ -74,3 +74,14 @@ def test_tables_and_the_word_index_are_packed(spark, tmp_path):
     assert shuffles(spark) <= before
     assert codecs(tmp_path / "table") == codecs(tmp_path / "index") == {"ZSTD"}
 
+
+def test_state_of_a_stream_join_is_packed(spark, tmp_path):
+    topics.write_file_topics(records(spark, [("1", 100)], [("a", "1", 100)]), str(tmp_path / "topics"))
+    sides = (topics.file_stream(spark, str(tmp_path / "topics"), t) for t in (S.TOPIC_ORDER_INFO, S.TOPIC_ORDER_DETAIL))
+    table = jobs.outer_table(str(tmp_path / "table"))
+    before = shuffles(spark)
+    jobs.finish(jobs.start_outer(jobs.order_line_outer(*sides), table, str(tmp_path / "cp"), 2, **NOW), 120)
+    assert [(r.order_id, r.order_detail_id) for r in table.batches(spark).collect()] == [("1", "a")]
+    stored = [open(f, "rb").read() for f in glob.glob(f"{tmp_path}/cp/state/**/*.sst", recursive=True)]
+    assert stored and all(b"ZSTD" in x and b"LZ4" not in x for x in stored)
+    assert shuffles(spark) <= before
