@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,8 +37,9 @@ class NameIndex:
         words = F.explode(F.array_distinct(tokens(F.col("sku_name"))))
         self.table.write(sales.select(words.alias("token"), "dt", *IDS), batch_id)
 
-    def candidates(self, spark: SparkSession, keyword: str, date: str | None = None) -> DataFrame:
-        """Sales (ids and day) that have or once had every word of the keyword. Only the folders of these words are read.
+    def candidates(self, spark: SparkSession, keyword: str, days: Column | None = None) -> DataFrame:
+        """Sales (ids and day) that have or once had every word of the keyword, of the ``days`` that a condition on ``dt`` tells. Only
+        the folders of these words are read.
 
         The shortest list goes through the others, broadcast if it is measured to be small and merged by id if not.
         """
@@ -46,19 +47,19 @@ class NameIndex:
         if not words:
             return self.table.batches(spark).select(*IDS, "dt").where(F.lit(False))
         lists = self.table.holding(spark, words)
-        lists = lists if date is None else lists.where(F.col("dt") == date)
+        lists = lists if days is None else lists.where(days)
         if len(words) == 1:
             return lists.select(*IDS, "dt").distinct()
         sizes = {r["token"]: r["size"] or 0 for r in lists.groupBy("token").agg(F.sum(width(*IDS)).alias("size")).collect()}
         words.sort(key=lambda w: sizes.get(w, 0))
-        found = self._list(spark, words[0], date)
+        found = self._list(spark, words[0], days)
         for word in words[1:]:
-            found = lookups.narrowed(self._list(spark, word, date), found, IDS, sizes.get(words[0], 0))
+            found = lookups.narrowed(self._list(spark, word, days), found, IDS, sizes.get(words[0], 0))
         return found.distinct()
 
-    def _list(self, spark: SparkSession, word: str, date: str | None) -> DataFrame:
+    def _list(self, spark: SparkSession, word: str, days: Column | None) -> DataFrame:
         rows = self.table.holding(spark, [word])
-        return (rows if date is None else rows.where(F.col("dt") == date)).select(*IDS, "dt")
+        return (rows if days is None else rows.where(days)).select(*IDS, "dt")
 
     def search(self, spark: SparkSession, sales: KeyedTable, keyword: str, date: str | None = None) -> DataFrame:
         """Sales of a stored table whose present name holds every word of the keyword. A keyword without words finds nothing."""
@@ -67,6 +68,21 @@ class NameIndex:
             rows = rows.where(F.col("dt") == date)
             if sales.partition != "dt":
                 rows = rows.where(F.col(sales.partition) == date[:7])
-        rows = lookups.narrowed(rows, self.candidates(spark, keyword, date), IDS)
+        return self._present(rows, self.candidates(spark, keyword, None if date is None else F.col("dt") == date), sales, keyword)
+
+    def search_folders(self, spark: SparkSession, sales: KeyedTable, keyword: str, found: KeyedTable) -> DataFrame:
+        """:func:`search` of all days, a folder of the sale table after the other, so that no more than one folder's sales are shuffled at
+        a time. The folders are by a head of the day, such as its year. The hits are kept in ``found``, a batch per folder."""
+        for n, value in enumerate(sales.values(spark)):
+            folder = F.col(sales.partition).isNull() if value is None else F.col(sales.partition) == value
+            days = None if value is None else F.col("dt").startswith(value)
+            rows = sales.batches(spark).where(folder)
+            found.write(self._present(rows, self.candidates(spark, keyword, days), sales, keyword), n)
+        return found.batches(spark).drop(BATCH)
+
+    @staticmethod
+    def _present(rows: DataFrame, asked: DataFrame, sales: KeyedTable, keyword: str) -> DataFrame:
+        """Of the rows that are ``asked`` for the newest per sale, where its name still holds every word."""
+        rows = lookups.narrowed(rows, asked, IDS)
         rows = latest.latest_per_key(rows, [*sales.key, *sales.steady], [BATCH, *sales.order]).drop(BATCH)
         return rows.where(keyword_match(F.col("sku_name"), keyword))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rtmart import schemas as S
 from rtmart.sources import topics
 from rtmart.streaming import jobs
-from rtmart.streaming.keyed_table import KeyedTable
+from rtmart.streaming.keyed_table import BATCH, KeyedTable
 from rtmart.streaming.name_index import NameIndex
 
 NOW = {"availableNow": True}
@@ -75,6 +75,28 @@ def test_tables_and_the_word_index_are_packed(spark, tmp_path):
     assert codecs(tmp_path / "table") == codecs(tmp_path / "index") == {"ZSTD"}
 
 
+def test_a_search_by_folders_shuffles_a_folder_at_a_time(spark, tmp_path):
+    """The hits of :func:`search`: renamed sales, sales written twice in a batch, sales of other or no day under the same ids."""
+    table = jobs.sale_table(str(tmp_path / "table"), by="dt_year").create(spark)
+    index = NameIndex(str(tmp_path / "index"), buckets=2).create(spark)
+    found = jobs.sale_table(str(tmp_path / "found"), by="dt_year").create(spark)
+    feeds = [
+        [("1", "Old ring", "1996-01-01"), ("2", "old, RING", "1997-01-01"), ("3", "new ring", "1998-01-01"), ("4", "Old", "1996-02-01"),
+         ("5", "old ring", None), ("6", "old ring", ""), ("8", "old ring", "1996-03-01"), ("8", "old", "1996-03-01")],
+        [("2", "new ring", "1997-01-01"), ("3", "ring, old", "1998-01-01"), ("4", "ring", "1997-02-01"), ("5", "old rings", "1996-01-01"),
+         ("7", None, "1999-01-01")],
+    ]
+    for n, feed in enumerate(feeds):
+        rows = [{"order_id": i, "order_detail_id": "d", "sku_name": name, "dt": dt} for i, name, dt in feed]
+        table.write(spark.createDataFrame(rows, S.SALE_DETAIL).withColumn("dt_year", F.substring("dt", 1, 4)), n)
+        index.add(table.batches(spark).where(F.col(BATCH) == n), n)
+    assert table.values(spark) == ["1996", "1997", "1998", "1999", None]
+    hits = [(r.order_id, r.dt, r.dt_year) for r in index.search_folders(spark, table, "old ring", found).collect()]
+    assert sorted(hits, key=str) == sorted(((r.order_id, r.dt, r.dt_year) for r in index.search(spark, table, "old ring").collect()), key=str)
+    assert {h[0] for h in hits} >= {"1", "3", "5", "6"} and not {h[0] for h in hits} & {"2", "4", "7"}
+    assert len({r[BATCH] for r in found.batches(spark).collect()}) == 3
+
+
 def test_state_of_a_stream_join_is_packed(spark, tmp_path):
     topics.write_file_topics(records(spark, [("1", 100)], [("a", "1", 100)]), str(tmp_path / "topics"))
     sides = (topics.file_stream(spark, str(tmp_path / "topics"), t) for t in (S.TOPIC_ORDER_INFO, S.TOPIC_ORDER_DETAIL))
